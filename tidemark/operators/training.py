@@ -20,6 +20,7 @@ from tidemark.operators.classification import positive_weight
 from tidemark.operators.encoding import FittedEncoder, fit_encoder, route_columns
 from tidemark.operators.features import add_features, derived_expressions, fit_median_charge
 from tidemark.operators.rules import check_params
+from tidemark.sources.scratch import written
 
 UNMAPPED = {"reg_alpha", "reg_lambda", "colsample_bylevel", "colsample_bynode", "max_delta_step", "tree_method"}
 
@@ -102,9 +103,14 @@ def train(
     """
     params = dict(settings.DEFAULT_PARAMS if params is None else params)
     check_params(params)
-    spark = df.sparkSession
     features = [c for c in settings.NUMERIC_FEATURES + settings.CATEGORICAL_FEATURES if c in df.columns]
-    data = nan_to_null(df.select(*features, label)).where(F.col(label).isNotNull())
+    # six jobs read the training columns; as files they survive lost executors and keep plans short
+    with written(nan_to_null(df.select(*features, label)).where(F.col(label).isNotNull()), "training") as data:
+        return _train(data, features, label, params, balance)
+
+
+def _train(data: DataFrame, features: list[str], label: str, params: dict[str, Any], balance: bool) -> AttritionModel:
+    spark = data.sparkSession
     counts = positive_weight(data, label).first()
     if counts.n_negative + counts.n_positive == 0:
         raise ValueError("Training data is empty")

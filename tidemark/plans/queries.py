@@ -675,11 +675,15 @@ def live_versions(spark, sf):
 # --- streams -------------------------------------------------------------------------------------
 
 
+def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return sources.table_stream(spark, sf, name, testbed.SCHEMAS[name])
+
+
 @query
 def streamed_scores(spark, sf):
     """Order lines scored as they arrive, by a projection of one table."""
     folder = new_folder(spark, "scores")
-    orders = sources.table_stream(spark, sf, "orders")
+    orders = _stream(spark, sf, "orders")
     shaped = orders.select(
         F.format_string("ORDER_%08d", "o_orderkey").alias("customer_id"),
         F.month("o_orderdate").alias("tenure_months"),
@@ -701,10 +705,10 @@ def streamed_scores(spark, sf):
 def streamed_outcomes(spark, sf):
     """Outcomes attached within three hours; predictions still open at the end are left out."""
     folder = new_folder(spark, "outcomes")
-    predictions = testbed.predictions_of(sources.table_stream(spark, sf, "events")).drop(
+    predictions = testbed.predictions_of(_stream(spark, sf, "events")).drop(
         "actual_outcome", "outcome_timestamp"
     )
-    decided = testbed.outcomes_of(sources.table_stream(spark, sf, "events"))
+    decided = testbed.outcomes_of(_stream(spark, sf, "events"))
     attached = outcome_stream.attach_outcomes(predictions, decided, within="3 hours", delay="1 hour")
     outcome_stream.write_attached(attached, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     return (
@@ -718,7 +722,7 @@ def streamed_outcomes(spark, sf):
 def streamed_performance(spark, sf):
     """Daily confusion counts of the closed days, from a stream of decided events."""
     folder = new_folder(spark, "performance")
-    events = sources.table_stream(spark, sf, "events")
+    events = _stream(spark, sf, "events")
     decided = events.select(
         F.concat(F.lit("v_"), F.col("event_type")).alias("model_version"),
         (F.col("value") >= 50.0).cast("int").alias("predicted_class"),

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.sources.storage import remove
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -20,3 +24,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def written(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """The table as files, for work that reads it several times; the files go when the work is done."""
+    spark = df.sparkSession
+    path = new_folder(spark, purpose)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)

@@ -22,6 +22,11 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(target)) and bool(fs.getFileStatus(target).isDirectory())
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, target = _resolve(spark, path)
+    fs.delete(target, True)
+
+
 def any_match(spark: SparkSession, pattern: str) -> bool:
     fs, target = _resolve(spark, pattern)
     found = fs.globStatus(target)
