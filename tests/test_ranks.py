@@ -81,3 +81,15 @@ def test_bins_are_closed_on_the_right(spark):
     df = spark.createDataFrame([(0.0,), (0.2,), (0.2000001,), (0.6,), (1.0,)], "p double")
     got = [r.b for r in df.select(right_closed_bin(F.col("p"), edges).alias("b")).collect()]
     assert got == [int(np.searchsorted(edges, p, side="left")) for p in (0.0, 0.2, 0.2000001, 0.6, 1.0)]
+
+
+def test_quantiles_of_many_values_have_the_right_rank(spark):
+    """Far more distinct values than a sketch keeps, so the edges are approximate."""
+    df = spark.range(400_000).select((F.xxhash64("id") / F.lit(2.0**40)).alias("v"), (F.col("id") % 2).alias("g"))
+    ps = {"a": 0.1, "b": 0.5, "c": 0.999}
+    for r in exact_quantiles(df.repartition(6), "v", ps, ["g"]).collect():
+        part = df.where(F.col("g") == r.g)
+        for name, p in ps.items():
+            position = p * 199_999
+            below = part.where(F.col("v") <= r[name]).count()
+            assert below == int(position) + 1

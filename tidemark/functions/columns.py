@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HASH_BITS = 60
+HASH_DIGITS = 15
+HASH_BITS = 4 * HASH_DIGITS
 
 
 def flag(condition: Column) -> Column:
@@ -36,22 +39,27 @@ def nan_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def key_hash(key: str | Column, seed: int) -> Column:
-    """60-bit integer hash of a key and a seed; the same on every engine that has md5."""
+    """Hash of a key and a seed as fixed-width hexadecimal text, the same on every engine that has
+    md5. Its text order is its numeric order, so ranking by it needs no conversion."""
     key = F.col(key) if isinstance(key, str) else key
-    digest = F.md5(F.concat(key.cast("string"), F.lit(str(seed))))
-    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("bigint")
+    return F.substring(F.md5(F.concat(key.cast("string"), F.lit(str(seed)))), 1, HASH_DIGITS)
+
+
+def hash_below(key: str | Column, seed: int, fraction: float) -> Column:
+    """Whether the hash falls into the lowest ``fraction`` of its range."""
+    return key_hash(key, seed) < F.lit(format(math.ceil(fraction * (1 << HASH_BITS)), f"0{HASH_DIGITS}x"))
 
 
 def key_uniform(key: str | Column, seed: int) -> Column:
     """Reproducible uniform number in [0, 1) that depends on the key only, not on partitioning."""
-    return key_hash(key, seed) / F.lit(float(1 << HASH_BITS))
+    return F.conv(key_hash(key, seed), 16, 10).cast("bigint") / F.lit(float(1 << HASH_BITS))
 
 
-def right_closed_bin(value: Column, inner_edges: list[float]) -> Column:
+def right_closed_bin(value: Column, inner_edges: list[float | Column]) -> Column:
     """Index of the bin (edge[i-1], edge[i]]: the number of inner edges strictly below the value."""
     below = F.lit(0)
     for edge in inner_edges:
-        below = below + (F.lit(float(edge)) < value).cast("int")
+        below = below + ((edge if isinstance(edge, Column) else F.lit(float(edge))) < value).cast("int")
     return below
 
 

@@ -1,8 +1,7 @@
 """Global order statistics without a global sort in one task.
 
-ROC curves, AUC, cumulative distributions and exact percentiles all need, for every distinct
-value, how many rows lie below it. A window over the whole table would run in one task, and
-Spark's exact ``percentile`` keeps every distinct value of a group in one buffer. Here instead
+ROC curves, AUC and cumulative distributions need, for every distinct value, how many rows lie
+below it. A window over the whole table would run in one task. Here instead
 
 1. rows are pre-aggregated to one row per distinct value (map-side combine, so that a value
    shared by a third of all rows costs one row per task);
@@ -11,8 +10,13 @@ Spark's exact ``percentile`` keeps every distinct value of a group in one buffer
 3. bucket totals (``buckets`` rows per group) are prefix-summed and joined back as offsets;
 4. the running sum inside each (group, bucket) finishes the job in parallel.
 
-The edges only balance the work. They come from one scalar subquery, which Spark evaluates
-once per query, and the result is exact for any edges.
+Exact percentiles need only a few ranks, and Spark's exact ``percentile`` keeps every distinct
+value of a group in one buffer. They are found by selection: counting rows per bucket shows
+which buckets hold the wanted ranks, and only the values in those are shuffled and ranked.
+
+Edges only balance the work: results are exact for any edges, as long as all parts of a query
+see the same ones. They come from a scalar subquery, which Spark evaluates once per query and
+then treats as a constant, also when tasks are repeated after a lost executor.
 """
 
 from __future__ import annotations
@@ -24,30 +28,53 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import interpolate
 
-_EDGES = "__edges"
 _KEY = "__key"
 MIN_BUCKETS = 8
 MAX_BUCKETS = 4096
+SELECTION_BUCKETS = 256  # equal-count buckets of a selection, each cut into equal widths
+SELECTION_WIDTHS = 64
+SKETCH_GROUPS = 256
+
+
+def _require_one_evaluation(df: DataFrame) -> None:
+    if df.sparkSession.conf.get("spark.sql.execution.reuseSubquery", "true").lower() != "true":
+        raise RuntimeError("rank operators need spark.sql.execution.reuseSubquery, which is on by default")
+
+
+def _power_of_two(n: int) -> int:
+    return 1 << (max(MIN_BUCKETS, min(MAX_BUCKETS, n)) - 1).bit_length()
 
 
 def default_buckets(df: DataFrame) -> int:
-    """Twice the shuffle width, so that every task of the last step has work."""
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, 2 * width))
+    """At least twice the shuffle width, so that every task of the last step has work."""
+    return _power_of_two(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def _bucket_index(value: Column, edges: Column, buckets: int) -> Column:
-    """Number of edges below the value, searched in two steps of about sqrt(buckets) each."""
-    stride = max(1, int(buckets**0.5))
-    steps = (buckets - 1) // stride
-    if steps < 2:
-        return F.coalesce(F.array_size(F.filter(edges, lambda e: e < value)), F.lit(0))
-    ends = F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda i: F.element_at(edges, i * stride))
-    skipped = F.array_size(F.filter(ends, lambda e: e < value)) * stride
-    rest = F.array_size(F.filter(F.slice(edges, skipped + 1, stride), lambda e: e < value))
-    # coalesce makes the column non-nullable; otherwise the join below would push an
-    # "is not null" filter with the whole search under the first aggregation
-    return F.coalesce(skipped + rest, F.lit(0))
+def _probabilities(buckets: int) -> Column:
+    """The inner i / buckets as one constant array."""
+    return F.expr(f"array({', '.join(f'{i / buckets!r}D' for i in range(1, buckets))})")
+
+
+def _with_bucket(df: DataFrame, value: str, edges: str, buckets: int, output: str) -> DataFrame:
+    """Add the number of ``edges`` (a sorted array of buckets - 1 values) below the value.
+
+    A binary search, written as a chain of columns of which each uses the one before twice. The
+    optimizer therefore keeps the steps apart, and they compile into straight-line code.
+    """
+    steps = [buckets >> i for i in range(1, buckets.bit_length())]
+    chain = [F.lit(0).alias("__b0")]
+    for i, step in enumerate(steps):
+        before = F.col(f"__b{i}")
+        found = F.coalesce(F.get(F.col(edges), before + (step - 1)) < F.col(value), F.lit(False))
+        chain.append((before + F.when(found, F.lit(step)).otherwise(F.lit(0))).alias(f"__b{i + 1}"))
+    return df.select("*", *chain).select(*df.columns, F.col(f"__b{len(steps)}").alias(output))
+
+
+def _known(df: DataFrame, value: str) -> DataFrame:
+    present = F.col(value).isNotNull()
+    if dict(df.dtypes)[value] in ("double", "float"):
+        present = present & ~F.isnan(value)
+    return df.where(present)
 
 
 def running_totals(
@@ -62,36 +89,31 @@ def running_totals(
     ``measures`` maps names to additive aggregate expressions. ``m_before`` sums the rows of
     the group with a strictly smaller value. Rows whose value is NULL or NaN are left out.
     """
+    _require_one_evaluation(df)
     by = list(by)
     names = list(measures)
-    buckets = buckets or default_buckets(df)
-    present = F.col(value).isNotNull()
-    if dict(df.dtypes)[value] in ("double", "float"):
-        present = present & ~F.isnan(value)
+    buckets = _power_of_two(buckets) if buckets else default_buckets(df)
 
-    per_value = df.where(present).groupBy(*by, value).agg(*[m.alias(n) for n, m in measures.items()])
+    per_value = _known(df, value).groupBy(*by, value).agg(*[m.alias(n) for n, m in measures.items()])
 
     # the sums are listed only to keep this aggregation identical to the one below, so that
     # its shuffle is reused
     edges = per_value.agg(
         F.struct(
-            F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 8 * buckets).alias("at"),
+            F.percentile_approx(value, _probabilities(buckets), 8 * buckets).alias("at"),
             *[F.sum(n).alias(n) for n in names],
         )
     ).scalar()
-    # one struct key, never NULL as a whole, serves the totals, the join and the last window, so
-    # that all of them agree on one partitioning even where a group column is NULL
-    bucketed = (
-        per_value.withColumn(_EDGES, edges)
-        .withColumn(
-            _KEY, F.struct(*by, _bucket_index(F.col(value), F.col(_EDGES)["at"], buckets).alias("__bucket"))
-        )
-        .drop(_EDGES)
-    )
+    placed = _with_bucket(per_value.withColumn("__edges", edges["at"]), value, "__edges", buckets, "__bucket")
+    # a struct key is never NULL as a whole, so the join matches groups with a NULL column; this
+    # one shuffle serves the totals, the join and the last window
+    key = F.struct(*by, "__bucket") if by else F.col("__bucket")
+    bucketed = placed.select(*by, value, *names, key.alias(_KEY)).repartition(_KEY)
 
     # at most ``buckets`` rows per group
     groups = [F.col(f"{_KEY}.{b}") for b in by]
-    order = Window.partitionBy(*groups).orderBy(F.col(f"{_KEY}.__bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    position = F.col(f"{_KEY}.__bucket") if by else F.col(_KEY)
+    order = Window.partitionBy(*groups).orderBy(position).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*groups)
     offsets = (
         bucketed.groupBy(_KEY)
@@ -115,28 +137,93 @@ def running_totals(
     )
 
 
+def _sketched_edges(values: DataFrame, value: str, buckets: int) -> DataFrame:
+    """One row with about equally spaced quantiles, and NULL for an empty table. Sketches of the
+    tasks are merged in groups first, so that no task merges one from every other task."""
+    in_groups = values.groupBy(F.spark_partition_id() % SKETCH_GROUPS).agg(
+        F.kll_sketch_agg_double(value, F.lit(4 * buckets)).alias("sketch")
+    )
+    merged = in_groups.agg(
+        F.kll_merge_agg_double("sketch", F.lit(4 * buckets)).alias("sketch"), F.count(F.lit(1)).alias("n")
+    )
+    points = F.kll_sketch_get_quantile_double("sketch", _probabilities(buckets))
+    return merged.where(F.col("n") > 0).select(points.alias("at"))
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
     probabilities: Mapping[str, float],
     by: Sequence[str] = (),
-    buckets: int | None = None,
+    buckets: int = SELECTION_BUCKETS,
 ) -> DataFrame:
-    """Exact, linearly interpolated quantiles as one column per entry of ``probabilities``."""
-    ranked = running_totals(
-        df.withColumn(value, F.col(value).cast("double")), value, {"n": F.count(F.lit(1))}, by, buckets
+    """Exact, linearly interpolated quantiles as one column per entry of ``probabilities``.
+
+    Three scans of one column and no shuffle of it: a sketch for the edges, row counts per
+    bucket, and the values of the buckets in which a wanted rank lies.
+    """
+    _require_one_evaluation(df)
+    by = list(by)
+    buckets = _power_of_two(buckets)
+    values = _known(df.select(*by, F.col(value).cast("double").alias("__v")), "__v")
+
+    placed = values.withColumn("__edges", _sketched_edges(values, "__v", buckets).scalar())
+    placed = _with_bucket(placed, "__v", "__edges", buckets, "__bucket")
+    below, above = F.get("__edges", F.col("__bucket") - 1), F.get("__edges", F.col("__bucket"))
+    # equal widths inside a bucket keep the candidates few; the outer two buckets stay whole
+    within = F.floor(F.try_divide(F.col("__v") - below, above - below) * SELECTION_WIDTHS)
+    narrow = F.greatest(F.lit(0), F.least(F.lit(SELECTION_WIDTHS - 1), F.coalesce(within, F.lit(0))))
+    placed = placed.select(*by, "__v", (F.col("__bucket") * SELECTION_WIDTHS + narrow).cast("int").alias("__slot"))
+
+    # at most buckets x widths rows per group
+    up_to_here = Window.partitionBy(*by).orderBy("__slot")
+    slots = (
+        placed.groupBy(*by, "__slot")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .select(
+            *by,
+            "__slot",
+            (F.sum("__n").over(up_to_here) - F.col("__n")).alias("__before"),
+            "__n",
+            F.sum("__n").over(Window.partitionBy(*by)).alias("__total"),
+        )
+    )
+
+    def ranks(total: Column) -> dict[str, tuple[Column, Column, Column]]:
+        """Per quantile: the rank below, the rank above, and the weight of the latter."""
+        out = {}
+        for name, p in probabilities.items():
+            position = F.lit(float(p)) * (total - 1)
+            out[name] = (F.floor(position), F.ceil(position), position - F.floor(position))
+        return out
+
+    wanted = [r for low, high, _ in ranks(F.col("__total")).values() for r in (low, high)]
+    holds = F.lit(False)
+    for r in wanted:
+        holds = holds | ((F.col("__before") <= r) & (r < F.col("__before") + F.col("__n")))
+    hits = slots.where(holds).select(F.struct(*by, "__slot").alias("__hit"), "__before", "__total")
+
+    # with groups this is the union over the groups, which the join below narrows
+    chosen = slots.where(holds).agg(F.collect_set("__slot").alias("s")).scalar()
+    candidates = (
+        placed.withColumn("__chosen", chosen)
+        .where(F.array_contains("__chosen", F.col("__slot")))
+        .groupBy(F.struct(*by, "__slot").alias("__hit"), "__v")
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
+    inside = Window.partitionBy("__hit").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("__before") + F.coalesce(F.sum("__n").over(inside), F.lit(0))
+    ranked = candidates.join(hits, "__hit").select(
+        *[F.col("__hit")[b].alias(b) for b in by], "__v", first.alias("__first"), "__n", "__total"
     )
-    first, last = F.col("n_before"), F.col("n_before") + F.col("n") - 1
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("__first") <= rank) & (rank < F.col("__first") + F.col("__n")), F.col("__v")))
+
     picks = []
-    for name, p in probabilities.items():
-        position = F.lit(float(p)) * (F.col("n_total") - 1)
-        low, high = F.floor(position), F.ceil(position)
-        picks += [
-            F.max(F.when((first <= low) & (low <= last), F.col(value))).alias(f"__{name}_low"),
-            F.max(F.when((first <= high) & (high <= last), F.col(value))).alias(f"__{name}_high"),
-            F.max(position - low).alias(f"__{name}_weight"),
-        ]
-    bounds = ranked.groupBy(*by).agg(*picks) if by else ranked.agg(*picks)
+    for name, (low, high, weight) in ranks(F.col("__total")).items():
+        picks += [at(low).alias(f"__{name}_low"), at(high).alias(f"__{name}_high"), F.max(weight).alias(f"__{name}_weight")]
+    bounds = ranked.groupBy(*by).agg(*picks)
     return bounds.select(
         *by,
         *[

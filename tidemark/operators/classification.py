@@ -158,11 +158,14 @@ def evaluate(
 
     One shuffle on (group, score) feeds both the confusion counts and the ranks.
     """
-    measures = _count_columns(label, predicted) | {
-        "pos": F.count_if(F.col(label) == 1),
-        "neg": F.count_if(F.col(label) == 0),
-    }
-    ranked = running_totals(df, score, measures, by)
+    ranked = running_totals(df, score, _count_columns(label, predicted), by).withColumns(
+        {
+            "pos": F.col("fn") + F.col("tp"),
+            "neg": F.col("tn") + F.col("fp"),
+            "pos_before": F.col("fn_before") + F.col("tp_before"),
+            "pos_total": F.col("fn_total") + F.col("tp_total"),
+        }
+    )
     summed = ranked.groupBy(*by).agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS],
         F.coalesce(auc_from_totals(F.sum("pos"), F.sum("neg"), F.sum(_area())), F.lit(0.0)).alias("roc_auc"),

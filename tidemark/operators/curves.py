@@ -41,10 +41,6 @@ def empirical_cdf(df: DataFrame, score: str, by: Sequence[str] = ()) -> DataFram
     )
 
 
-def _bin_by_edges(value: Column, edges: Column) -> Column:
-    return F.array_size(F.filter(edges, lambda e: e < value))
-
-
 def calibration_curve(
     df: DataFrame, label: str, score: str, n_bins: int = 10, strategy: str = "uniform"
 ) -> DataFrame:
@@ -58,22 +54,13 @@ def calibration_curve(
         raise ValueError(f"strategy must be 'uniform' or 'quantile', got '{strategy}'")
     df = df.select(label, score).where(F.col(label).isNotNull() & F.col(score).isNotNull())
     if strategy == "uniform":
-        binned = df.withColumn("bin", right_closed_bin(F.col(score), [i * (1.0 / n_bins) for i in range(1, n_bins)]))
+        edges = [F.lit(i * (1.0 / n_bins)) for i in range(1, n_bins)]
     else:
         probabilities = {f"e{i}": i * (1.0 / n_bins) for i in range(1, n_bins)}
-        edges = exact_quantiles(df, score, probabilities).select(F.array(*probabilities).alias("edges")).scalar()
-        # rows with the same score land in the same bin, so bin one row per distinct score
-        binned = (
-            df.groupBy(score)
-            .agg(F.sum(label).alias("__pos"), F.count(F.lit(1)).alias("__n"))
-            .withColumn("__edges", edges)
-            .withColumn("bin", F.coalesce(_bin_by_edges(F.col(score), F.col("__edges")), F.lit(0)))
-        )
-        return binned.groupBy("bin").agg(
-            ratio_or_zero(F.sum("__pos"), F.sum("__n")).alias("prob_true"),
-            ratio_or_zero(F.sum(F.col(score) * F.col("__n")), F.sum("__n")).alias("prob_pred"),
-            F.sum("__n").alias("n"),
-        )
+        found = exact_quantiles(df, score, probabilities).select(F.array(*probabilities).alias("edges")).scalar()
+        df = df.withColumn("__edges", found)
+        edges = [F.get("__edges", F.lit(i)) for i in range(n_bins - 1)]
+    binned = df.withColumn("bin", right_closed_bin(F.col(score), edges))
     return binned.groupBy("bin").agg(
         F.avg(label).alias("prob_true"), F.avg(score).alias("prob_pred"), F.count(F.lit(1)).alias("n")
     )

@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import HASH_BITS, key_hash, key_uniform
+from tidemark.functions.columns import hash_below, key_hash
 from tidemark.settings import ID_COLUMN, RANDOM_SEED, TEST_FRACTION
 
-_BUCKET_BITS = 16
+_BUCKET_DIGITS = 4
 _CLASSES = (0, 1)
 
 
@@ -20,7 +20,7 @@ def split_by_hash(
     df: DataFrame, key: str = ID_COLUMN, fraction: float = TEST_FRACTION, seed: int = RANDOM_SEED
 ) -> DataFrame:
     """Add ``is_test`` with about the given share in every class; no shuffle at all."""
-    return df.withColumn("is_test", key_uniform(key, seed) < F.lit(float(fraction)))
+    return df.withColumn("is_test", hash_below(key, seed, fraction))
 
 
 def stratified_split(
@@ -29,12 +29,12 @@ def stratified_split(
     """Add ``is_test`` with exactly round(fraction x n) rows of each class of a 0/1 label.
 
     Per class, the rows with the smallest hashes form the test set. Counting rows per leading
-    bits of the hash finds the bucket that holds the last test row; only that bucket (1/65536
+    digits of the hash finds the bucket that holds the last test row; only that bucket (1/65536
     of a class) is ranked. Both results are one row, so the table itself is neither joined nor
     shuffled. Unlabelled rows are never test rows.
     """
     hashed = df.withColumn("__hash", key_hash(key, seed)).withColumn(
-        "__bucket", F.shiftright("__hash", HASH_BITS - _BUCKET_BITS)
+        "__bucket", F.substring("__hash", 1, _BUCKET_DIGITS)
     )
     keys = hashed.select(F.col(label).alias("__class"), F.col(key).alias("__key"), "__hash", "__bucket").where(
         F.col("__class").isin(*_CLASSES)
