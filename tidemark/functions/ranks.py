@@ -100,7 +100,7 @@ def running_totals(
     # its shuffle is reused
     edges = per_value.agg(
         F.struct(
-            F.percentile_approx(value, _probabilities(buckets), 8 * buckets).alias("at"),
+            F.percentile_approx(value, _probabilities(buckets), 2 * buckets).alias("at"),
             *[F.sum(n).alias(n) for n in names],
         )
     ).scalar()

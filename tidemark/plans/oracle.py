@@ -475,6 +475,8 @@ ORACLE: dict[str, str] = {
     "risk_group_difference": f"""WITH {ATTRIBUTIONS}, m AS (SELECT feature, avg(v) FILTER (WHERE is_high_risk) AS h,
         avg(v) FILTER (WHERE NOT is_high_risk) AS l FROM long GROUP BY feature)
       SELECT feature, round(h, 6) AS high_risk_mean, round(l, 6) AS low_risk_mean, round(h - l, 6) AS difference FROM m""",
+    # attributions of every customer must add up to the margin
+    "model_attributions": f"WITH {CUSTOMERS} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_violations, 0e0 AS max_error FROM customers",
     "performance_check": f"WITH {DAILY} SELECT model_version, recall, recall >= 0.5 AS meets_threshold FROM daily",
     "alert_generation": f"""WITH {DAILY} SELECT 'ALERT_' || strftime(evaluation_date, '%Y%m%d_%H%M%S') || '_' || model_version AS alert_id,
       model_version, 'performance_degradation' AS alert_type,

@@ -63,6 +63,12 @@ def log_rows(df: DataFrame, at: Column) -> DataFrame:
     )
 
 
+def _by_date(df: DataFrame, column: str) -> DataFrame:
+    """Rows of a date together, in files of the advised size: adaptive execution splits a date
+    that holds a large share of the rows and joins small ones."""
+    return df.hint("rebalance", F.col(column))
+
+
 class PredictionLog:
     """A log under one root folder. All methods take and return tables."""
 
@@ -93,9 +99,9 @@ class PredictionLog:
             span = fresh.agg(F.min("prediction_date").alias("first"), F.max("prediction_date").alias("last")).first()
             logged = self._stored_predictions().where(F.col("prediction_date").between(span["first"], span["last"]))
             fresh = fresh.join(logged, ["prediction_date", "prediction_id"], "left_anti")
-        fresh.select(*_DATED_LOG.names).write.mode("append").partitionBy("prediction_date").parquet(
-            self.predictions_path
-        )
+        _by_date(fresh.select(*_DATED_LOG.names), "prediction_date").write.mode("append").partitionBy(
+            "prediction_date"
+        ).parquet(self.predictions_path)
         return bad
 
     def append_outcomes(self, outcomes: DataFrame) -> None:
@@ -103,9 +109,10 @@ class PredictionLog:
         wrong = outcomes.where(~F.coalesce(F.col("actual_outcome").isin(0, 1), F.lit(False))).head()
         if wrong is not None:
             raise TableCheckError(f"Actual outcome must be 0 or 1, got {wrong.actual_outcome}")
-        outcomes.select(*[F.col(f.name).cast(f.dataType) for f in OUTCOME_SCHEMA.fields]).withColumn(
+        dated = outcomes.select(*[F.col(f.name).cast(f.dataType) for f in OUTCOME_SCHEMA.fields]).withColumn(
             "outcome_date", F.to_date("outcome_timestamp")
-        ).write.mode("append").partitionBy("outcome_date").parquet(self.outcomes_path)
+        )
+        _by_date(dated, "outcome_date").write.mode("append").partitionBy("outcome_date").parquet(self.outcomes_path)
 
     def _stored_predictions(self) -> DataFrame:
         return self.spark.read.schema(_DATED_LOG).parquet(self.predictions_path).select(
@@ -147,9 +154,9 @@ class PredictionLog:
     def compact(self, root: str) -> PredictionLog:
         """Write log and outcomes merged into a log under a new root."""
         target = PredictionLog(self.spark, root)
-        self.current().select(*_DATED_LOG.names).repartition("prediction_date", "prediction_id").sortWithinPartitions(
+        _by_date(self.current().select(*_DATED_LOG.names), "prediction_date").write.mode("errorifexists").partitionBy(
             "prediction_date"
-        ).write.mode("errorifexists").partitionBy("prediction_date").parquet(target.predictions_path)
+        ).parquet(target.predictions_path)
         return target
 
 
