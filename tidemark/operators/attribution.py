@@ -14,6 +14,7 @@ batches; only the feature array crosses into Python.
 from __future__ import annotations
 
 import math
+import sys
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,9 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.scratch import new_folder
 
-import sys
-
-# executors get this module's functions with the task, wherever the package is installed
+# executors get this module's functions with the task, also where the package is not installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TABLE_FEATURES = 8  # leaves with more features on their path are not given a full table
@@ -173,12 +172,12 @@ class BatchExplainer:
 
 def attribution_udf(spark: SparkSession, table: LeafTable):
     """A function of an ``array<double>`` column of features that gives their attributions."""
-    shared = spark.sparkContext.broadcast(table)
+    shared = spark.sparkContext.broadcast((table.groups, table.base, table.n_features))
 
     @F.pandas_udf("array<double>")
     def attributions(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        explainer = BatchExplainer(shared.value)
-        width = shared.value.n_features
+        leaves = LeafTable(*shared.value)
+        explainer, width = BatchExplainer(leaves), leaves.n_features
         for batch in batches:
             if len(batch) == 0:
                 yield pd.Series([], dtype=object)
