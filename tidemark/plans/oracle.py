@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tidemark import settings
 from tidemark.operators.rules import ENUM_RULES
-from tidemark.plans.queries import PARAMS, RANGES, THRESHOLDS  # noqa: F401
+from tidemark.plans.queries import RANGES, THRESHOLDS
 from tidemark.plans.testbed import ATTRIBUTION_WIDTH, ORDERS_CARD
 
 DERIVED = """
@@ -141,7 +141,8 @@ dated AS (
   SELECT * REPLACE ('v_' || strftime(prediction_timestamp, '%Y%m%d') AS model_version)
   FROM resolved WHERE actual_outcome IS NOT NULL),
 daily AS (
-  SELECT model_version, strptime(substr(model_version, 3), '%Y%m%d') AS evaluation_date, {_EVAL_COLUMNS}
+  SELECT model_version, strptime(substr(model_version, 3), '%Y%m%d') AS evaluation_date,
+         tn, fp, fn, tp, precision, recall, f1_score, accuracy, roc_auc, n_samples
   FROM {_evaluation('dated', 'actual_outcome', 'prediction', 'predicted_class', 'model_version')})"""
 
 VERSION_EVENTS = f"""{DAILY},
@@ -206,8 +207,8 @@ def _encoded() -> str:
 
 
 _CONFIGS = """configs AS (
-  SELECT o_orderkey AS config_id, printf('%.4f', o_totalprice / 400000e0) AS learning_rate,
-         printf('%.4f', 1.5e0 - o_totalprice / 250000e0) AS subsample, day(o_orderdate) - 1 AS n_estimators,
+  SELECT o_orderkey AS config_id, printf('%.10f', o_totalprice / 400000e0) AS learning_rate,
+         printf('%.10f', 1.5e0 - o_totalprice / 250000e0) AS subsample, day(o_orderdate) - 1 AS n_estimators,
          CASE o_orderpriority WHEN '1-URGENT' THEN 'hist' WHEN '2-HIGH' THEN 'fastest' END AS tree_method,
          o_orderstatus AS max_depth
   FROM orders),
@@ -359,9 +360,8 @@ ORACLE: dict[str, str] = {
         AND prediction_timestamp BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20 12:00:00'""",
     "latest_predictions": f"""WITH {LOG} SELECT prediction_id, strftime(prediction_timestamp, {MICRO}) AS predicted_at
       FROM resolved WHERE actual_outcome IS NULL ORDER BY prediction_timestamp DESC, prediction_id LIMIT 25""",
-    "customer_features": f"WITH {_ENGINEERED} "
-    + _rounded("customer_id, is_new_customer, is_long_term_customer, service_count, is_high_value, ",
-               "tenure_years avg_monthly_spend current_to_avg_ratio total_spend_ratio", "engineered"),
+    "customer_features": f"""WITH {_ENGINEERED} SELECT customer_id, tenure_years, is_new_customer, is_long_term_customer,
+      avg_monthly_spend, current_to_avg_ratio, total_spend_ratio, service_count, is_high_value FROM engineered""",
     "customer_features_fitted": f"""WITH {CUSTOMERS} SELECT customer_id,
       CAST(coalesce(monthly_charges > (SELECT quantile_cont(monthly_charges, 0.5) FROM customers WHERE churn = 0), false)
         AS INTEGER) AS is_high_value,
@@ -477,19 +477,21 @@ ORACLE: dict[str, str] = {
       SELECT feature, round(h, 6) AS high_risk_mean, round(l, 6) AS low_risk_mean, round(h - l, 6) AS difference FROM m""",
     # attributions of every customer must add up to the margin
     "model_attributions": f"WITH {CUSTOMERS} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_violations, 0e0 AS max_error FROM customers",
-    "performance_check": f"WITH {DAILY} SELECT model_version, recall, recall >= 0.5 AS meets_threshold FROM daily",
+    "performance_check": f"WITH {DAILY} SELECT model_version, round(recall, 6) AS recall, recall >= 0.5 AS meets_threshold FROM daily",
     "alert_generation": f"""WITH {DAILY} SELECT 'ALERT_' || strftime(evaluation_date, '%Y%m%d_%H%M%S') || '_' || model_version AS alert_id,
       model_version, 'performance_degradation' AS alert_type,
       'Model performance degradation detected for version ' || model_version || printf('. Recall: %.4f (threshold: %.4f), Precision: %.4f, F1-Score: %.4f',
         round(recall, 4), 0.5e0, round(precision, 4), round(f1_score, 4)) AS message,
-      'high' AS severity, strftime(evaluation_date, {MICRO}) AS raised_at, recall, roc_auc FROM daily WHERE recall < 0.5""",
+      'high' AS severity, strftime(evaluation_date, {MICRO}) AS raised_at, round(recall, 6) AS recall,
+      round(roc_auc, 6) AS roc_auc FROM daily WHERE recall < 0.5""",
     "newest_alerts": f"""WITH {DAILY} SELECT 'ALERT_' || strftime(evaluation_date, '%Y%m%d_%H%M%S') || '_' || model_version AS alert_id,
       model_version FROM daily WHERE recall < 0.5 ORDER BY evaluation_date DESC LIMIT 5""",
-    "recall_trend": f"""WITH {DAILY} SELECT arg_min(recall, evaluation_date) AS first_recall, arg_max(recall, evaluation_date) AS last_recall,
+    "recall_trend": f"""WITH {DAILY} SELECT round(arg_min(recall, evaluation_date), 6) AS first_recall, round(arg_max(recall, evaluation_date), 6) AS last_recall,
       strftime(min(evaluation_date) FILTER (WHERE recall < 0.5), '%Y-%m-%d') AS first_breach, count(*) AS n_evaluations,
       round(arg_min(recall, evaluation_date) - arg_max(recall, evaluation_date), 6) AS recall_drop FROM daily""",
     "version_comparison": f"""WITH {DAILY} SELECT model_version AS version,
-      strftime(evaluation_date, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp, recall, precision, f1_score FROM daily""",
+      strftime(evaluation_date, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp, round(recall, 6) AS recall,
+      round(precision, 6) AS precision, round(f1_score, 6) AS f1_score FROM daily""",
     "latest_version": f"WITH {DAILY} SELECT arg_max(model_version, evaluation_date) AS version FROM daily",
     "deployed_version": f"WITH {VERSION_EVENTS} SELECT arg_max(version, happened) AS version FROM version_events WHERE event = 'deploy'",
     "serving_version": f"""WITH {VERSION_EVENTS} SELECT coalesce((SELECT arg_max(version, happened) FROM version_events WHERE event = 'deploy'),

@@ -151,8 +151,8 @@ def _configurations(spark: SparkSession, sf: str) -> DataFrame:
     def entry(param, value, kind):
         return F.struct(F.lit(param).alias("param"), value.cast("string").alias("value"), F.lit(kind).alias("value_type"))
 
-    rate = F.format_string("%.4f", F.col("o_totalprice") / 400000.0)
-    share = F.format_string("%.4f", 1.5 - F.col("o_totalprice") / 250000.0)
+    rate = F.format_string("%.10f", F.col("o_totalprice") / 400000.0)
+    share = F.format_string("%.10f", 1.5 - F.col("o_totalprice") / 250000.0)
     trees = F.dayofmonth("o_orderdate") - 1
     method = F.when(F.col("o_orderpriority") == "1-URGENT", "hist").when(
         F.col("o_orderpriority") == "2-HIGH", "fastest"
@@ -212,8 +212,8 @@ def latest_predictions(spark, sf):
 
 @query
 def customer_features(spark, sf):
-    c = testbed.customers(spark, sf)
-    return rounded(feature_ops.add_features(c).select("customer_id", *feature_ops.DERIVED_FEATURES))
+    # not rounded: both engines do the same arithmetic on the same doubles
+    return feature_ops.add_features(testbed.customers(spark, sf)).select("customer_id", *feature_ops.DERIVED_FEATURES)
 
 
 @query
@@ -590,7 +590,7 @@ def daily_evaluations(spark: SparkSession, sf: str) -> DataFrame:
         "model_version", F.concat(F.lit("v_"), F.regexp_replace("day", "-", ""))
     )
     e = classification.evaluate(dated, "actual_outcome", "prediction", "predicted_class", ["model_version", "day"])
-    return rounded(e).withColumn("evaluation_date", F.to_timestamp("day"))
+    return e.withColumn("evaluation_date", F.to_timestamp("day"))
 
 
 def _version_metadata(spark: SparkSession, sf: str) -> DataFrame:
@@ -617,13 +617,13 @@ def _version_events(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def performance_check(spark, sf):
     checked = classification.meets_recall(daily_evaluations(spark, sf), 0.5)
-    return checked.select("model_version", "recall", "meets_threshold")
+    return rounded(checked.select("model_version", "recall", "meets_threshold"))
 
 
 @query
 def alert_generation(spark, sf):
     a = alerts.raise_alerts(daily_evaluations(spark, sf), 0.5)
-    return a.select(
+    listed = a.select(
         "alert_id",
         "model_version",
         "alert_type",
@@ -633,6 +633,7 @@ def alert_generation(spark, sf):
         F.col("metrics")["recall"].alias("recall"),
         F.col("metrics")["roc_auc"].alias("roc_auc"),
     )
+    return rounded(listed)
 
 
 @query
@@ -649,7 +650,7 @@ def recall_trend(spark, sf):
 
 @query
 def version_comparison(spark, sf):
-    return registry.version_comparison(_version_metadata(spark, sf))
+    return rounded(registry.version_comparison(_version_metadata(spark, sf)))
 
 
 @query
@@ -688,7 +689,10 @@ def streamed_scores(spark, sf):
         F.format_string("ORDER_%08d", "o_orderkey").alias("customer_id"),
         F.month("o_orderdate").alias("tenure_months"),
         (F.col("o_totalprice") / 5000.0).alias("monthly_charges"),
-        F.when(F.col("o_orderstatus") == "F", "Month-to-month").when(F.col("o_orderstatus") == "O", "Two year").otherwise("One year").alias("contract_type"),
+        F.when(F.col("o_orderstatus") == "F", "Month-to-month")
+        .when(F.col("o_orderstatus") == "O", "Two year")
+        .otherwise("One year")
+        .alias("contract_type"),
         F.when(F.col("o_orderpriority") == "1-URGENT", "Electronic check").otherwise("Credit card").alias("payment_method"),
         F.when(F.col("o_orderpriority") == "5-LOW", "No").otherwise("Fiber optic").alias("internet_service"),
     )
