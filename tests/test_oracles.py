@@ -6,9 +6,11 @@ import pytest
 from oracle_compare import connect, differences
 
 import __spark_entry__ as entry
+from tidemark.plans.oracle import ORACLE
+from tidemark.plans.queries import QUERIES as NAMED
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES = {name: query for name, query in entry.queries().items() if name in NAMED}
 MODELS = sorted(set(QUERIES) - set(ORACLE))
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
