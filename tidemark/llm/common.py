@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: int = 1, limit: int = BATCH_
     """The same rows in batches whose column ``text`` has about ``limit`` bytes at most, but one row at least."""
     for batch in batches:
         start, total = 0, 0
-        for i, n in enumerate(pa.compute.binary_length(batch.column(text)).to_pylist()):
+        for i, n in enumerate(pc.binary_length(batch.column(text)).to_pylist()):
             if i > start and total + (n or 0) > limit:
                 yield batch.slice(start, i - start)
                 start, total = i, 0

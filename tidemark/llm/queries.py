@@ -10,12 +10,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, token_counts
+from tidemark.llm import byte_bpe, decontamination, simhash, token_counts
 from tidemark.llm.common import sha256, table
 
 TOKEN_LIMIT = 1024
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["last"] - s["first"] + 1)
+    return found.select(
+        "doc.doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort("item_ids")), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, as digests of both."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -44,5 +58,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
-QUERIES = {"op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of near-duplicates of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return found.withColumn("fingerprint", simhash.hexadecimal("fingerprint"))
+
+
+QUERIES = {"op3_decontamination": op3_decontamination, "op9_simhash": op9_simhash, "op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
 ORACLE: dict[str, str] = {}
