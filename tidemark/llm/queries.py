@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, decontamination, simhash, token_counts
-from tidemark.llm.common import sha256, table
+from tidemark.llm import byte_bpe, decontamination, languages, simhash, token_counts
+from tidemark.llm.common import held_out, sha256, table
 
 TOKEN_LIMIT = 1024
 
@@ -30,6 +30,14 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of every document, learned from those whose key is not held out."""
+    documents = table(spark, sf_dir, "documents")
+    apart = held_out("doc_id", 4, 2)
+    model = languages.fit(documents.where(languages.learnable(apart)))
+    return languages.predict(documents, model).select("doc_id", apart.alias("held_out"), "lang_pred", "score", "languages")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, as digests of both."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -64,5 +72,5 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", simhash.hexadecimal("fingerprint"))
 
 
-QUERIES = {"op3_decontamination": op3_decontamination, "op9_simhash": op9_simhash, "op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
+QUERIES = {"op3_decontamination": op3_decontamination, "op4_language": op4_language, "op9_simhash": op9_simhash, "op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
 ORACLE: dict[str, str] = {}
