@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, decontamination, languages, simhash, token_counts
+from tidemark.llm import byte_bpe, chat, decontamination, languages, simhash, substring_dedup, token_counts
 from tidemark.llm.common import held_out, sha256, table
 
 TOKEN_LIMIT = 1024
@@ -41,6 +41,12 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.predict(documents, model).select("doc_id", apart.alias("held_out"), "lang_pred", "score", "languages")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that also stand elsewhere, as a digest."""
+    kept = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, and one that is full of control strings; digests are read back."""
     planted = [(-7, i, role, r"\### Assistant: </turn> ok") for i, role in enumerate(("user", "assistant"))]
@@ -100,5 +106,5 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", simhash.hexadecimal("fingerprint"))
 
 
-QUERIES = {"op3_decontamination": op3_decontamination, "op4_language": op4_language, "op6_chat": op6_chat, "op9_simhash": op9_simhash, "op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
+QUERIES = {"op3_decontamination": op3_decontamination, "op4_language": op4_language, "op5_substring_dedup": op5_substring_dedup, "op6_chat": op6_chat, "op9_simhash": op9_simhash, "op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
 ORACLE: dict[str, str] = {}
