@@ -13,12 +13,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, decontamination, languages, simhash, substring_dedup, token_counts
+from tidemark.llm import byte_bpe, chat, decontamination, languages, pivot_search, simhash, substring_dedup, token_counts
 from tidemark.llm.common import held_out, sha256, table
 
 TOKEN_LIMIT = 1024
 
 
+def op1_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten vectors of highest integer inner product for every hundredth vector."""
+    rows = table(spark, sf_dir, "embeddings").where(pivot_search.usable("embedding"))
+    rows = rows.select("vec_id", pivot_search.scaled("embedding", 1024).alias("vector"))
+    return pivot_search.nearest(rows, F.col("vec_id") % 100 == 0, k=10)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -106,5 +113,5 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", simhash.hexadecimal("fingerprint"))
 
 
-QUERIES = {"op3_decontamination": op3_decontamination, "op4_language": op4_language, "op5_substring_dedup": op5_substring_dedup, "op6_chat": op6_chat, "op9_simhash": op9_simhash, "op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
+QUERIES = {"op1_pivot_search": op1_pivot_search, "op3_decontamination": op3_decontamination, "op4_language": op4_language, "op5_substring_dedup": op5_substring_dedup, "op6_chat": op6_chat, "op9_simhash": op9_simhash, "op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
 ORACLE: dict[str, str] = {}
