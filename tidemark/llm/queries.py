@@ -13,10 +13,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, decontamination, languages, pivot_search, simhash, substring_dedup, token_counts
+from tidemark.llm import byte_bpe, chat, decontamination, languages, pivot_search, quality, simhash, substring_dedup, token_counts
 from tidemark.llm.common import held_out, sha256, table
 
 TOKEN_LIMIT = 1024
+GOOD = 0.3
 
 
 def op1_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,5 +114,13 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", simhash.hexadecimal("fingerprint"))
 
 
-QUERIES = {"op1_pivot_search": op1_pivot_search, "op3_decontamination": op3_decontamination, "op4_language": op4_language, "op5_substring_dedup": op5_substring_dedup, "op6_chat": op6_chat, "op9_simhash": op9_simhash, "op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from labels whose key is not held out."""
+    documents, apart = table(spark, sf_dir, "documents"), held_out("doc_id", 5, 0)
+    model = quality.fit(documents, table(spark, sf_dir, "labels"), ~apart)
+    scored = quality.score(documents, model)
+    return scored.select("doc_id", apart.alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
+QUERIES = {"op10_quality": op10_quality, "op1_pivot_search": op1_pivot_search, "op3_decontamination": op3_decontamination, "op4_language": op4_language, "op5_substring_dedup": op5_substring_dedup, "op6_chat": op6_chat, "op9_simhash": op9_simhash, "op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
 ORACLE: dict[str, str] = {}
