@@ -1,6 +1,6 @@
 """Byte-level BPE as relations: an in-process SQL engine in every task contracts token rows.
 
-A word is a chain of rows (word, start, end, token, next token). One step of the recursive query joins
+A word is a chain of token rows. One step of the recursive query joins
 the rows with the merge table, takes each word's pair of lowest rank, leftmost first, and contracts it.
 Words without a pair leave the recursion. Long words have a step of their own that contracts all
 occurrences of the lowest pair up to the first whose contraction opens a lower one, so that the number
@@ -15,35 +15,36 @@ from collections.abc import Iterator
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import pieces
+from tidemark.llm.common import pieces, schema
 from tidemark.llm.pretokens import Cutter
 
 LONG = 200  # bytes; longer words take the step that contracts many pairs at once
-WORDS = 40_000  # words per recursive query, which bounds its rows
-TOKENS = 1_000_000  # token rows per decoding query, unless one text has more
+WORDS = 30_000  # words per recursive query, which bounds its rows
+TOKENS = 300_000  # token rows per decoding query, unless one text has more
 
+# A row is a token: g is the word's number and the start (8 bits), e the end, nx the next token. A pair's rank,
+# start and end make one number, whose minimum is the leftmost pair of lowest rank.
 SHORT_WORDS = """
 with recursive chain as (
-    select w, p, lead(p) over follow as e, t, lead(t) over follow as nx, false as done
-    from letters window follow as (partition by w order by p)
+    select g, e, t, nx, false as done from letters
     union all (
     with paired as materialized (
-        select c.w, c.p, c.e, c.t, c.nx, m.rank
+        select c.g, c.e, c.t, c.nx, (m.rank::bigint << 16) + ((c.g & 255) << 8) + c.e as pair
         from chain c left join merges m on m.pair = (c.t::bigint << 20) | c.nx where not c.done),
-    lowest as (
-        select w, min((rank::bigint << 32) | p) as best, arg_min(e, (rank::bigint << 32) | p) as q from paired group by w),
+    lowest as (select g >> 8 as w, min(pair) as best from paired group by g >> 8),
     chosen as (
-        select l.w, (l.best >> 32)::int as made, l.best & 4294967295 as at, l.q, r.e, r.nx
-        from lowest l left join paired r on r.w = l.w and r.p = l.q)
-    select r.w, r.p, case when r.p = c.at then c.e else r.e end,
-        case when r.p = c.at then c.made else r.t end,
-        case when r.p = c.at then c.nx when r.e = c.at then c.made else r.nx end, c.made is null
-    from paired r join chosen c on r.w = c.w where c.q is null or r.p <> c.q))
-select w, p, t from chain where done order by p"""
+        select l.w, (l.best >> 16)::int as made, ((l.best >> 8) & 255)::int as at, (l.best & 255)::int as q, r.e, r.nx
+        from lowest l left join paired r on r.g = (l.w << 8) + (l.best & 255)::int)
+    select r.g, case when (r.g & 255) = c.at then c.e else r.e end,
+        case when (r.g & 255) = c.at then c.made else r.t end,
+        case when (r.g & 255) = c.at then c.nx when r.e = c.at then c.made else r.nx end, c.made is null
+    from paired r join chosen c on (r.g >> 8) = c.w where c.q is null or (r.g & 255) <> c.q))
+select g >> 8 as w, t from chain where done order by g"""
 
 LONG_WORDS = """
 with recursive chain as (
@@ -75,7 +76,7 @@ with recursive chain as (
 select w, p, t from chain where done order by p"""
 
 DECODE = """
-select d, string_agg(v.text, '' order by p) from tokens join vocabulary v using (t) group by d"""
+select d, array_to_string(list(v.text order by p), '') from tokens join vocabulary v using (t) group by d"""
 
 
 class Ranks:
@@ -96,7 +97,7 @@ class Engine:
 
     def __init__(self, ranks: Ranks) -> None:
         self.ranks = ranks
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         self.known = np.zeros(max(ranks.ids.values(), default=0) + 1, bool)
         self.known[list(ranks.ids.values())] = True
         left, right, made = ranks.pairs.T
@@ -124,19 +125,36 @@ class Engine:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         letters = self.ranks.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
         owner = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
-        self.db.register("letters", pa.table({"w": owner, "p": np.arange(len(letters)), "t": letters}))
+        if step is SHORT_WORDS:
+            start = (np.arange(len(letters)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
+            following = np.r_[letters[1:], np.int32(-1)]
+            following[np.cumsum(sizes) - 1] = -1
+            rows = {"g": owner << 8 | start, "e": start + 1, "t": letters, "nx": following}
+        else:
+            rows = {"w": owner, "p": np.arange(len(letters)), "t": letters}
+        self.db.register("letters", pa.table(rows))
         rows = self.db.execute(step).fetchnumpy()
         self.db.unregister("letters")
         ends = 4 * np.cumsum(np.bincount(rows["w"], minlength=len(words)))
         data = rows["t"].astype("<i4").tobytes()
         return [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
 
-    def decode(self, owners: np.ndarray, ids: np.ndarray, n: int) -> list[bytes]:
-        """The bytes of ``n`` texts from their ids in order; ``owners`` says whose each id is."""
-        self.db.register("tokens", pa.table({"d": owners, "p": np.arange(len(ids)), "t": ids}))
-        found = dict(self.db.execute(DECODE).fetchall())
-        self.db.unregister("tokens")
-        return [found.get(i, "").encode("latin-1") for i in range(n)]
+    def decode(self, sizes: np.ndarray, ids: np.ndarray) -> list[bytes]:
+        """The bytes of texts of so many ids each, whose ids stand one after the other."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all()):
+            raise ValueError("an id is not in the vocabulary")
+        ends, out, first = np.cumsum(sizes), [], 0
+        while first < len(sizes):
+            begin = int(ends[first] - sizes[first])
+            last = max(first + 1, int(np.searchsorted(ends, begin + TOKENS, side="right")))
+            end = int(ends[last - 1])
+            owners = np.repeat(np.arange(last - first, dtype=np.int32), sizes[first:last])
+            self.db.register("tokens", pa.table({"d": owners, "p": np.arange(end - begin, dtype=np.int32), "t": ids[begin:end]}))
+            found = dict(self.db.execute(DECODE).fetchall())
+            self.db.unregister("tokens")
+            out += [found.get(i, "").encode("latin-1") for i in range(last - first)]
+            first = last
+        return out
 
 
 _ENGINES: dict[str, Engine] = {}  # of this Python worker, for the last vocabulary
@@ -158,6 +176,10 @@ def _cutter(shared: Broadcast, path: str, pattern: str) -> Cutter:
     return _CUTTERS[path, pattern]
 
 
+def _encoded(cutter: Cutter, texts: pa.Array) -> list[bytes]:
+    return [b"".join(v) for v in cutter.values([t or "" for t in texts.to_pylist()])]
+
+
 def _shared(spark: SparkSession, path: str) -> Broadcast:
     return spark.sparkContext.broadcast(Ranks(path))  # as large as the vocabulary
 
@@ -173,42 +195,45 @@ def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = _cutter(shared, path, pattern)
         for batch in pieces(batches):
-            encoded = [b"".join(v) for v in cutter.values([t or "" for t in batch.column(1).to_pylist()])]
+            encoded = _encoded(cutter, batch.column(1))
             offsets = np.cumsum([0, *(len(x) // 4 for x in encoded)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(encoded), "<i4"))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "token_ids"])
 
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    return chosen.mapInArrow(run, f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, token_ids array<int>")
+    return chosen.mapInArrow(run, schema(chosen, "token_ids array<int>"))
 
 
 def decode(encoded: DataFrame, path: str, id_column: str = "doc_id", ids_column: str = "token_ids") -> DataFrame:
-    """Rows (doc_id, token_ids, decoded binary): the bytes that the ids stand for. Null and empty lists
-    give no bytes; an id outside the vocabulary raises."""
+    """Rows (doc_id, decoded binary): the bytes that the ids stand for. Null and empty lists give no bytes;
+    an id outside the vocabulary raises."""
     shared = _shared(encoded.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         engine = _engine(shared, path)
-        for batch in _by_tokens(batches):
+        for batch in batches:
             lists = batch.column(1)
-            sizes = np.array(pa.compute.fill_null(pa.compute.list_value_length(lists), 0), np.int64)
-            ids = np.asarray(lists.flatten(), np.int32)
-            if len(ids) and (ids.min() < 0 or ids.max() >= len(engine.known) or not engine.known[ids].all()):
-                raise ValueError("an id is not in the vocabulary")
-            texts = engine.decode(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), ids, len(sizes))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(texts, pa.binary())], ["doc_id", "token_ids", "decoded"])
+            sizes = np.array(pc.fill_null(pc.list_value_length(lists), 0), np.int64)
+            texts = engine.decode(sizes, np.asarray(lists.flatten(), np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], ["doc_id", "decoded"])
 
     chosen = encoded.select(F.col(id_column).alias("doc_id"), F.col(ids_column).alias("token_ids"))
-    return chosen.mapInArrow(run, f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, token_ids array<int>, decoded binary")
-
-
-def _by_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        start, total = 0, 0
-        for i, n in enumerate(pa.compute.list_value_length(batch.column(1)).to_pylist()):
-            if i > start and total + (n or 0) > TOKENS:
-                yield batch.slice(start, i - start)
-                start, total = i, 0
-            total += n or 0
-        if batch.num_rows > start:
-            yield batch.slice(start)
+    return chosen.mapInArrow(run, schema(chosen, "decoded binary"))
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Rows (doc_id, packed binary, decoded binary): the ids of every text as little-endian unsigned 32-bit
+    integers, and the bytes that these ids stand for. Both by one task; otherwise as ``encode`` and ``decode``."""
+    shared = _shared(docs.sparkSession, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter, engine = _cutter(shared, path, pattern), _engine(shared, path)
+        for batch in pieces(batches):
+            encoded = _encoded(cutter, batch.column(1))
+            sizes = np.array([len(x) // 4 for x in encoded], np.int64)
+            texts = engine.decode(sizes, np.frombuffer(b"".join(encoded), "<i4"))
+            columns = [batch.column(0), pa.array(encoded, pa.binary()), pa.array(texts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "packed", "decoded"])
+
+    chosen = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    return chosen.mapInArrow(run, schema(chosen, "packed binary, decoded binary"))

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.sources.scratch import new_folder
 
@@ -19,6 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def schema(table: DataFrame, rest: str, key: str = "doc_id") -> T.StructType:
+    """The key column of a table, whatever its type, and further columns in DDL."""
+    return T.StructType([T.StructField(key, table.schema[key].dataType), *T.StructType.fromDDL(rest).fields])
+
+
+def whole_rows(table: DataFrame) -> Column:
+    """All columns as one struct, for operators that give back the key they were given."""
+    return F.struct(*(F.col(f"`{c}`") for c in table.columns))
+
+
 def as_bytes(text: str) -> Column:
     """The UTF-8 bytes of a text column, so that tasks need not decode and encode."""
     return F.col(text).cast("binary")

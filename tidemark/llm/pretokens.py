@@ -23,47 +23,69 @@ class Recent:
     def __init__(self, limit: int) -> None:
         self.limit, self.new, self.old = limit, {}, {}
 
-    def missing(self, keys: Iterable) -> list:
+    def recall(self, keys: Iterable) -> list:
         """Those of the keys that are not known; the others are in ``new`` afterwards."""
-        if len(self.new) >= self.limit:
-            self.old, self.new = self.new, {}
         found = []
-        for key in set(keys).difference(self.new):
+        for key in keys:
             if (value := self.old.get(key)) is None:
                 found.append(key)
             else:
                 self.new[key] = value
         return found
 
+    def age(self) -> None:
+        if len(self.new) >= self.limit:
+            self.old, self.new = self.new, {}
+
 
 class Cutter:
     """Texts as sequences of values of their chunks.
 
     ``solve`` gets a list of distinct pre-tokens and returns a value for each; ``join`` makes one value of
-    the values of a chunk's pre-tokens."""
+    the values of a chunk's pre-tokens. Values are true."""
 
-    def __init__(self, pattern: str, solve: Callable, join: Callable, limit: int = 300_000) -> None:
+    def __init__(self, pattern: str, solve: Callable, join: Callable, chunks: int = 200_000, words: int = 500_000) -> None:
         self.pattern = regex.compile(pattern)
         self.solve, self.join = solve, join
-        self.chunks, self.words = Recent(limit), Recent(limit)
+        self.chunks, self.words = Recent(chunks), Recent(words)
 
-    def chunked(self, text: str) -> list[str] | None:
-        """The chunks of a text, or None if it has white space in a row."""
-        if not text or _GAP.search(text):
-            return None
-        first, *rest = text.split(" ")
-        return [*([first] if first else []), *(" " + x for x in rest)]
+    def _cut(self, chunk: str) -> list[str]:
+        """The pre-tokens of a chunk behind a space. Letters alone, or with one mark behind, need no pattern."""
+        if chunk.isalpha():
+            return [" " + chunk]
+        if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
+            return [" " + chunk[:-1], chunk[-1]]
+        return self.pattern.findall(" " + chunk)
 
     def values(self, texts: list[str]) -> list[list]:
-        """For each text the values of its chunks, in order."""
-        cut = [self.chunked(t) for t in texts]
-        whole = [self.pattern.findall(t) if c is None else None for t, c in zip(texts, cut, strict=True)]
-        fresh = self.chunks.missing(x for c in cut if c for x in c)
-        words = [self.pattern.findall(x) for x in fresh]
-        new = self.words.missing(w for some in (words, whole) for ws in some if ws for w in ws)
+        """For each text the values of its parts, in order."""
+        self.chunks.age()
+        self.words.age()
+        get, parts, heads, fresh = self.chunks.new.get, [], [], set()
+        for text in texts:
+            if _GAP.search(text):
+                head, chunks = self.pattern.findall(text), []
+            else:
+                first, *chunks = text.split(" ")
+                head = self.pattern.findall(first)
+                if chunks and not chunks[-1]:  # the text ends with a space
+                    chunks.pop()
+                    head, chunks = self.pattern.findall(text), []
+            known = list(map(get, chunks))
+            if not all(known):
+                fresh.update(c for c, v in zip(chunks, known, strict=True) if v is None)
+                known = None
+            parts.append((chunks, known))
+            heads.append(head)
+        fresh = self.chunks.recall(fresh)
+        words = list(map(self._cut, fresh))
+        need = {w for some in (words, heads) for ws in some for w in ws}
+        new = self.words.recall(need.difference(self.words.new))
         self.words.new.update(zip(new, self.solve(new), strict=True))
-        known, join = self.words.new, self.join
-        for chunk, ws in zip(fresh, words, strict=True):
-            self.chunks.new[chunk] = join([known[w] for w in ws])
-        get = self.chunks.new.__getitem__
-        return [list(map(get, c)) if c else [known[w] for w in ws] if ws else [] for c, ws in zip(cut, whole, strict=True)]
+        value, join = self.words.new.__getitem__, self.join
+        self.chunks.new.update((c, join(map(value, ws))) for c, ws in zip(fresh, words, strict=True))
+        take = self.chunks.new.__getitem__
+        return [
+            list(map(value, head)) + (list(map(take, chunks)) if known is None else known)
+            for head, (chunks, known) in zip(heads, parts, strict=True)
+        ]

@@ -4,12 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from collections.abc import Iterator
-
-import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,21 +79,12 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, as digests of both."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [np.asarray(x.values, "<i4").tobytes() for x in batch.column(1)]
-            columns = [
-                batch.column(0),
-                pa.array([len(x) // 4 for x in ids], pa.int64()),
-                pa.array(list(map(sha256, ids))),
-                pa.array([sha256(x.as_py()) for x in batch.column(2)]),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return byte_bpe.decode(encoded, path).mapInArrow(
-        digests, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    found = byte_bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return found.select(
+        "doc_id",
+        (F.octet_length("packed") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("packed", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -13,13 +13,13 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import pieces
+from tidemark.llm.common import pieces, schema
 from tidemark.llm.pretokens import Cutter
 
-COUNTS = "doc_id {id}, n_bytes bigint, n_tokens bigint"
 SHORT = 64  # symbols; shorter words are merged by scanning, longer ones with a heap
 
 
@@ -134,8 +134,8 @@ def count_tokens(docs: DataFrame, path: str, pattern: str, id_column: str = "doc
             parts = [split.split(t) if split else [t] for t in texts]
             totals = iter(map(sum, cutter.values([p for some in parts for p in some])))
             tokens = [sum(next(totals) for _ in some) + len(some) - 1 for some in parts]
-            sizes = [n or 0 for n in pa.compute.binary_length(batch.column(1)).to_pylist()]
+            sizes = [n or 0 for n in pc.binary_length(batch.column(1)).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(tokens, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    return chosen.mapInArrow(count, COUNTS.format(id=chosen.schema["doc_id"].dataType.simpleString()))
+    return chosen.mapInArrow(count, schema(chosen, "n_bytes bigint, n_tokens bigint"))
