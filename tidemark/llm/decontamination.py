@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import pieces
+from tidemark.llm.common import as_bytes, pieces, whole_rows
 from tidemark.llm.fm_index import FMIndex
 
 WINDOW = 10
@@ -134,7 +134,7 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_column:
     fewer words than a window matches as a whole. Repeated rows of either table do no harm: documents give
     a row each, items count once. An empty benchmark hits nothing.
     """
-    out = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col(text_column).cast("binary").alias("text"))
+    out = docs.select(whole_rows(docs).alias("doc"), as_bytes(text_column).alias("text"))
     out = out.select("doc", "text", *(F.lit(None).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(FOUND).fields))
     for block in _blocks(benchmark, item_column, item_text_column):
         rows = [(r["item"], bytes(r["text"])) for r in block.collect()]  # of a block, whose size is bounded

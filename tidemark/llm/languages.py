@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes, pieces
+from tidemark.llm.common import as_bytes, pieces, schema
 
 GRAM = 3  # bytes
 BUCKET_BITS = 16
@@ -199,8 +199,7 @@ def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colum
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "languages"])
 
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, languages map<string, double>")
+    return chosen.mapInArrow(run, schema(chosen, "lang_pred string, score double, languages map<string, double>"))
 
 
 def learnable(held_out: Column, language: str = "lang") -> Column:

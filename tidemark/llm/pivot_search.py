@@ -103,7 +103,7 @@ class Index:
                 annulus = np.floor(distance / (reach * WIDTH)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pivot.astype(np.int32)), pa.array(annulus), pa.array(distance)], ["vec_id", "vector", "pivot", "annulus", "distance"])
 
-        return vectors.mapInArrow(run, vectors.schema.simpleString()[7:-1] + ", pivot int, annulus int, distance double")
+        return vectors.mapInArrow(run, "vec_id bigint, vector array<bigint>, pivot int, annulus int, distance double")
 
     def distances(self, queries: DataFrame) -> DataFrame:
         """Rows (query_id, pivot, far): how far each query is from each pivot. A query has no length of its

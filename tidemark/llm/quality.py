@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes, pieces
+from tidemark.llm.common import as_bytes, pieces, schema
 
 SHAPE_BITS = 9
 POSITIVES, UNLABELLED = 8_000, 16_000  # rows at most that the model is fitted on
@@ -141,4 +141,4 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     chosen = docs.select(F.col(id_column).alias("doc_id"), as_bytes(text_column).alias("text"))
-    return chosen.mapInArrow(run, f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, score double")
+    return chosen.mapInArrow(run, schema(chosen, "score double"))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes, pieces, staged
+from tidemark.llm.common import as_bytes, pieces, schema, staged
 from tidemark.llm.components import connected
 
 SEED = 42
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_column: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], ["doc_id", "fingerprint"])
 
     chosen = docs.select(F.col(id_column).alias("doc_id"), as_bytes(text_column).alias("text"))
-    return chosen.mapInArrow(run, f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, fingerprint bigint")
+    return chosen.mapInArrow(run, schema(chosen, "fingerprint bigint"))
 
 
 def band_masks(n: int, radius: int) -> list[int]:

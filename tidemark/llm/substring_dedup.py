@@ -16,9 +16,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.llm.common import pieces, staged
+from tidemark.llm.common import pieces, schema, staged, whole_rows
 from tidemark.llm.recompression import Prefixes, WordHashes, anchors, marked
 
 WINDOW = 35
@@ -33,7 +32,7 @@ def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Rows of documents with a 128-bit key of id and text. Rows with one key are alike in both, so that
     what is found for the key holds for each."""
     text, key = F.col(f"`{text_column}`"), F.col(f"`{id_column}`")
-    doc = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
+    doc = whole_rows(docs).alias("doc")
     return docs.select(F.xxhash64(text, F.lit(1), key).alias("k1"), F.xxhash64(F.lit(2), key, text).alias("k2"), text.cast("binary").alias("text"), doc)
 
 
@@ -151,5 +150,5 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc
             strings = pa.array(kept, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), strings], ["doc", "n_words", "n_removed", "kept_text"])
 
-    schema = T.StructType([T.StructField("doc", keyed.schema["doc"].dataType), *T.StructType.fromDDL(KEPT)])
-    return clear.mapInArrow(run, schema).union(hit.mapInArrow(run, schema))
+    out = schema(keyed, KEPT, "doc")
+    return clear.mapInArrow(run, out).union(hit.mapInArrow(run, out))
