@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources.scratch import new_folder
+from tidemark.sources.storage import remove
 
 BATCH_BYTES = 4 << 20  # of text that a Python task holds as one piece of work; a longer text is a piece of its own
 
@@ -48,16 +49,48 @@ def pieces(batches: Iterator[pa.RecordBatch], text: int = 1, limit: int = BATCH_
             yield batch.slice(start)
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _write(df: DataFrame, path: str) -> None:
+    """Writes a table; the shuffle files of this write go with its end, as nothing reads them again."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """The table written to the shared folder and opened again: lineage ends here, and a lost executor
     costs no recomputation of what came before. The files stay until the folder is cleaned, as later
     lazy reads need them."""
     spark = df.sparkSession
     path = new_folder(spark, purpose)
-    df.write.parquet(path)
+    _write(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Staging:
+    """Staged tables that go when they are no longer needed."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def put(self, df: DataFrame, purpose: str) -> DataFrame:
+        path = new_folder(self.spark, purpose)
+        _write(df, path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(table)] = path, table
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            remove(self.spark, self.paths.pop(id(table))[0])
+
+
 def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 

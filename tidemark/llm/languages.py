@@ -103,7 +103,7 @@ def fit(docs: DataFrame, language: str = "lang", text_column: str = "text") -> M
         names.append(row["lang"])
         columns.append(np.log(column / column.sum()).astype(np.float32))
     order = sorted(range(len(names)), key=names.__getitem__)
-    return Model([names[i] for i in order], np.array([columns[i] for i in order], np.float32).reshape(len(names), -1).T.copy())
+    return Model([names[i] for i in order], np.array([columns[i] for i in order], np.float32).reshape(len(names), 1 << BUCKET_BITS).T.copy())
 
 
 def _mixture(likelihood: np.ndarray, owner: np.ndarray, counts: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
