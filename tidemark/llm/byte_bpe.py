@@ -24,7 +24,8 @@ from tidemark.llm.common import pieces, schema
 from tidemark.llm.pretokens import Cutter
 
 LONG = 200  # bytes; longer words take the step that contracts many pairs at once
-WORDS = 30_000  # words per recursive query, which bounds its rows
+PIECE = 1 << 20  # bytes of text that are cut and encoded at once
+WORDS = 15_000  # words per recursive query, which bounds its rows
 TOKENS = 300_000  # token rows per decoding query, unless one text has more
 
 # A row is a token: g is the word's number and the start (8 bits), e the end, nx the next token. A pair's rank,
@@ -194,7 +195,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = _cutter(shared, path, pattern)
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=PIECE):
             encoded = _encoded(cutter, batch.column(1))
             offsets = np.cumsum([0, *(len(x) // 4 for x in encoded)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(encoded), "<i4"))
@@ -228,7 +229,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, engine = _cutter(shared, path, pattern), _engine(shared, path)
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=PIECE):
             encoded = _encoded(cutter, batch.column(1))
             sizes = np.array([len(x) // 4 for x in encoded], np.int64)
             texts = engine.decode(sizes, np.frombuffer(b"".join(encoded), "<i4"))

@@ -44,7 +44,7 @@ class Cutter:
     ``solve`` gets a list of distinct pre-tokens and returns a value for each; ``join`` makes one value of
     the values of a chunk's pre-tokens. Values are true."""
 
-    def __init__(self, pattern: str, solve: Callable, join: Callable, chunks: int = 200_000, words: int = 500_000) -> None:
+    def __init__(self, pattern: str, solve: Callable, join: Callable, chunks: int = 50_000, words: int = 150_000) -> None:
         self.pattern = regex.compile(pattern)
         self.solve, self.join = solve, join
         self.chunks, self.words = Recent(chunks), Recent(words)

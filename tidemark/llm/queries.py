@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, decontamination, languages, pivot_search, quality, simhash, substring_dedup, token_counts
+from tidemark.llm import byte_bpe, chat, decontamination, language_model, languages, pivot_search, quality, simhash, substring_dedup, token_counts
 from tidemark.llm.common import held_out, sha256, table
 
 TOKEN_LIMIT = 1024
@@ -23,6 +23,13 @@ def op1_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_search.nearest(rows, F.col("vec_id") % 100 == 0, k=10)
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff scores of every document under the counts of all."""
+    scores = language_model.log_scores(table(spark, sf_dir, "documents"))
+    per_word = F.round(F.try_divide("log_score", "n_words"), 4).alias("per_word")
+    return scores.select("doc_id", "n_words", F.round("log_score", 3).alias("log_score"), per_word)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -109,5 +116,29 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", apart.alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
 
 
-QUERIES = {"op10_quality": op10_quality, "op1_pivot_search": op1_pivot_search, "op3_decontamination": op3_decontamination, "op4_language": op4_language, "op5_substring_dedup": op5_substring_dedup, "op6_chat": op6_chat, "op9_simhash": op9_simhash, "op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
-ORACLE: dict[str, str] = {}
+QUERIES = {"op10_quality": op10_quality, "op1_pivot_search": op1_pivot_search, "op2_language_model": op2_language_model, "op3_decontamination": op3_decontamination, "op4_language": op4_language, "op5_substring_dedup": op5_substring_dedup, "op6_chat": op6_chat, "op9_simhash": op9_simhash, "op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
+_CAPITALS = ", ".join(repr(x) for x in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+# Operators that SQL can express. Languages, quality, tokenizers, hashes that the engine lacks and digests of
+# windows are tested against brute force instead.
+ORACLE = {
+    "op1_pivot_search": """
+      WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+      s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+      r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+      SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op2_language_model": f"""
+      WITH cut AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_CAPITALS}),
+          '[ \\x09-\\x0D]+'), x -> x <> '') AS ws FROM documents),
+      words AS (SELECT doc_id, i, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS u FROM cut, unnest(range(1, len(ws) + 1)) t(i)),
+      c1 AS (SELECT w, count(*) AS n FROM words GROUP BY w),
+      c2 AS (SELECT u, w, count(*) AS n FROM words WHERE u IS NOT NULL GROUP BY u, w),
+      scored AS (SELECT doc_id, CASE WHEN c2.n >= 2 THEN ln(c2.n / cu.n)
+          ELSE ln(CASE WHEN words.u IS NULL THEN 1e0 ELSE 0.4e0 END * cw.n / (SELECT count(*) FROM words)) END AS s
+        FROM words JOIN c1 cw ON cw.w = words.w LEFT JOIN c1 cu ON cu.w = words.u
+        LEFT JOIN c2 ON c2.u = words.u AND c2.w = words.w),
+      sums AS (SELECT doc_id, count(*) AS n, sum(s) AS s FROM scored GROUP BY doc_id)
+      SELECT doc_id, coalesce(n, 0) AS n_words, round(coalesce(s, 0e0), 3) AS log_score, round(s / n, 4) AS per_word
+      FROM documents LEFT JOIN sums USING (doc_id)""",
+}

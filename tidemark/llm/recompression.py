@@ -10,12 +10,14 @@ from __future__ import annotations
 
 
 import numpy as np
-import xxhash
 
 ROUNDS = 3
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that its powers have inverses modulo 2**64
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-WORDS = 400_000  # distinct words whose hashes a task keeps
+BYTES = 4 << 20  # of text whose words are hashed at once
+
+
+_INSIDE = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)], np.int8)  # bytes of words
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -25,37 +27,46 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes:
-    """Two 64-bit hashes for every word, remembered for a bounded number of words."""
-
-    def __init__(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.hashes = np.zeros((2, 0), np.uint64)
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        """The hashes as an array of shape (2, number of words)."""
-        if len(self.number) > WORDS:
-            self.__init__()
-        new = list(set(words).difference(self.number))
-        start = len(self.number)
-        self.number.update(zip(new, range(start, start + len(new)), strict=True))
-        data = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, new)), "<u8").reshape(-1, 2).T
-        if start + len(new) > self.hashes.shape[1]:
-            self.hashes = np.concatenate([self.hashes[:, :start], data, np.zeros((2, start + len(new)), np.uint64)], axis=1)
-        else:
-            self.hashes[:, start : start + len(new)] = data
-        codes = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        return self.hashes[:, codes]
+_OCTETS = mixed(mixed(np.arange(512, dtype=np.uint64) + np.uint64(1))).reshape(2, 256)  # by hash and byte
+_POWERS = np.ones((2, 1), np.uint64)  # of the base and of its inverse, grown as needed
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse modulo 2**64."""
+    global _POWERS
+    if n > _POWERS.shape[1]:
+        size = max(n, 2 * _POWERS.shape[1])
+        factors = np.ones((2, size), np.uint64)
+        factors[0, 1:], factors[1, 1:] = BASE, INVERSE
+        _POWERS = np.cumprod(factors, axis=1, dtype=np.uint64)
+    return _POWERS[0, :n], _POWERS[1, :n]
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Two independent 64-bit hashes of every word data[start:stop], from its bytes and length. Words are
+    taken in blocks, so that the room needed does not follow the length of a text."""
+    out = np.zeros((2, len(start)), np.uint64)
+    blocks = np.searchsorted(start, np.arange(0, len(data) + BYTES, BYTES))
+    for a, b in zip(blocks, blocks[1:], strict=False):
+        if a == b:
+            continue
+        origin = start[a]
+        octets, (power, inverse) = data[origin : stop[b - 1]], powers(stop[b - 1] - origin + 1)
+        size = (stop[a:b] - start[a:b]).astype(np.uint64)
+        for lane in (0, 1):
+            sums = np.zeros(len(octets) + 1, np.uint64)
+            np.cumsum(_OCTETS[lane][octets] * power[:-1], out=sums[1:])
+            value = (sums[stop[a:b] - origin] - sums[start[a:b] - origin]) * inverse[start[a:b] - origin]
+            out[lane, a:b] = mixed(value ^ (size << np.uint64(40)))
+    return out
 
 
 class Prefixes:
     """Hashes of any stretch of a sequence of hashes, by prefix sums of a polynomial modulo 2**64."""
 
     def __init__(self, hashes: np.ndarray) -> None:
-        n = len(hashes)
-        powers = np.cumprod(np.r_[np.uint64(1), np.full(n, BASE)], dtype=np.uint64)
-        self.sums = np.r_[np.uint64(0), np.cumsum(mixed(hashes) * powers[:-1], dtype=np.uint64)]
-        self.inverses = np.cumprod(np.r_[np.uint64(1), np.full(n, INVERSE)], dtype=np.uint64)
+        power, self.inverses = powers(len(hashes) + 1)
+        self.sums = np.r_[np.uint64(0), np.cumsum(mixed(hashes) * power[:-1], dtype=np.uint64)]
 
     def __call__(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Of the words first .. last."""
@@ -118,15 +129,15 @@ def _least(key: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return out
 
 
-def anchors(hashes: np.ndarray, end: np.ndarray, window: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Groups of neighbouring windows with a common symbol: (name, first window, last window).
+def anchors(hashes: np.ndarray, end: np.ndarray, window: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Groups of neighbouring windows with a common symbol: (name, first window, last window, the symbol's place).
 
     Of a window, the symbols of the highest level whose extents it contains count, and of these the one of
     smallest hash. As that follows from the window's words alone, equal windows have equal names."""
     behind = np.flatnonzero(end)
     text = np.r_[0, np.cumsum(end)[:-1]]  # which text each word is of
     starts = np.flatnonzero(behind[text] - np.arange(len(hashes)) >= window)
-    name, chosen = np.zeros(len(starts), np.uint64), np.full(len(starts), -1)
+    name, chosen, place = np.zeros(len(starts), np.uint64), np.full(len(starts), -1), np.zeros(len(starts), np.int64)
     for level, (symbol, low, high) in reversed(list(enumerate(levels(hashes, end, rounds)))):
         open_ = np.flatnonzero(chosen < 0)
         if not len(open_):
@@ -138,20 +149,29 @@ def anchors(hashes: np.ndarray, end: np.ndarray, window: int, rounds: int = ROUN
         order = mixed(symbol ^ np.uint64(0xA5A5 + level))
         best = _least(order, first, last)
         chosen[open_] = best * (rounds + 1) + level
-        name[open_] = order[best]
+        name[open_], place[open_] = order[best], low[best]
     new = np.r_[True, (chosen[1:] != chosen[:-1]) | (np.diff(starts) != 1)] if len(starts) else np.zeros(0, bool)
     group = np.flatnonzero(new)
-    return name[group], starts[group], starts[np.r_[group[1:], len(starts)] - 1] if len(group) else group
-
-
-def marked(texts: list[bytes | None], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes of all texts, where each text ends (a place of its own), and where each begins."""
-    words = [(t or b"").split() for t in texts]
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    flat = [w for some in words for w in some]
-    begin = np.cumsum(sizes + 1) - (sizes + 1)
-    end = np.zeros(len(flat) + len(texts), bool)
-    end[begin + sizes] = True
+    last = starts[np.r_[group[1:], len(starts)] - 1] if len(group) else group
+    return name[group], starts[group], last, place[group]
+
+
+def cut(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all texts, the first and the end byte of every word, and the number of words per text."""
+    data = np.frombuffer(b"\n".join([t or b"" for t in texts]) + b"\n", np.uint8)
+    edges = np.flatnonzero(np.diff(_INSIDE[data], prepend=np.int8(0)))
+    start, stop = edges[::2], edges[1::2]
+    lengths = np.fromiter((len(t or b"") + 1 for t in texts), np.int64, len(texts))
+    return data, start, stop, np.diff(np.searchsorted(start, np.r_[0, np.cumsum(lengths)]))
+
+
+def marked(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes of all texts, where each text ends (a place of its own), and where each begins. An end stands
+    before the first text too, so that every word has neighbours."""
+    data, start, stop, sizes = cut(texts)
+    begin = np.cumsum(sizes + 1) - sizes
+    end = np.zeros(len(start) + len(texts) + 1, bool)
+    end[begin + sizes] = end[0] = True
     out = np.zeros((2, len(end)), np.uint64)
-    out[:, ~end] = hashes(flat)
+    out[:, ~end] = word_hashes(data, start, stop)
     return out, end, begin

@@ -17,14 +17,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import pieces, schema, staged, whole_rows
-from tidemark.llm.recompression import Prefixes, WordHashes, anchors, marked
+from tidemark.llm.common import Staging, pieces, schema, staged, whole_rows
+from tidemark.llm.recompression import Prefixes, anchors, marked, mixed
 
 WINDOW = 35
 FILTER_BITS = 24  # of the filter that spares texts without repeats the shuffle: 2 MB at any size of corpus
 KEYS = ["k1", "k2"]
-ROWS = "k1 bigint, k2 bigint, name bigint, around bigint, first int, n int"
-WINDOWS = "k1 bigint, k2 bigint, first int, h1 bigint, h2 bigint"
+PART = 8  # windows that are compared by what they have in common, before each is
+ROWS = "k1 bigint, k2 bigint, name bigint, around bigint, first int, n int, place int"
+PARTS = "k1 bigint, k2 bigint, name bigint, core bigint, first int, windows array<bigint>"
 KEPT = "n_words bigint, n_removed bigint, kept_text string"
 
 
@@ -38,80 +39,110 @@ def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 def _anchor_rows(keyed: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in pieces(batches, text=2, limit=2 << 20):
-            both, end, begin = marked(batch.column(2).to_pylist(), hashes)
-            name, first, last = anchors(both[0], end, window)
+        for batch in pieces(batches, text=2, limit=1 << 20):
+            both, end, begin = marked(batch.column(2).to_pylist())
+            name, first, last, place = anchors(both[0], end, window)
             around = Prefixes(both[1])(first, last + window - 1)
             text = np.searchsorted(begin, first, side="right") - 1
             keys = [np.asarray(batch.column(i))[text] for i in (0, 1)]
-            columns = [*keys, name.view(np.int64), around.view(np.int64), (first - begin[text]).astype(np.int32), (last - first + 1).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["k1", "k2", "name", "around", "first", "n"])
+            columns = [*keys, name.view(np.int64), around.view(np.int64), *(x.astype(np.int32) for x in (first - begin[text], last - first + 1, place - begin[text]))]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["k1", "k2", "name", "around", "first", "n", "place"])
 
     return keyed.select("k1", "k2", "text").mapInArrow(run, ROWS)
 
 
-def _window_rows(asked: DataFrame, window: int) -> DataFrame:
-    """The hashes of the windows in ``groups`` of every text."""
+def _parts(asked: DataFrame, window: int) -> DataFrame:
+    """The windows in ``groups`` of every text, in parts of at most PART neighbours: their hashes, and one of
+    the words that all of the part have in common. Parts are cut at fixed distances from the anchor, so
+    that equal windows are in parts with equal cores."""
+    most = min(PART, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in pieces(batches, text=2, limit=1 << 20):
-            both, _, begin = marked(batch.column(2).to_pylist(), hashes)
-            prefixes = [Prefixes(h) for h in both]
+            both, _, begin = marked(batch.column(2).to_pylist())
+            prefixes = Prefixes(both[1])
             lists = batch.column(3)
             text = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths()))
             flat = lists.flatten()
-            first, n = (np.asarray(flat.field(k)).astype(np.int64) for k in ("first", "n"))
-            text, inside = np.repeat(text, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            first = np.repeat(first, n) + inside
-            at = begin[text] + first
-            columns = [*(np.asarray(batch.column(i))[text] for i in (0, 1)), first.astype(np.int32), *(p(at, at + window - 1).view(np.int64) for p in prefixes)]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["k1", "k2", "first", "h1", "h2"])
-
-    return asked.mapInArrow(run, WINDOWS)
-
-
-def _filter(keys: DataFrame) -> Column:
-    """Whether ``k1`` may be one of the keys. Wrong only by saying yes too often; what it lets pass is joined."""
-    place = F.col("k1").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    word, bit = F.shiftright(place, 5).alias("word"), F.expr("shiftleft(1L, cast(k1 & 31 as int))").alias("bit")
-    rows = keys.select(word, bit).groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toPandas()  # 2**19 rows at most
-    bits = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
+            first, n, place = (np.asarray(flat.field(k)).astype(np.int64) for k in ("first", "n", "place"))
+            group = np.repeat(np.arange(len(n)), n)
+            at = begin[text[group]] + first[group] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            anchor = begin[text[group]] + place[group]
+            part = (anchor - at) // most
+            start = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (group[1:] != group[:-1])][: len(at)])
+            common = anchor[start] - most * part[start]
+            core = prefixes(common, common + window - most)
+            owner = text[group[start]]
+            name = np.asarray(flat.field("name"))[group[start]]
+            offsets = np.r_[start, len(at)].astype(np.int32)
+            columns = [
+                *(pa.array(np.asarray(batch.column(i))[owner]) for i in (0, 1)),
+                pa.array(name),
+                pa.array((mixed(name.view(np.uint64)) ^ core).view(np.int64)),
+                pa.array((at[start] - begin[owner]).astype(np.int32)),
+                pa.ListArray.from_arrays(offsets, prefixes(at, at + window - 1).view(np.int64)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "name", "core", "first", "windows"])
+
+    return asked.mapInArrow(run, PARTS)
+
+
+def key_bits(keys: DataFrame, key: str, size: int = FILTER_BITS) -> np.ndarray:
+    """2**size bits, in words of 32, of which those are set that the lowest bits of the keys name."""
+    place = F.col(key).bitwiseAND(F.lit((1 << size) - 1))
+    word, bit = F.shiftright(place, 5).alias("word"), F.expr(f"shiftleft(1L, cast({key} & 31 as int))").alias("bit")
+    rows = keys.select(word, bit).groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toPandas()  # one per word at most
+    bits = np.zeros(1 << (size - 5), np.uint32)
     bits[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).astype(np.uint32)
-    shared = keys.sparkSession.sparkContext.broadcast(bits)
+    return bits
+
+
+def _filter(keys: DataFrame, key: str) -> Column:
+    """Whether the column may be one of the keys, which are hashes. Wrong only by saying yes too often; what it
+    lets pass is joined."""
+    shared = keys.sparkSession.sparkContext.broadcast(key_bits(keys, key))
 
     @F.pandas_udf("boolean")
-    def may_be(key: pd.Series) -> pd.Series:
-        k = key.to_numpy(np.int64)
+    def may_be(hashes: pd.Series) -> pd.Series:
+        k = hashes.to_numpy(np.int64)
         return pd.Series((shared.value[(k & ((1 << FILTER_BITS) - 1)) >> 5] >> (k & 31).astype(np.uint32)) & 1 == 1)
 
-    return may_be("k1")
+    return may_be(key)
 
 
 def repeated_windows(keyed: DataFrame, window: int) -> DataFrame:
     """Rows (k1, k2, groups): for every text with repeats, its stretches of repeated windows."""
-    rows = staged(_anchor_rows(keyed, window), "anchors")
+    stage = Staging(keyed.sparkSession)
+    rows = stage.put(_anchor_rows(keyed, window), "anchors")
     names = rows.groupBy("name").agg(F.count("*").alias("c"), F.min("around").alias("lo"), F.max("around").alias("hi"))
-    names = staged(names.where("c > 1").select("name", (F.col("lo") == F.col("hi")).alias("same")), "repeated-names")
-    met = staged(rows.join(names, "name"), "candidates")
-    partly = met.where("not same")
-    place = F.struct("k1", "k2", "first")
-    contexts = partly.groupBy("name", "around").agg(F.count("*").alias("c"), F.min(place).alias("one"))
-    told = staged(partly.join(staged(contexts, "contexts"), ["name", "around"]), "compared")
+    names = stage.put(names.where("c > 1").select("name", (F.col("lo") == F.col("hi")).alias("same")), "repeated-names")
+    met = stage.put(rows.join(names, "name"), "candidates")
+    stage.drop(rows, names)
+    partly, key = met.where("not same"), F.struct("k1", "k2", "first")
+    contexts = partly.groupBy("name", "around").agg(F.count("*").alias("c"), F.min(key).alias("one"))
+    contexts = stage.put(contexts.where("c > 1"), "repeated-contexts")
+    told = stage.put(partly.join(contexts, ["name", "around"], "left").drop("around", "same"), "compared")
+    sure = stage.put(met.where("same").select(*KEYS, "first", "n").union(told.where("c > 1").select(*KEYS, "first", "n")), "sure")
+    stage.drop(met, contexts)
     # one place stands for all that agree in everything; the others are compared with it
-    asked = told.where((F.col("c") == 1) | (place == F.col("one")))
-    asked = staged(asked.groupBy(*KEYS).agg(F.collect_list(F.struct("first", "n")).alias("groups")), "asked")
-    texts = keyed.where(_filter(asked)).select("k1", "k2", "text")
-    windows = staged(_window_rows(texts.join(asked, KEYS), window), "windows")
-    equal = staged(windows.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1"), "equal-windows")
-    groups = [
-        met.where("same").select(*KEYS, "first", "n"),
-        told.where("c > 1").select(*KEYS, "first", "n"),
-        windows.join(equal, ["h1", "h2"]).select(*KEYS, "first", F.lit(1).alias("n")),
-    ]
-    every = groups[0].union(groups[1]).union(groups[2])
-    return staged(every.groupBy(*KEYS).agg(F.collect_set(F.struct("first", "n")).alias("groups")), "repeats")
+    asked = told.where(F.col("c").isNull() | (key == F.col("one")))
+    asked = stage.put(asked.groupBy(*KEYS).agg(F.collect_list(F.struct("name", "first", "n", "place")).alias("groups")), "asked")
+    stage.drop(told)
+    texts = keyed.where(_filter(asked, "k1")).select("k1", "k2", "text")
+    parts = stage.put(_parts(texts.join(asked, KEYS), window), "parts")
+    stage.drop(asked)
+    cores = stage.put(parts.groupBy("core").agg(F.count("*").alias("c")).where("c > 1").select("core"), "repeated-cores")
+    left = parts.where(_filter(cores, "core")).join(cores, "core")
+    windows = left.select(*KEYS, "name", "first", F.posexplode("windows").alias("i", "window"))
+    windows = stage.put(windows.select(*KEYS, "name", (F.col("first") + F.col("i")).alias("first"), "window"), "windows")
+    stage.drop(parts, cores)
+    equal = windows.groupBy("name", "window").agg(F.count("*").alias("c"))
+    equal = stage.put(equal.where("c > 1").select("name", "window"), "equal-windows")
+    found = windows.join(equal, ["name", "window"]).select(*KEYS, "first", F.lit(1).alias("n"))
+    every = sure.union(found).groupBy(*KEYS).agg(F.collect_set(F.struct("first", "n")).alias("groups"))
+    out = staged(every, "repeats")
+    stage.drop(sure, windows, equal)
+    return out
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -126,12 +157,12 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc
     keyed = _keyed(docs, id_column, text_column)
     repeats = repeated_windows(keyed, window)
     groups = "array<struct<first: int, n: int>>"
-    may_be = _filter(repeats)
+    may_be = _filter(repeats, "k1")
     clear = keyed.where(~may_be).select("text", F.lit(None).cast(groups).alias("groups"), "doc")
     hit = keyed.where(may_be).join(repeats, KEYS, "left").select("text", "groups", "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, text=0):
             counts, removed, kept = [], [], []
             for text, found in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 words = (text or b"").split()
