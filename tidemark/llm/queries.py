@@ -118,19 +118,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op10_quality": op10_quality, "op1_pivot_search": op1_pivot_search, "op2_language_model": op2_language_model, "op3_decontamination": op3_decontamination, "op4_language": op4_language, "op5_substring_dedup": op5_substring_dedup, "op6_chat": op6_chat, "op9_simhash": op9_simhash, "op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
 _CAPITALS = ", ".join(repr(x) for x in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+_WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 # Operators that SQL can express. Languages, quality, tokenizers, hashes that the engine lacks and digests of
 # windows are tested against brute force instead.
 ORACLE = {
     "op1_pivot_search": """
-      WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS e FROM embeddings
-        WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+      WITH v AS (SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
       s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
         FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
       r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
       SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10""",
     "op2_language_model": f"""
-      WITH cut AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_CAPITALS}),
-          '[ \\x09-\\x0D]+'), x -> x <> '') AS ws FROM documents),
+      WITH cut AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_CAPITALS}), '[^ \\x09-\\x0D]+') AS ws FROM documents),
       words AS (SELECT doc_id, i, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS u FROM cut, unnest(range(1, len(ws) + 1)) t(i)),
       c1 AS (SELECT w, count(*) AS n FROM words GROUP BY w),
       c2 AS (SELECT u, w, count(*) AS n FROM words WHERE u IS NOT NULL GROUP BY u, w),
@@ -141,4 +141,41 @@ ORACLE = {
       sums AS (SELECT doc_id, count(*) AS n, sum(s) AS s FROM scored GROUP BY doc_id)
       SELECT doc_id, coalesce(n, 0) AS n_words, round(coalesce(s, 0e0), 3) AS log_score, round(s / n, 4) AS per_word
       FROM documents LEFT JOIN sums USING (doc_id)""",
+    "op3_decontamination": f"""
+      WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, {_CAPITALS}), {_WORD}) AS ws
+        FROM benchmark WHERE item_id IS NOT NULL),
+      phrases AS (SELECT DISTINCT item, least(10, len(ws)) AS n, array_to_string(ws[i:i + 9], ' ') AS phrase
+        FROM items, unnest(range(1, greatest(1, len(ws) - 9) + 1)) t(i) WHERE len(ws) > 0),
+      cut AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_CAPITALS}), {_WORD}) AS ws FROM documents),
+      found AS (SELECT doc_id, i, windows.n, item FROM (
+          SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS phrase
+          FROM cut, (SELECT DISTINCT n FROM phrases) sizes, unnest(range(1, len(ws) - n + 2)) t(i)) windows JOIN phrases USING (n, phrase)),
+      hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM found, unnest(range(i, i + n)) t(j) GROUP BY doc_id),
+      named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+      SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+      FROM cut LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op5_substring_dedup": """
+      WITH cut AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+') AS ws FROM documents),
+      words AS (SELECT doc_id, i, ws[i] AS w, CASE WHEN i + 34 <= len(ws) THEN array_to_string(ws[i:i + 34], ' ') END AS win
+        FROM cut, unnest(range(1, len(ws) + 1)) t(i)),
+      flags AS (SELECT *, win IS NOT NULL AND count(*) OVER (PARTITION BY win) > 1 AS again FROM words),
+      marked AS (SELECT *, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM flags)
+      SELECT doc_id, count(w) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+        sha256(coalesce(string_agg(w, ' ' ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+      FROM documents LEFT JOIN marked USING (doc_id) GROUP BY doc_id""",
+    "op6_chat": """
+      WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, t, r, '\\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+      shown AS (SELECT *, CASE WHEN regexp_full_match(role, '[a-z]+') THEN role ELSE '\\' || role END AS name FROM turns),
+      sized AS (SELECT *, length(replace(replace(replace(replace(name, '\\', '\\b'), '###', '\\h'), '</turn>', '\\e'), ':', '\\c'))
+          + length(replace(replace(replace(text, '\\', '\\b'), '###', '\\h'), '</turn>', '\\e')) + length('### ' || ': ' || ' </turn>') + 1 AS n
+        FROM shown)
+      SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+        CAST(sum(n) AS BIGINT) AS formatted_chars, false AS rewrites_history
+      FROM sized GROUP BY conv_id""",
 }
