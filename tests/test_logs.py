@@ -35,7 +35,7 @@ def test_statistics(spark, log):
 
 def test_rows(log):
     rows = {r.customer_id: r for r in log.current().collect()}
-    assert rows["1"].prediction_id == "PRED_1_v1_20240301_100000_000000"
+    assert rows["1"].prediction_id.startswith("PRED_1_v1_20240301_100000_000000_")
     assert rows["1"].outcome_timestamp is not None and rows["3"].outcome_timestamp is None
     assert rows["1"].features == "{}" and rows["1"].prediction_date == dt.date(2024, 3, 1)
 
@@ -47,6 +47,20 @@ def test_a_batch_written_twice_is_logged_once(spark, log):
     assert log.predictions().count() == 8
 
 
+def test_every_row_of_a_batch_is_logged_or_reported(spark, log):
+    batch = [("5", "v1", 0.2, 0, None), ("5", "v1", 0.3, 0, None), ("5", "v1", 0.3, 0, None), ("6", "v1", 2.0, 1, None)]
+    held = log.append(spark.createDataFrame([*batch, ROWS[0]], SCHEMA), at_ten(), on_problem="quarantine")
+    assert log.predictions().where("customer_id = '5'").count() == 2
+    assert sorted((r.customer_id, r.problems[0]) for r in held.collect()) == [
+        ("1", "already in the log"),
+        ("5", "the batch has another row with this id"),
+        ("6", "prediction must be between 0 and 1"),
+    ]
+    given = spark.createDataFrame([("X", "7", "v1", 0.1, 0), ("X", "8", "v1", 0.9, 1)], "prediction_id string, customer_id string, model_version string, prediction double, predicted_class int")
+    held = log.append(given, later(1))
+    assert [r.customer_id for r in held.collect()] == ["8"] and log.predictions().where("prediction_id = 'X'").count() == 1
+
+
 def test_values_outside_the_domain(spark, log):
     bad = spark.createDataFrame([("9", "v1", 1.5, 1, None), ("8", "v1", 0.5, 2, None), ("7", "v1", 0.5, 1, None)], SCHEMA)
     with pytest.raises(TableCheckError, match="between 0 and 1|0 or 1"):
@@ -100,6 +114,10 @@ def test_compaction(spark, log, tmp_path):
     compact = log.compact(str(tmp_path / "compact"))
     same = lambda d: sorted(map(str, d.collect()))
     assert same(compact.predictions()) == same(log.current()) and compact.outcomes().isEmpty()
+    early = spark.createDataFrame([("not logged yet", 1)], "prediction_id string, actual_outcome int")
+    log.append_outcomes(early.withColumn("outcome_timestamp", later(1)))
+    again = log.compact(str(tmp_path / "again"))
+    assert [r.prediction_id for r in again.outcomes().collect()] == ["not logged yet"]
 
 
 def test_features_are_kept_as_json(spark, tmp_path):
@@ -161,6 +179,23 @@ def test_customer_csv(spark, tmp_path):
         customers.read_csv(spark, str(tmp_path / "none.csv"))
 
 
+def test_fractions_in_integer_columns_are_errors(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_text("tenure_months,monthly_charges\n3.0,1.5\n3.7,2\n")
+    with pytest.raises(Exception, match="tenure_months: not a whole number: 3.7"):
+        customers.read_csv(spark, str(path)).collect()
+
+
+def test_generator_does_not_depend_on_partitions(spark):
+    one = sorted(map(str, customers.generate(spark, 300, 7).collect()))
+    before = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", "3")
+    try:
+        assert sorted(map(str, customers.generate(spark, 300, 7).collect())) == one
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism") if before is None else spark.conf.set("spark.sql.leafNodeDefaultParallelism", before)
+
+
 def test_generator(spark, tmp_path):
     df = customers.generate(spark, 4000, 1).persist()
     s = df.agg(

@@ -55,9 +55,15 @@ def test_training_arguments(spark, people):
 
 
 def test_parameter_translation():
-    with pytest.warns(UserWarning, match="reg_alpha"):
-        out = training.classifier_settings({**settings.DEFAULT_PARAMS, "max_depth": 0, "colsample_bytree": 1.0})
-    assert (out["maxDepth"], out["maxIter"], out["stepSize"], out["featureSubsetStrategy"]) == (30, 300, 0.03, "all")
+    with pytest.warns(UserWarning, match="eval_metric.*reg_alpha"):
+        out = training.classifier_settings({**settings.DEFAULT_PARAMS, "colsample_bytree": 1.0})
+    assert (out["maxDepth"], out["maxIter"], out["stepSize"], out["featureSubsetStrategy"]) == (6, 300, 0.03, "all")
+
+
+@pytest.mark.parametrize("params", [{"max_depth": 0}, {"max_depth": 64}, {"objective": "reg:gamma"}, {"booster": "gblinear"}])
+def test_what_the_library_cannot_do_is_refused(params):
+    with pytest.raises(ParameterError, match="only"):
+        training.classifier_settings(params)
 
 
 def test_scores_are_probabilities_in_one_narrow_stage(model, people):

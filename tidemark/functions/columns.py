@@ -46,7 +46,11 @@ def key_hash(key: str | Column, seed: int) -> Column:
 
 
 def hash_below(key: str | Column, seed: int, fraction: float) -> Column:
-    """Whether the hash falls into the lowest ``fraction`` of its range."""
+    """Whether the hash falls into the lowest ``fraction`` of its range: no row at 0, every row at 1."""
+    if not 0.0 <= fraction <= 1.0:
+        raise ValueError("fraction must be between 0 and 1")
+    if fraction == 1.0:  # the bound would have one digit more than the hash
+        return F.lit(True)
     return key_hash(key, seed) < F.lit(format(math.ceil(fraction * (1 << HASH_BITS)), f"0{HASH_DIGITS}x"))
 
 

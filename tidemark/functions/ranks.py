@@ -138,16 +138,20 @@ def running_totals(
 
 
 def _sketched_edges(values: DataFrame, value: str, buckets: int) -> DataFrame:
-    """One row with about equally spaced quantiles, and NULL for an empty table. Sketches of the
-    tasks are merged in groups first, so that no task merges one from every other task."""
+    """One row with a struct of about equally spaced quantiles and the extremes, and none for an empty
+    table. Sketches of the tasks are merged in groups first, so that no task merges one from every
+    other task."""
     in_groups = values.groupBy(F.spark_partition_id() % SKETCH_GROUPS).agg(
-        F.kll_sketch_agg_double(value, F.lit(4 * buckets)).alias("sketch")
+        F.kll_sketch_agg_double(value, F.lit(4 * buckets)).alias("sketch"), F.min(value).alias("lo"), F.max(value).alias("hi")
     )
     merged = in_groups.agg(
-        F.kll_merge_agg_double("sketch", F.lit(4 * buckets)).alias("sketch"), F.count(F.lit(1)).alias("n")
+        F.kll_merge_agg_double("sketch", F.lit(4 * buckets)).alias("sketch"),
+        F.count(F.lit(1)).alias("n"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
     )
     points = F.kll_sketch_get_quantile_double("sketch", _probabilities(buckets))
-    return merged.where(F.col("n") > 0).select(points.alias("at"))
+    return merged.where(F.col("n") > 0).select(F.struct(points.alias("at"), "lo", "hi").alias("edges"))
 
 
 def exact_quantiles(
@@ -167,10 +171,12 @@ def exact_quantiles(
     buckets = _power_of_two(buckets)
     values = _known(df.select(*by, F.col(value).cast("double").alias("__v")), "__v")
 
-    placed = values.withColumn("__edges", _sketched_edges(values, "__v", buckets).scalar())
-    placed = _with_bucket(placed, "__v", "__edges", buckets, "__bucket")
-    below, above = F.get("__edges", F.col("__bucket") - 1), F.get("__edges", F.col("__bucket"))
-    # equal widths inside a bucket keep the candidates few; the outer two buckets stay whole
+    sketched = values.withColumn("__sketch", _sketched_edges(values, "__v", buckets).scalar())
+    sketched = sketched.withColumn("__edges", F.col("__sketch.at"))
+    placed = _with_bucket(sketched, "__v", "__edges", buckets, "__bucket")
+    below = F.coalesce(F.get("__edges", F.col("__bucket") - 1), F.col("__sketch.lo"))
+    above = F.coalesce(F.get("__edges", F.col("__bucket")), F.col("__sketch.hi"))
+    # equal widths inside a bucket keep the candidates few; the extremes bound the outer two buckets
     within = F.floor(F.try_divide(F.col("__v") - below, above - below) * SELECTION_WIDTHS)
     narrow = F.greatest(F.lit(0), F.least(F.lit(SELECTION_WIDTHS - 1), F.coalesce(within, F.lit(0))))
     placed = placed.select(*by, "__v", (F.col("__bucket") * SELECTION_WIDTHS + narrow).cast("int").alias("__slot"))

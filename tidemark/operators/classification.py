@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import settings
@@ -154,27 +154,43 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> Da
 def evaluate(
     df: DataFrame, label: str, score: str, predicted: str, by: Sequence[str] = ("model_version",)
 ) -> DataFrame:
-    """The full evaluation row per group: counts, metrics, AUC and number of rows.
+    """The full evaluation row per group: counts, metrics, AUC, number of rows, and how many of them have
+    no score.
 
-    One shuffle on (group, score) feeds both the confusion counts and the ranks.
+    One shuffle on (group, score) feeds both the confusion counts and the ranks. Rows whose score is
+    missing (NULL or NaN) have no place in the AUC, but their predicted class counts like any other.
     """
-    ranked = running_totals(df, score, _count_columns(label, predicted), by).withColumns(
+    scored = running_totals(df, score, _count_columns(label, predicted), by)
+    ranked = scored.withColumn("unscored", F.lit(0)).unionByName(
+        unscored_counts(df, label, score, predicted, by), allowMissingColumns=True
+    ).withColumns(
         {
-            "pos": F.col("fn") + F.col("tp"),
-            "neg": F.col("tn") + F.col("fp"),
+            "pos": F.when(F.col("unscored") == 0, F.col("fn") + F.col("tp")),
+            "neg": F.when(F.col("unscored") == 0, F.col("tn") + F.col("fp")),
             "pos_before": F.col("fn_before") + F.col("tp_before"),
             "pos_total": F.col("fn_total") + F.col("tp_total"),
         }
     )
     summed = ranked.groupBy(*by).agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS],
+        F.coalesce(F.sum("unscored"), F.lit(0)).alias("n_unscored"),
         F.coalesce(auc_from_totals(F.sum("pos"), F.sum("neg"), F.sum(_area())), F.lit(0.0)).alias("roc_auc"),
     )
     return with_metrics(summed).select(
-        *by, *COUNTS, "precision", "recall", "f1_score", "accuracy", "roc_auc", "n_samples"
+        *by, *COUNTS, "precision", "recall", "f1_score", "accuracy", "roc_auc", "n_samples", "n_unscored"
     )
 
 
+def unscored_counts(df: DataFrame, label: str, score: str, predicted: str, by: Sequence[str]) -> DataFrame:
+    """Confusion counts of the rows without a score, one row per group that has any."""
+    missing = F.col(score).isNull()
+    if dict(df.dtypes)[score] in ("double", "float"):
+        missing = missing | F.isnan(score)
+    counts = [m.alias(n) for n, m in _count_columns(label, predicted).items()]
+    rows = df.where(missing).groupBy(*by).agg(*counts, F.count(F.lit(1)).alias("unscored"))
+    return rows.where("unscored > 0")
+
+
 def evaluation_rows(df: DataFrame, label: str, score: str, predicted: str, evaluated_at: Column) -> DataFrame:
     """``evaluate`` by model version, with the date of the evaluation; an unset version is 'unknown'."""
     versioned = df.withColumn("model_version", F.coalesce("model_version", F.lit("unknown")))
@@ -186,10 +202,9 @@ def meets_recall(evaluation: DataFrame, threshold: float = settings.MIN_RECALL)
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
-    """(label, n, share). The two classes bound the second aggregation."""
+    """(label, n, share). The total is a sum over the classes, of which there are few."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("t")).scalar()
-    return counts.withColumn("share", ratio_or_zero(F.col("n"), total))
+    return counts.withColumn("share", ratio_or_zero(F.col("n"), F.sum("n").over(Window.partitionBy(F.lit(0)))))
 
 
 def positive_weight(df: DataFrame, label: str, boost: float = settings.POSITIVE_WEIGHT_BOOST) -> DataFrame:

@@ -83,10 +83,15 @@ def rule_violations(configs: DataFrame, rules: DataFrame | None = None) -> DataF
     Unknown parameters and NULL values pass. Booleans pass as integers, and a NaN passes the
     range tests, because every comparison with it is false.
     """
+    return with_errors(configs, rules).where(F.col("error").isNotNull())
+
+
+def with_errors(configs: DataFrame, rules: DataFrame | None = None) -> DataFrame:
+    """(config_id, param, value, error) for every row, with a NULL error where nothing is broken."""
     constant = rules is None
     rules = rule_table(configs.sparkSession) if constant else rules
     # the built-in table has 21 rows; one given by the caller is left to the optimizer
-    known = configs.where(F.col("value").isNotNull()).join(F.broadcast(rules) if constant else rules, "param")
+    known = configs.join(F.broadcast(rules) if constant else rules, "param", "left")
     is_bool = F.col("value_type") == "bool"
     number = F.when(is_bool, F.lower("value").eqNullSafe("true").cast("double")).otherwise(
         F.col("value").try_cast("double")
@@ -120,7 +125,8 @@ def rule_violations(configs: DataFrame, rules: DataFrame | None = None) -> DataF
             F.format_string("%s: %s (got %s)", "param", "description", "value"),
         )
     )
-    return known.select("config_id", "param", "value", error.alias("error")).where(F.col("error").isNotNull())
+    applies = F.col("value").isNotNull() & F.col("kind").isNotNull()
+    return known.select("config_id", "param", "value", F.when(applies, error).alias("error"))
 
 
 def violations_per_config(configs: DataFrame, rules: DataFrame | None = None) -> DataFrame:
@@ -128,15 +134,9 @@ def violations_per_config(configs: DataFrame, rules: DataFrame | None = None) ->
 
     Errors of one configuration are bounded by the number of rules.
     """
-    broken = rule_violations(configs, rules).groupBy("config_id").agg(
-        F.array_sort(F.collect_set("error")).alias("errors")
-    )
-    everything = configs.select("config_id").distinct()
-    return everything.join(broken, "config_id", "left").select(
-        "config_id",
-        F.coalesce(F.size("errors"), F.lit(0)).alias("n_errors"),
-        F.coalesce("errors", F.array().cast("array<string>")).alias("errors"),
-    )
+    errors = F.array_sort(F.collect_set("error")).alias("errors")  # NULLs are not collected
+    listed = with_errors(configs, rules).groupBy("config_id").agg(errors)
+    return listed.select("config_id", F.size("errors").alias("n_errors"), "errors")
 
 
 def _type_name(value: Any) -> str:

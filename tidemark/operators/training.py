@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import settings
+from tidemark.errors import ParameterError
 from tidemark.functions.columns import nan_to_null, sql_double
 from tidemark.operators.classification import positive_weight
 from tidemark.operators.encoding import FittedEncoder, fit_encoder, route_columns
@@ -22,19 +23,30 @@ from tidemark.operators.features import add_features, derived_expressions, fit_m
 from tidemark.operators.rules import check_params
 from tidemark.sources.scratch import written
 
-UNMAPPED = {"reg_alpha", "reg_lambda", "colsample_bylevel", "colsample_bynode", "max_delta_step", "tree_method"}
+UNMAPPED = {
+    "reg_alpha", "reg_lambda", "colsample_bylevel", "colsample_bynode", "max_delta_step", "tree_method",
+    "eval_metric", "grow_policy", "sampling_method", "multi_strategy",
+}
+ONLY = {"objective": "binary:logistic", "booster": "gbtree"}
+DEEPEST = 30  # levels that the library's trees can have
 
 
 def classifier_settings(params: Mapping[str, Any]) -> dict[str, Any]:
     """Translate the familiar boosting parameters into those of the ML classifier.
 
     Column sampling is per node and ``min_child_weight`` and ``gamma`` are approximations.
-    Regularisation has no counterpart and is accepted with a warning. Depth 0 means unlimited.
+    Regularisation has no counterpart and is accepted with a warning. What the library cannot do is
+    refused: another objective or booster, and depths over 30 or without a limit (0).
     """
     out: dict[str, Any] = {}
     given = {k: v for k, v in params.items() if v is not None}
+    for name, value in ONLY.items():
+        if given.get(name, value) != value:
+            raise ParameterError(f"{name}: only '{value}' is supported, got '{given[name]}'")
     if "max_depth" in given:
-        out["maxDepth"] = 30 if given["max_depth"] == 0 else min(30, given["max_depth"])
+        if not 1 <= given["max_depth"] <= DEEPEST:
+            raise ParameterError(f"max_depth: only 1 to {DEEPEST} is supported, got {given['max_depth']}")
+        out["maxDepth"] = int(given["max_depth"])
     if "learning_rate" in given:
         out["stepSize"] = float(given["learning_rate"])
     if "n_estimators" in given:

@@ -100,6 +100,11 @@ def range_violations(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) -
     return nan_to_null(df).withColumn("out_of_range", bad).where(F.size("out_of_range") > 0)
 
 
+def emptiness(df: DataFrame) -> DataFrame:
+    """One row that says whether the table is empty, after a look at one row of it."""
+    return df.limit(1).agg((F.count(F.lit(1)) == 0).alias("is_empty"))
+
+
 def check_table(df: DataFrame, spec: TableSpec = CUSTOMER_SPEC, training: bool = False) -> bool:
     """Raise on the first problem found, in the order: empty, schema, ranges."""
     if df.isEmpty():

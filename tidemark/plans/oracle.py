@@ -126,14 +126,15 @@ def _auc(source: str, label: str, score: str, by: str) -> str:
 
 def _evaluation(source: str, label: str, score: str, predicted: str, by: str) -> str:
     return f"""(
-  SELECT c.*, a.roc_auc, tn + fp + fn + tp AS n_samples, {_METRICS}
-  FROM (SELECT {by}, {_counts(label, predicted)} FROM {source} GROUP BY {by}) c
-  JOIN {_auc(source, label, score, by)} a USING ({by}))"""
+  SELECT c.*, coalesce(a.roc_auc, 0e0) AS roc_auc, tn + fp + fn + tp AS n_samples, {_METRICS}
+  FROM (SELECT {by}, {_counts(label, predicted)}, count(*) FILTER (WHERE {score} IS NULL OR isnan({score})) AS n_unscored
+    FROM {source} GROUP BY {by}) c
+  LEFT JOIN {_auc(f'(SELECT * FROM {source} WHERE NOT isnan({score}))', label, score, by)} a USING ({by}))"""
 
 
 _EVAL_COLUMNS = (
     "tn, fp, fn, tp, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1_score, 6) AS f1_score, "
-    "round(accuracy, 6) AS accuracy, round(roc_auc, 6) AS roc_auc, n_samples"
+    "round(accuracy, 6) AS accuracy, round(roc_auc, 6) AS roc_auc, n_samples, n_unscored"
 )
 
 DAILY = f"""{LOG},
@@ -327,6 +328,28 @@ ORACLE: dict[str, str] = {
     "log_text_scan": f"""WITH {LOG} SELECT prediction_id, customer_id, model_version, prediction, predicted_class, actual_outcome,
       strftime(prediction_timestamp, {MICRO}) AS predicted_at, strftime(outcome_timestamp, {MICRO}) AS decided_at,
       json_extract_string(features, '$.k') AS feature_k FROM resolved WHERE customer_id <> '8'""",
+    "csv_roundtrip": f"WITH {CUSTOMERS} SELECT * EXCLUDE (account_score) REPLACE (round(monthly_charges, 6) AS monthly_charges, round(total_charges, 6) AS total_charges) FROM customers",
+    "schema_check": """SELECT * FROM (VALUES
+      ('as it is', ''),
+      ('text charges', 'Feature ''monthly_charges'' must be numeric, got string'),
+      ('no contract', 'Missing required features: [''contract_type'']'),
+      ('no label', 'Missing target variable: churn')) v(table_name, errors)""",
+    "log_append_roundtrip": """WITH p AS (SELECT user_id, least(floor(value), 1000) AS prediction FROM events)
+      SELECT CAST(user_id AS VARCHAR) AS customer_id, count(DISTINCT prediction) AS n_logged, count(*) - count(DISTINCT prediction) AS n_held
+      FROM p GROUP BY user_id""",
+    "log_compaction": f"""WITH {LOG}, half AS (SELECT * FROM predictions WHERE CAST(substr(prediction_id, 6) AS BIGINT) % 2 = 0)
+      SELECT (SELECT count(*) FROM half) AS n_predictions,
+        (SELECT count(*) FROM half JOIN last_decided USING (prediction_id)) AS n_with_outcome,
+        (SELECT count(*) FROM decided WHERE prediction_id NOT IN (SELECT prediction_id FROM half)) AS n_waiting""",
+    "alert_log_roundtrip": f"""WITH {DAILY} SELECT 'ALERT_' || strftime(evaluation_date, '%Y%m%d_%H%M%S') || '_' || model_version AS alert_id,
+      model_version, 'high' AS severity, strftime(evaluation_date, {MICRO}) AS raised_at, round(recall, 6) AS recall
+      FROM daily WHERE recall < 0.5""",
+    "metadata_roundtrip": f"""WITH {DAILY} SELECT model_version AS version, strftime(evaluation_date, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,
+      round(recall, 6) AS recall, CAST(n_samples AS VARCHAR) AS training_samples FROM daily""",
+    "evaluation_with_unscored": f"""WITH {SCORED}, holes AS (SELECT * REPLACE (
+        CASE CAST(substr(customer_id, 6) AS BIGINT) % 10 WHEN 3 THEN NULL WHEN 7 THEN 'nan'::DOUBLE ELSE churn_probability END AS churn_probability) FROM scored)
+      SELECT contract_type, {_EVAL_COLUMNS} FROM {_evaluation('holes', 'churn', 'churn_probability', 'predicted_class', 'contract_type')}""",
+    "encoder_reload": _encoded(),
     "emptiness_check": "SELECT count(*) = 0 AS is_empty FROM events",
     "range_report": f"WITH {CUSTOMERS} {_range_rows()}",
     "range_violations": f"""WITH {CUSTOMERS}, bad AS (SELECT customer_id, concat_ws(',', {_OUT}) AS out_of_range FROM customers)

@@ -19,7 +19,7 @@ from tidemark.operators import outcomes, rules, sampling, scorecard, scoring, tr
 from tidemark.operators.attribution import LeafTable, leaf_table
 from tidemark.plans import testbed
 from tidemark.plans.training_run import METRICS
-from tidemark.sources import prediction_log, registry
+from tidemark.sources import alert_log, customers, prediction_log, registry
 from tidemark.sources.scratch import new_folder
 from tidemark.streaming import outcomes as outcome_stream
 from tidemark.streaming import performance, sources
@@ -88,8 +88,29 @@ def log_text_scan(spark, sf):
 
 @query
 def emptiness_check(spark, sf):
-    events = testbed.table(spark, sf, "events")
-    return events.limit(1).agg((F.count(F.lit(1)) == 0).alias("is_empty"))
+    return validation.emptiness(testbed.table(spark, sf, "events"))
+
+
+@query
+def csv_roundtrip(spark, sf):
+    """Customers written as CSV and read back with the typed reader."""
+    folder = new_folder(spark, "customers-csv")
+    customers.write_table(testbed.customers(spark, sf).drop("account_score"), folder, "csv")
+    return rounded(customers.read_csv(spark, folder))
+
+
+@query
+def schema_check(spark, sf):
+    """Everything wrong with the schema of customers and of three spoilt variants."""
+    c = testbed.customers(spark, sf)
+    tables = {
+        "as it is": c,
+        "text charges": c.withColumn("monthly_charges", F.col("monthly_charges").cast("string")),
+        "no contract": c.drop("contract_type"),
+        "no label": c.drop("churn"),
+    }
+    rows = [(n, "; ".join(validation.schema_errors(t, validation.CUSTOMER_SPEC, training=True))) for n, t in tables.items()]
+    return spark.createDataFrame(rows, "table_name string, errors string")
 
 
 @query
@@ -609,9 +630,9 @@ def _version_events(spark: SparkSession, sf: str) -> DataFrame:
     noon = F.col("evaluation_date") + F.expr("INTERVAL 12 HOURS")
     evening = F.col("evaluation_date") + F.expr("INTERVAL 20 HOURS")
     version = F.col("model_version").alias("version")
-    good = e.where(F.col("recall") >= 0.5).select(version, F.lit("deploy").alias("event"), noon.alias("at"))
-    bad = e.where(F.col("recall") < 0.4).select(version, F.lit("delete").alias("event"), evening.alias("at"))
-    return good.unionByName(bad)
+    deployed = F.when(F.col("recall") >= 0.5, F.struct(F.lit("deploy").alias("event"), noon.alias("at")))
+    deleted = F.when(F.col("recall") < 0.4, F.struct(F.lit("delete").alias("event"), evening.alias("at")))
+    return e.select(version, F.inline(F.array_compact(F.array(deployed, deleted))))
 
 
 @query
@@ -673,6 +694,93 @@ def live_versions(spark, sf):
     return registry.live_versions(_version_metadata(spark, sf), _version_events(spark, sf)).select("version")
 
 
+# --- storage: what is written comes back -----------------------------------------------------------
+
+
+@query
+def log_append_roundtrip(spark, sf):
+    """One batch in which customers have many predictions, some alike: all are logged or reported."""
+    log = prediction_log.PredictionLog(spark, new_folder(spark, "log"))
+    score = F.least(F.floor("value"), F.lit(1000)) / 1000.0
+    batch = testbed.table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("customer_id"),
+        F.lit("v_1").alias("model_version"),
+        score.alias("prediction"),
+        (score >= 0.5).cast("int").alias("predicted_class"),
+    )
+    held = log.append(batch, F.to_timestamp(F.lit("2024-01-31 10:00:00")))
+    counts = log.predictions().groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_logged"))
+    kept_back = held.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_held"))
+    return counts.join(kept_back, "customer_id", "left").select(
+        "customer_id", "n_logged", F.coalesce("n_held", F.lit(0)).alias("n_held")
+    )
+
+
+@query
+def log_compaction(spark, sf):
+    """Half of the predictions are logged, outcomes come for all of them: none is lost."""
+    log = prediction_log.PredictionLog(spark, new_folder(spark, "log"))
+    given = testbed.prediction_log(spark, sf).where(F.substring("prediction_id", 6, 20).cast("bigint") % 2 == 0)
+    log.append(given.drop("actual_outcome", "prediction_timestamp", "outcome_timestamp"), F.to_timestamp(F.lit("2024-01-31")))
+    log.append_outcomes(testbed.outcome_events(spark, sf))
+    compact = log.compact(new_folder(spark, "compact"))
+    waiting = compact.outcomes().agg(F.count(F.lit(1)).alias("n")).scalar()
+    return compact.predictions().agg(
+        F.count(F.lit(1)).alias("n_predictions"), F.count("actual_outcome").alias("n_with_outcome")
+    ).withColumn("n_waiting", waiting)
+
+
+@query
+def alert_log_roundtrip(spark, sf):
+    path = new_folder(spark, "alerts")
+    alert_log.append_alerts(alerts.raise_alerts(daily_evaluations(spark, sf), 0.5), path)
+    read = alert_log.read_alerts(spark, path)
+    return rounded(
+        read.select(
+            "alert_id", "model_version", "severity", F.date_format("timestamp", ISO).alias("raised_at"),
+            F.col("metrics")["recall"].alias("recall"),
+        )
+    )
+
+
+@query
+def metadata_roundtrip(spark, sf):
+    """Version metadata with a key of the caller's own, through files and the scan."""
+    root = new_folder(spark, "metadata")
+    e = daily_evaluations(spark, sf)
+    metrics = F.create_map(*[x for m in METRICS for x in (F.lit(m), F.col(m))])
+    document = F.struct(
+        F.col("model_version").alias("version"),
+        F.concat("day", F.lit("T00:00:00.000000")).alias("timestamp"),
+        metrics.alias("metrics"),
+        F.col("n_samples").alias("training_samples"),
+    )
+    e.select(F.to_json(document).alias("value"), F.col("model_version").alias("v")).write.partitionBy("v").text(root)
+    read = registry.scan_metadata(spark, f"{root}/v=*")
+    own = F.get_json_object("document", "$.training_samples").alias("training_samples")
+    return rounded(read.select("version", "timestamp", F.col("metrics")["recall"].alias("recall"), own))
+
+
+@query
+def encoder_reload(spark, sf):
+    """The encoder saved and loaded again gives the columns that it gave before."""
+    c = testbed.customers(spark, sf)
+    seen = c.where(F.col("contract_type") != "FURNITURE")
+    path = new_folder(spark, "encoder")
+    encoding.fit_encoder(seen, settings.NUMERIC_FEATURES, settings.CATEGORICAL_FEATURES).save(spark, path)
+    wide = encoding.FittedEncoder.load(spark, path).transform_wide(c, ["customer_id"])
+    return rounded(wide.toDF(*[n.lower().replace("-", "_").replace(" ", "_") for n in wide.columns]))
+
+
+@query
+def evaluation_with_unscored(spark, sf):
+    """A tenth of the scores is NULL and a tenth NaN; all rows count."""
+    number = F.substring("customer_id", 6, 20).cast("bigint") % 10
+    score = F.when(number == 7, F.lit(float("nan"))).when(number != 3, F.col("churn_probability"))
+    holes = testbed.scored_customers(spark, sf).withColumn("churn_probability", score)
+    return rounded(classification.evaluate(holes, "churn", "churn_probability", "predicted_class", ["contract_type"]))
+
+
 # --- streams -------------------------------------------------------------------------------------
 
 

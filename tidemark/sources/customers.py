@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import settings
-from tidemark.functions.columns import nan_to_null
+from tidemark.functions.columns import key_uniform, nan_to_null
 from tidemark.operators.scorecard import ATTRITION_CARD, draw_label, score
 from tidemark.sources.storage import exists
 
@@ -22,7 +24,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = settings.CUS
     """Customers from CSV with a header, by column name; absent columns are left out.
 
     Cells are read as text and cast, so that every spelling of a missing value becomes NULL. A
-    number cell that is not a number is an error rather than a silent gap.
+    number cell that is not a number, or an integer cell with a fraction, is an error rather than
+    a silent gap or another number.
     """
     if not exists(spark, path):
         raise FileNotFoundError(f"Data file not found: {path}")
@@ -32,7 +35,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = settings.CUS
     def typed(f: T.StructField) -> Column:
         text = F.when(~F.trim(F.col(f.name)).isin(MISSING_TEXT), F.col(f.name))
         if isinstance(f.dataType, T.IntegerType):
-            return text.cast("double").cast(f.dataType).alias(f.name)  # "3.0" is how a gap makes integers look
+            number = text.cast("double")  # "3.0" is how a gap makes integers look
+            fraction = F.concat(F.lit(f"{f.name}: not a whole number: "), text)
+            whole = F.when(number == F.floor(number), number.cast(f.dataType))
+            return F.when(number.isNull() | F.isnan(number) | whole.isNotNull(), whole).otherwise(
+                F.raise_error(fraction).cast(f.dataType)
+            ).alias(f.name)
         return text.cast(f.dataType).alias(f.name)
 
     return raw.select(*[typed(f) for f in wanted], *[c for c in raw.columns if c not in schema.names])
@@ -79,16 +87,24 @@ SERVICES = [("DSL", 0.4), ("Fiber optic", 0.4), ("No", 0.2)]
 def generate(spark: SparkSession, n: int = 1000, seed: int = settings.RANDOM_SEED) -> DataFrame:
     """n customers with the usual shape: half of them new (exponential tenure, mean 12 months),
     half long-standing (normal tenure, mean 48), charges around 50, and a label drawn from the
-    attrition scorecard. Rows are made where they are needed; nothing passes the driver."""
-    tenure = F.when(F.rand(seed) < 0.5, -12.0 * F.log(1.0 - F.rand(seed + 1))).otherwise(48.0 + 20.0 * F.randn(seed + 2))
+    attrition scorecard. Rows are made where they are needed; nothing passes the driver. Every draw
+    depends on the row's number and the seed only, so a seed gives the same customers on any cluster."""
+
+    def draw(i: int) -> Column:
+        return key_uniform("id", seed + i)
+
+    def normal(i: int) -> Column:  # from two uniform draws
+        return F.sqrt(-2.0 * F.log(1.0 - draw(i))) * F.cos(2.0 * math.pi * draw(i + 100))
+
+    tenure = F.when(draw(0) < 0.5, -12.0 * F.log(1.0 - draw(1))).otherwise(48.0 + 20.0 * normal(2))
     rows = spark.range(n).select(
         customer_key(F.col("id") + 1).alias(settings.ID_COLUMN),
         F.least(F.greatest(tenure, F.lit(1.0)), F.lit(72.0)).cast("int").alias("tenure_months"),
-        F.round(F.least(F.greatest(50.0 + 20.0 * F.randn(seed + 3), F.lit(20.0)), F.lit(120.0)), 2).alias("monthly_charges"),
-        (0.9 + 0.2 * F.rand(seed + 4)).alias("__factor"),
-        _weighted(F.rand(seed + 5), CONTRACTS).alias("contract_type"),
-        _weighted(F.rand(seed + 6), PAYMENTS).alias("payment_method"),
-        _weighted(F.rand(seed + 7), SERVICES).alias("internet_service"),
+        F.round(F.least(F.greatest(50.0 + 20.0 * normal(3), F.lit(20.0)), F.lit(120.0)), 2).alias("monthly_charges"),
+        (0.9 + 0.2 * draw(4)).alias("__factor"),
+        _weighted(draw(5), CONTRACTS).alias("contract_type"),
+        _weighted(draw(6), PAYMENTS).alias("payment_method"),
+        _weighted(draw(7), SERVICES).alias("internet_service"),
     )
     priced = rows.withColumn(
         "total_charges", F.round(F.col("tenure_months") * F.col("monthly_charges") * F.col("__factor"), 2)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import TableCheckError
 from tidemark.operators.outcomes import current_state, prediction_key, unmatched_outcomes
 from tidemark.operators.validation import log_row_problems, raise_on_problems, split_on_problems
+from tidemark.sources.scratch import new_folder
 from tidemark.sources.storage import empty, exists
 
 LOG_SCHEMA = T.StructType(
@@ -50,8 +53,11 @@ def log_rows(df: DataFrame, at: Column) -> DataFrame:
     else:
         features = F.coalesce(F.to_json("features"), F.lit("{}"))
     given = F.col("prediction_id") if "prediction_id" in have else F.lit(None).cast("string")
+    # two predictions of a customer in one batch differ in what was predicted or from what
+    content = F.xxhash64(F.col("prediction").cast("double"), F.col("predicted_class").cast("int"), features)
+    key = F.concat_ws("_", prediction_key(F.col("customer_id"), F.col("model_version"), at), F.lower(F.hex(content)))
     return df.select(
-        F.coalesce(given, prediction_key(F.col("customer_id"), F.col("model_version"), at)).alias("prediction_id"),
+        F.coalesce(given, key).alias("prediction_id"),
         F.col("customer_id").cast("string").alias("customer_id"),
         "model_version",
         F.col("prediction").cast("double").alias("prediction"),
@@ -81,28 +87,47 @@ class PredictionLog:
         """Append scored rows and return the rows that were held back.
 
         ``on_problem='raise'`` refuses the whole batch if a row is outside the domain;
-        ``'quarantine'`` writes the good rows. Rows of one batch with the same id are written
-        once, and rows whose id is already in the log of the batch's dates are not written
-        again, so a batch that is run twice with the same ``at`` is logged once.
+        ``'quarantine'`` writes the good rows. An id is the same for rows that are alike in
+        customer, version, time, result and features, so a batch that is run twice with the same
+        ``at`` is logged once. Every row of the batch is either written or returned with the
+        reason: out of the domain, a second row with an id of the batch, or already in the log.
+        The checked batch is kept in the scratch folder, which the returned rows are read from.
         """
+        if on_problem not in ("raise", "quarantine"):
+            raise ValueError("on_problem must be 'raise' or 'quarantine'")
+        path = new_folder(self.spark, "log-batch")
         checked = log_row_problems(log_rows(rows, at))
+        checked.write.parquet(path)
+        checked = self.spark.read.schema(checked.schema).parquet(path)
         if on_problem == "raise":
             raise_on_problems(checked)
-        elif on_problem != "quarantine":
-            raise ValueError("on_problem must be 'raise' or 'quarantine'")
         good, bad = split_on_problems(checked)
-        fresh = good.dropDuplicates(["prediction_id"]).withColumn(
-            "prediction_date", F.to_date("prediction_timestamp")
-        )
+        # rows that are alike collapse before the shuffle, so that an id repeated very often does no harm
+        alike = good.groupBy(*LOG_SCHEMA.names).agg(F.count(F.lit(1)).alias("__copies"))
+        order = Window.partitionBy("prediction_id").orderBy(*LOG_SCHEMA.names[3:], "customer_id", "model_version")
+        ranked = alike.withColumn("__rank", F.row_number().over(order))
+        again = ranked.withColumn("__copies", F.col("__copies") - (F.col("__rank") == 1).cast("int")).where("__copies > 0")
+        again = again.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+        held = [bad, self._held(again, "the batch has another row with this id")]
+        fresh = ranked.where("__rank = 1").withColumn("prediction_date", F.to_date("prediction_timestamp"))
         if exists(self.spark, self.predictions_path):
             # only the date partitions that this batch falls into are read back
             span = fresh.agg(F.min("prediction_date").alias("first"), F.max("prediction_date").alias("last")).first()
             logged = self._stored_predictions().where(F.col("prediction_date").between(span["first"], span["last"]))
-            fresh = fresh.join(logged, ["prediction_date", "prediction_id"], "left_anti")
+            # what is logged now, before this batch is added
+            known = new_folder(self.spark, "log-known")
+            fresh.join(logged, ["prediction_date", "prediction_id"], "left_semi").write.parquet(known)
+            known = self.spark.read.schema(fresh.schema).parquet(known)
+            held.append(self._held(known, "already in the log"))
+            fresh = fresh.join(known, ["prediction_date", "prediction_id"], "left_anti")
         _by_date(fresh.select(*_DATED_LOG.names), "prediction_date").write.mode("append").partitionBy(
             "prediction_date"
         ).parquet(self.predictions_path)
-        return bad
+        return reduce(DataFrame.unionByName, held)
+
+    @staticmethod
+    def _held(rows: DataFrame, reason: str) -> DataFrame:
+        return rows.select(*LOG_SCHEMA.names, F.array(F.lit(reason)).alias("problems"))
 
     def append_outcomes(self, outcomes: DataFrame) -> None:
         """Append (prediction_id, actual_outcome, outcome_timestamp) events; outcomes must be 0 or 1."""
@@ -152,11 +177,15 @@ class PredictionLog:
         return True
 
     def compact(self, root: str) -> PredictionLog:
-        """Write log and outcomes merged into a log under a new root."""
+        """Write log and outcomes merged into a log under a new root. Outcomes whose prediction is not
+        in the log yet stay outcome events."""
         target = PredictionLog(self.spark, root)
         _by_date(self.current().select(*_DATED_LOG.names), "prediction_date").write.mode("errorifexists").partitionBy(
             "prediction_date"
         ).parquet(target.predictions_path)
+        waiting = self.unknown_outcomes().select(*OUTCOME_SCHEMA.names)
+        if not waiting.isEmpty():
+            target.append_outcomes(waiting)
         return target
 
 

@@ -40,6 +40,7 @@ METADATA_SCHEMA = T.StructType(
         ),
         T.StructField("description", T.StringType()),
         T.StructField("monthly_median", T.DoubleType()),
+        T.StructField("document", T.StringType()),  # the whole object as JSON, with keys beyond these
     ]
 )
 EVENT_SCHEMA = "version string, event string, at timestamp"
@@ -58,13 +59,16 @@ def scan_metadata(spark: SparkSession, pattern: str) -> DataFrame:
     """
     if not any_match(spark, pattern):
         return empty(spark, METADATA_SCHEMA)
-    corrupt = T.StructType([*METADATA_SCHEMA.fields, T.StructField("_broken", T.StringType())])
+    known = T.StructType(METADATA_SCHEMA.fields[:-1])
+    corrupt = T.StructType([*known.fields, T.StructField("_broken", T.StringType())])
+    parsed = F.from_json("value", corrupt, {"columnNameOfCorruptRecord": "_broken"})
     rows = (
-        spark.read.schema(corrupt)
-        .option("multiLine", True)
-        .option("columnNameOfCorruptRecord", "_broken")
-        .json(pattern)
+        spark.read.option("wholetext", True)
+        .text(pattern)
         .withColumn("__folder", F.regexp_extract(F.input_file_name(), r"/([^/]+)/metadata(\.json)?(/[^/]*)?$", 1))
+        .where(F.length(F.trim("value")) > 0)
+        .select(parsed.alias("m"), F.trim("value").alias("document"), "__folder")
+        .select("m.*", "document", "__folder")
     )
     return (
         rows.where(F.col("_broken").isNull() & ~F.col("__folder").startswith("."))
@@ -177,10 +181,12 @@ class ModelRegistry:
         ).coalesce(1).write.mode("append").option("timestampFormat", _ISO + "XXX").json(self.events_path)
 
     def metadata(self, version: str) -> dict[str, Any]:
+        """The whole metadata object of a live version, as it was saved, with defaults for absent fields."""
         row = self.versions().where(F.col("version") == version).head()
         if row is None:
             raise UnknownVersionError(f"Model version '{version}' not found")
-        return row.asDict(recursive=True)
+        fields = row.asDict(recursive=True)
+        return fields | json.loads(fields.pop("document")) | {"version": fields["version"]}
 
     def latest(self) -> str:
         found = latest_version(self.versions()).first().version
