@@ -70,7 +70,8 @@ def _with_bucket(df: DataFrame, value: str, edges: str, buckets: int, output: st
     return df.select("*", *chain).select(*df.columns, F.col(f"__b{len(steps)}").alias(output))
 
 
-def _known(df: DataFrame, value: str) -> DataFrame:
+def known(df: DataFrame, value: str) -> DataFrame:
+    """The rows whose value is neither NULL nor NaN."""
     present = F.col(value).isNotNull()
     if dict(df.dtypes)[value] in ("double", "float"):
         present = present & ~F.isnan(value)
@@ -94,7 +95,7 @@ def running_totals(
     names = list(measures)
     buckets = _power_of_two(buckets) if buckets else default_buckets(df)
 
-    per_value = _known(df, value).groupBy(*by, value).agg(*[m.alias(n) for n, m in measures.items()])
+    per_value = known(df, value).groupBy(*by, value).agg(*[m.alias(n) for n, m in measures.items()])
 
     # the sums are listed only to keep this aggregation identical to the one below, so that
     # its shuffle is reused
@@ -169,7 +170,7 @@ def exact_quantiles(
     _require_one_evaluation(df)
     by = list(by)
     buckets = _power_of_two(buckets)
-    values = _known(df.select(*by, F.col(value).cast("double").alias("__v")), "__v")
+    values = known(df.select(*by, F.col(value).cast("double").alias("__v")), "__v")
 
     sketched = values.withColumn("__sketch", _sketched_edges(values, "__v", buckets).scalar())
     sketched = sketched.withColumn("__edges", F.col("__sketch.at"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio_or_zero, right_closed_bin
-from tidemark.functions.ranks import exact_quantiles, running_totals
+from tidemark.functions.ranks import exact_quantiles, known, running_totals
 
 
 def roc_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
@@ -27,7 +27,7 @@ def roc_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) ->
     )
     start = [F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")]
     if by:
-        first = df.where(F.col(score).isNotNull()).select(*by).distinct().select(*by, *start)
+        first = known(df, score).select(*by).distinct().select(*by, *start)
     else:
         first = df.sparkSession.range(1).select(*start)
     return points.unionByName(first)
@@ -46,13 +46,14 @@ def calibration_curve(
 ) -> DataFrame:
     """(bin, prob_true, prob_pred, n) for the non-empty bins.
 
-    Bins are closed on the right. Uniform edges are i/n_bins; quantile edges are exact.
+    Bins are closed on the right. Uniform edges are i/n_bins; quantile edges are exact. Rows without a
+    label or with a missing score (NULL or NaN) are left out.
     """
     if n_bins < 2:
         raise ValueError(f"n_bins must be at least 2, got {n_bins}")
     if strategy not in ("uniform", "quantile"):
         raise ValueError(f"strategy must be 'uniform' or 'quantile', got '{strategy}'")
-    df = df.select(label, score).where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    df = known(df.select(label, score).where(F.col(label).isNotNull()), score)
     if strategy == "uniform":
         edges = [F.lit(i * (1.0 / n_bins)) for i in range(1, n_bins)]
     else:

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import ratio_or_zero
+from tidemark.functions.columns import nan_to_null, ratio_or_zero
 from tidemark.functions.ranks import exact_quantiles
 
 
 def score_summary(df: DataFrame, score: str) -> DataFrame:
-    """Count, mean, exact median, population standard deviation, minimum and maximum."""
+    """Count, mean, exact median, population standard deviation, minimum and maximum of the known scores:
+    NaN is missing like NULL."""
+    df = nan_to_null(df.select(score))
     median = exact_quantiles(df.select(score), score, {"median": 0.5}).scalar()
     return df.agg(
         F.count(score).alias("n"),

@@ -285,6 +285,10 @@ _BAND = "CASE " + " ".join(
     f"WHEN churn_probability > {lo}e0 AND churn_probability <= {hi}e0 THEN '{n}'" for n, lo, hi in _BANDS
 ) + " END"
 
+# the scored customers whose score is left when the queries on gaps blank a fifth
+_KNOWN = SCORED.replace("scored AS (\n  SELECT", "all_scored AS (\n  SELECT").replace("raw_all_scored", "raw_scored") + """,
+scored AS (SELECT * FROM all_scored WHERE CAST(substr(customer_id, 6) AS BIGINT) % 10 NOT IN (3, 7))"""
+
 _UNIFORM = """
 binned AS (
   SELECT churn, churn_probability,
@@ -346,6 +350,11 @@ ORACLE: dict[str, str] = {
       FROM daily WHERE recall < 0.5""",
     "metadata_roundtrip": f"""WITH {DAILY} SELECT model_version AS version, strftime(evaluation_date, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,
       round(recall, 6) AS recall, CAST(n_samples AS VARCHAR) AS training_samples FROM daily""",
+    "score_summary_with_gaps": f"""WITH {_KNOWN} SELECT count(churn_probability) AS n, round(avg(churn_probability), 6) AS mean,
+      round(stddev_pop(churn_probability), 6) AS std, round(min(churn_probability), 6) AS min,
+      round(max(churn_probability), 6) AS max, round(quantile_cont(churn_probability, 0.5), 6) AS median FROM scored""",
+    "calibration_with_gaps": f"WITH {_KNOWN}, {_UNIFORM} SELECT bin, round(prob_true, 6) AS prob_true, round(prob_pred, 6) AS prob_pred, n FROM curve",
+    "score_cdf_with_gaps": f"WITH {_KNOWN} SELECT DISTINCT churn_probability, round(cume_dist() OVER (ORDER BY churn_probability), 6) AS cumulative_share FROM scored",
     "evaluation_with_unscored": f"""WITH {SCORED}, holes AS (SELECT * REPLACE (
         CASE CAST(substr(customer_id, 6) AS BIGINT) % 10 WHEN 3 THEN NULL WHEN 7 THEN 'nan'::DOUBLE ELSE churn_probability END AS churn_probability) FROM scored)
       SELECT contract_type, {_EVAL_COLUMNS} FROM {_evaluation('holes', 'churn', 'churn_probability', 'predicted_class', 'contract_type')}""",

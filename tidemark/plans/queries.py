@@ -772,15 +772,38 @@ def encoder_reload(spark, sf):
     return rounded(wide.toDF(*[n.lower().replace("-", "_").replace(" ", "_") for n in wide.columns]))
 
 
-@query
-def evaluation_with_unscored(spark, sf):
-    """A tenth of the scores is NULL and a tenth NaN; all rows count."""
+# --- scores with gaps ----------------------------------------------------------------------------
+
+
+def _with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Scored customers of whom a tenth has a NULL score and a tenth NaN."""
     number = F.substring("customer_id", 6, 20).cast("bigint") % 10
     score = F.when(number == 7, F.lit(float("nan"))).when(number != 3, F.col("churn_probability"))
-    holes = testbed.scored_customers(spark, sf).withColumn("churn_probability", score)
+    return testbed.scored_customers(spark, sf).withColumn("churn_probability", score)
+
+
+@query
+def evaluation_with_unscored(spark, sf):
+    """All rows count, with or without a score."""
+    holes = _with_gaps(spark, sf)
     return rounded(classification.evaluate(holes, "churn", "churn_probability", "predicted_class", ["contract_type"]))
 
 
+@query
+def score_summary_with_gaps(spark, sf):
+    return rounded(distribution.score_summary(_with_gaps(spark, sf), "churn_probability"))
+
+
+@query
+def calibration_with_gaps(spark, sf):
+    return rounded(curves.calibration_curve(_with_gaps(spark, sf), "churn", "churn_probability"))
+
+
+@query
+def score_cdf_with_gaps(spark, sf):
+    return rounded(curves.empirical_cdf(_with_gaps(spark, sf), "churn_probability"))
+
+
 # --- streams -------------------------------------------------------------------------------------
 
 
