@@ -142,3 +142,11 @@ def test_calibration_quality(spark):
     df = spark.createDataFrame([(0.01,), (0.05,), (0.2,)], "e double")
     got = [r.q for r in df.select(curves.calibration_quality(F.col("e")).alias("q")).collect()]
     assert got == ["well calibrated", "acceptable", "poor"]
+
+
+def test_rows_without_a_score_count_by_their_class(spark):
+    rows = [("a", 1, 0.9, 1), ("a", 0, None, 1), ("a", 1, float("nan"), 0), ("a", 0, 0.2, 0), ("b", 1, None, 1)]
+    df = spark.createDataFrame(rows, "model_version string, y int, p double, c int")
+    a, b = c.evaluate(df, "y", "p", "c").orderBy("model_version").collect()
+    assert (a.tn, a.fp, a.fn, a.tp, a.n_samples, a.n_unscored, a.roc_auc) == (1, 1, 1, 1, 4, 2, 1.0)
+    assert (b.tp, b.n_samples, b.n_unscored, b.roc_auc, b.recall) == (1, 1, 1, 0.0, 1.0)

@@ -140,10 +140,11 @@ def test_registry_round_trip(spark, model, leaves, people, tmp_path):
     with pytest.raises(UnknownVersionError):
         reg.latest()
     assert reg.versions().isEmpty() and reg.deployed() is None
-    reg.save(model, "v1.0.0", {"metrics": {"recall": 0.9}, "timestamp": "2024-01-01T00:00:00.000000", "description": "first"})
+    reg.save(model, "v1.0.0", {"metrics": {"recall": 0.9}, "timestamp": "2024-01-01T00:00:00.000000", "description": "first", "author": "me", "training_samples": 5, "nested": {"a": [1]}})
     reg.save(model, "v2.0.0", {"metrics": {"recall": 0.8}, "timestamp": "2024-02-01T00:00:00.000000"})
     assert [r.version for r in reg.versions().collect()] == ["v2.0.0", "v1.0.0"] and reg.latest() == "v2.0.0"
     meta = reg.metadata("v1.0.0")
+    assert (meta["author"], meta["training_samples"], meta["nested"]) == ("me", 5, {"a": [1]}) and meta["params"]["max_depth"] in (3, "3")
     assert meta["n_features"] == 21 and meta["description"] == "first" and meta["metrics"] == {"recall": 0.9}
 
     assert reg.load()[0] == "v2.0.0"

@@ -93,3 +93,19 @@ def test_quantiles_of_many_values_have_the_right_rank(spark):
             position = p * 199_999
             below = part.where(F.col("v") <= r[name]).count()
             assert below == int(position) + 1
+
+
+def test_the_ends_of_the_hash_range(spark):
+    from tidemark.functions.columns import hash_below
+
+    ids = spark.range(2000).withColumn("id", F.col("id").cast("string"))
+    share = lambda f: ids.where(hash_below("id", 1, f)).count()
+    assert share(0.0) == 0 and share(1.0) == 2000 and 850 < share(0.5) < 1150
+    with pytest.raises(ValueError, match="between 0 and 1"):
+        hash_below("id", 1, 1.5)
+
+
+def test_outer_values_are_cut_into_widths_too(spark):
+    df = spark.range(50_000).select((F.col("id") * 1.0).alias("v"))
+    row = exact_quantiles(df, "v", {"lo": 0.0, "near": 0.001, "hi": 1.0}).first()
+    assert (row.lo, row.hi) == (0.0, 49_999.0) and abs(row.near - 49.999) < 1e-9
