@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import pieces, schema
+from tidemark.llm.common import hold, pieces, schema
 from tidemark.llm.pretokens import Cutter
 
 LONG = 200  # bytes; longer words take the step that contracts many pairs at once
@@ -162,11 +162,16 @@ _ENGINES: dict[str, Engine] = {}  # of this Python worker, for the last vocabula
 _CUTTERS: dict[tuple[str, str], Cutter] = {}
 
 
+def _release() -> None:
+    _ENGINES.clear()
+    _CUTTERS.clear()
+
+
 def _engine(shared: Broadcast, path: str) -> Engine:
     if path not in _ENGINES:
-        _ENGINES.clear()
-        _CUTTERS.clear()
+        _release()
         _ENGINES[path] = Engine(shared.value)
+        hold("byte_bpe", _release)
     return _ENGINES[path]
 
 
@@ -195,7 +200,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = _cutter(shared, path, pattern)
-        for batch in pieces(batches, limit=PIECE):
+        for batch in pieces(batches, limit=PIECE, holder="byte_bpe"):
             encoded = _encoded(cutter, batch.column(1))
             offsets = np.cumsum([0, *(len(x) // 4 for x in encoded)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(encoded), "<i4"))
@@ -229,7 +234,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, engine = _cutter(shared, path, pattern), _engine(shared, path)
-        for batch in pieces(batches, limit=PIECE):
+        for batch in pieces(batches, limit=PIECE, holder="byte_bpe"):
             encoded = _encoded(cutter, batch.column(1))
             sizes = np.array([len(x) // 4 for x in encoded], np.int64)
             texts = engine.decode(sizes, np.frombuffer(b"".join(encoded), "<i4"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -36,8 +36,19 @@ def as_bytes(text: str) -> Column:
     return F.col(text).cast("binary")
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: int = 1, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches whose column ``text`` has about ``limit`` bytes at most, but one row at least."""
+_HELD: dict[str, Callable[[], None]] = {}  # what this Python worker keeps from task to task, and how to let go
+
+
+def hold(holder: str, release: Callable[[], None]) -> None:
+    """Keep something in this worker until an operator of another name works in it."""
+    _HELD[holder] = release
+
+
+def pieces(batches: Iterator[pa.RecordBatch], text: int = 1, limit: int = BATCH_BYTES, holder: str = "") -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose column ``text`` has about ``limit`` bytes at most, but one row at least.
+    What other operators hold in this worker goes."""
+    for name in [n for n in _HELD if n != holder]:
+        _HELD.pop(name)()
     for batch in batches:
         start, total = 0, 0
         for i, n in enumerate(pc.binary_length(batch.column(text)).to_pylist()):
@@ -49,18 +60,24 @@ def pieces(batches: Iterator[pa.RecordBatch], text: int = 1, limit: int = BATCH_
             yield batch.slice(start)
 
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# While a table is staged: its shuffle files go with the end of the write, as nothing reads them again, and
+# batches for Python are small, as a row may be a long text.
+WHILE_STAGING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+}
 
 
 def _write(df: DataFrame, path: str) -> None:
-    """Writes a table; the shuffle files of this write go with its end, as nothing reads them again."""
     conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, "false")
-    conf.set(CLEANUP, "true")
+    before = {k: conf.get(k, None) for k in WHILE_STAGING}
     try:
+        for k, v in WHILE_STAGING.items():
+            conf.set(k, v)
         df.write.parquet(path)
     finally:
-        conf.set(CLEANUP, before)
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:

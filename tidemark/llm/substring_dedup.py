@@ -23,6 +23,7 @@ from tidemark.llm.recompression import Prefixes, anchors, marked, mixed
 WINDOW = 35
 FILTER_BITS = 24  # of the filter that spares texts without repeats the shuffle: 2 MB at any size of corpus
 KEYS = ["k1", "k2"]
+PIECE = 1 << 18  # bytes of text that are worked on at once
 PART = 8  # windows that are compared by what they have in common, before each is
 ROWS = "k1 bigint, k2 bigint, name bigint, around bigint, first int, n int, place int"
 PARTS = "k1 bigint, k2 bigint, name bigint, core bigint, first int, windows array<bigint>"
@@ -39,7 +40,7 @@ def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 def _anchor_rows(keyed: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text=2, limit=1 << 20):
+        for batch in pieces(batches, text=2, limit=PIECE):
             both, end, begin = marked(batch.column(2).to_pylist())
             name, first, last, place = anchors(both[0], end, window)
             around = Prefixes(both[1])(first, last + window - 1)
@@ -58,7 +59,7 @@ def _parts(asked: DataFrame, window: int) -> DataFrame:
     most = min(PART, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text=2, limit=1 << 20):
+        for batch in pieces(batches, text=2, limit=PIECE):
             both, _, begin = marked(batch.column(2).to_pylist())
             prefixes = Prefixes(both[1])
             lists = batch.column(3)
@@ -91,9 +92,9 @@ def key_bits(keys: DataFrame, key: str, size: int = FILTER_BITS) -> np.ndarray:
     """2**size bits, in words of 32, of which those are set that the lowest bits of the keys name."""
     place = F.col(key).bitwiseAND(F.lit((1 << size) - 1))
     word, bit = F.shiftright(place, 5).alias("word"), F.expr(f"shiftleft(1L, cast({key} & 31 as int))").alias("bit")
-    rows = keys.select(word, bit).groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toPandas()  # one per word at most
+    rows = keys.select(word, bit).groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toArrow()  # one per word at most
     bits = np.zeros(1 << (size - 5), np.uint32)
-    bits[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).astype(np.uint32)
+    bits[rows["word"].to_numpy().astype(np.int64)] = rows["bits"].to_numpy().astype(np.uint32)
     return bits
 
 
@@ -162,7 +163,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc
     hit = keyed.where(may_be).join(repeats, KEYS, "left").select("text", "groups", "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text=0):
+        for batch in pieces(batches, text=0, limit=PIECE):
             counts, removed, kept = [], [], []
             for text, found in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 words = (text or b"").split()
