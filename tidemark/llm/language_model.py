@@ -24,7 +24,7 @@ from tidemark.llm.simhash import LOWER
 from tidemark.llm.substring_dedup import key_bits
 
 LEAST, BACKOFF = 2, 0.4
-HOT = 100_000  # most frequent words, and as many pairs, whose counts every task gets
+HOT = 50_000  # most frequent words, and as many pairs, whose counts every task gets
 FILTER_BITS = 25
 COUNTS = "h bigint, pair boolean, n bigint"
 ASKED = "h bigint, k1 bigint, k2 bigint, n int, value double, u bigint, w bigint"
@@ -59,10 +59,10 @@ def count_table(docs: DataFrame, text_column: str = "text", least: int = LEAST)
 class Frequent:
     """Counts of frequent n-grams, looked up by hash."""
 
-    def __init__(self, rows: list) -> None:
-        keys = np.array([r["h"] for r in rows], np.int64).view(np.uint64)
+    def __init__(self, rows: pa.Table) -> None:
+        keys = rows["h"].to_numpy().astype(np.int64).view(np.uint64)
         order = np.argsort(keys)
-        self.keys, self.logs = keys[order], np.log(np.array([r["n"] for r in rows], np.float64)[order])
+        self.keys, self.logs = keys[order], np.log(rows["n"].to_numpy().astype(np.float64)[order])
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
         """The logarithms of the counts; NaN where the n-gram is not among the frequent."""
@@ -78,7 +78,7 @@ def _asked(keyed: DataFrame, counts: DataFrame, backoff: float) -> DataFrame:
     """Rows ASKED: what the count of ``h`` is needed for. A row's text gets n * log(count) + value; for the
     pairs of rarer words, less n times the logarithms of the counts of u and w as well."""
     total = counts.where("not pair").agg(F.sum("n")).first()[0] or 1
-    top = [counts.where(kind).orderBy(F.desc("n"), "h").limit(HOT).collect() for kind in ("not pair", "pair")]
+    top = [counts.where(kind).orderBy(F.desc("n"), "h").limit(HOT).select("h", "n").toArrow() for kind in ("not pair", "pair")]
     bits = key_bits(counts.where("pair"), "h", FILTER_BITS)
     shared = keyed.sparkSession.sparkContext.broadcast((Frequent(top[0]), Frequent(top[1]), bits))
     log_total, log_backoff = float(np.log(total)), float(np.log(backoff))
