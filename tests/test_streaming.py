@@ -1,9 +1,11 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import scorecard
+from tidemark.plans import queries
 from tidemark.sources.alert_log import read_alerts
 from tidemark.streaming import outcomes, performance, scoring, sources
 
@@ -53,6 +55,23 @@ def test_outcomes_attach_within_the_bound(spark, tmp_path):
     assert sorted(r.prediction_id for r in late.collect()) == ["NONE", "P1", "P3"]
 
 
+def test_a_prediction_with_two_outcomes_gets_the_latest(spark):
+    rows = [("A", 1, at(1)), ("A", 0, at(2)), ("B", None, None)]
+    attached = spark.createDataFrame(rows, "prediction_id string, actual_outcome int, outcome_timestamp timestamp")
+    got = sorted(map(tuple, outcomes.latest_attached(attached).collect()))
+    assert got == [("A", 0, at(2)), ("B", None, None)]
+
+
+def test_both_halves_of_the_stream_are_returned(spark):
+    """Fails where predictions closed without an outcome are dropped."""
+    sf = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(sf):
+        pytest.skip("no test tables")
+    rows = queries.QUERIES["streamed_outcomes_whole"](spark, sf).collect()
+    assert {r.actual_outcome is None for r in rows} == {True, False}
+    assert len({r.prediction_id for r in rows}) == len(rows)
+
+
 def test_daily_checks_and_alerts(spark, tmp_path):
     rows = []
     for day, (hits, misses) in enumerate([(9, 1), (3, 7), (10, 0)]):

@@ -536,6 +536,17 @@ ORACLE: dict[str, str] = {
     "streamed_outcomes": f"""WITH {LOG} SELECT prediction_id, d.actual_outcome, strftime(d.outcome_timestamp, {MICRO}) AS decided_at
       FROM predictions p JOIN decided d USING (prediction_id)
       WHERE d.outcome_timestamp BETWEEN p.prediction_timestamp AND p.prediction_timestamp + INTERVAL 3 HOUR""",
+    "streamed_outcomes_whole": f"""WITH {LOG},
+      ends AS (SELECT least((SELECT max(prediction_timestamp) FROM predictions), (SELECT max(outcome_timestamp) FROM decided)) - INTERVAL 1 HOUR AS watermark),
+      answered AS (SELECT p.prediction_id, d.actual_outcome, d.outcome_timestamp FROM predictions p JOIN decided d USING (prediction_id)
+        WHERE d.outcome_timestamp BETWEEN p.prediction_timestamp AND p.prediction_timestamp + INTERVAL 3 HOUR
+        QUALIFY row_number() OVER (PARTITION BY p.prediction_id ORDER BY d.outcome_timestamp DESC, d.actual_outcome DESC) = 1)
+      SELECT prediction_id, a.actual_outcome, strftime(a.outcome_timestamp, {MICRO}) AS decided_at
+      FROM predictions p LEFT JOIN answered a USING (prediction_id)
+      WHERE a.prediction_id IS NOT NULL OR p.prediction_timestamp + INTERVAL 3 HOUR < (SELECT watermark FROM ends)""",
+    "streamed_late_outcomes": f"""WITH {LOG} SELECT prediction_id, d.actual_outcome, strftime(d.outcome_timestamp, {MICRO}) AS decided_at
+      FROM decided d WHERE NOT EXISTS (SELECT 1 FROM predictions p WHERE p.prediction_id = d.prediction_id
+        AND d.outcome_timestamp BETWEEN p.prediction_timestamp AND p.prediction_timestamp + INTERVAL 3 HOUR)""",
     "streamed_performance": f"""WITH d AS (SELECT 'v_' || event_type AS model_version, CAST(value >= 50 AS INTEGER) AS predicted_class,
         CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) >= 50 AS INTEGER) AS actual_outcome, ts,
         date_trunc('day', ts) AS day FROM events),

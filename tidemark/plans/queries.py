@@ -836,9 +836,8 @@ def streamed_scores(spark, sf):
     return spark.read.parquet(f"{folder}/out")
 
 
-@query
-def streamed_outcomes(spark, sf):
-    """Outcomes attached within three hours; predictions still open at the end are left out."""
+def _attached(spark: SparkSession, sf: str) -> DataFrame:
+    """All that the stream emits: predictions with an outcome within three hours, and those closed without one."""
     folder = new_folder(spark, "outcomes")
     predictions = testbed.predictions_of(_stream(spark, sf, "events")).drop(
         "actual_outcome", "outcome_timestamp"
@@ -846,11 +845,29 @@ def streamed_outcomes(spark, sf):
     decided = testbed.outcomes_of(_stream(spark, sf, "events"))
     attached = outcome_stream.attach_outcomes(predictions, decided, within="3 hours", delay="1 hour")
     outcome_stream.write_attached(attached, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    return (
-        spark.read.parquet(f"{folder}/out")
-        .where(F.col("actual_outcome").isNotNull())
-        .select("prediction_id", "actual_outcome", F.date_format("outcome_timestamp", ISO).alias("decided_at"))
-    )
+    return spark.read.parquet(f"{folder}/out")
+
+
+def _with_decided_at(rows: DataFrame) -> DataFrame:
+    return rows.select("prediction_id", "actual_outcome", F.date_format("outcome_timestamp", ISO).alias("decided_at"))
+
+
+@query
+def streamed_outcomes(spark, sf):
+    """The answered half only, a row per outcome; streamed_outcomes_whole has a row per prediction."""
+    return _with_decided_at(_attached(spark, sf).where(F.col("actual_outcome").isNotNull()))
+
+
+@query
+def streamed_outcomes_whole(spark, sf):
+    """Every prediction answered within three hours, with its latest outcome, or closed without one by the final watermark."""
+    return _with_decided_at(outcome_stream.latest_attached(_attached(spark, sf)))
+
+
+@query
+def streamed_late_outcomes(spark, sf):
+    """Outcome events that the stream did not attach."""
+    return _with_decided_at(outcome_stream.late_outcomes(testbed.outcome_events(spark, sf), _attached(spark, sf)))
 
 
 @query

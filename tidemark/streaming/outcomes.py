@@ -29,6 +29,12 @@ def attach_outcomes(
     return p.join(o, condition, "left_outer").drop("__id")
 
 
+def latest_attached(attached: DataFrame) -> DataFrame:
+    """One row for every prediction that the stream emitted, with its latest outcome within the bound or none."""
+    last = F.max(F.struct("outcome_timestamp", "actual_outcome")).alias("last")
+    return attached.groupBy("prediction_id").agg(last).select("prediction_id", "last.actual_outcome", "last.outcome_timestamp")
+
+
 def late_outcomes(outcomes: DataFrame, attached: DataFrame) -> DataFrame:
     """Outcome events of a finished period that the stream did not attach."""
     done = attached.where(F.col("outcome_timestamp").isNotNull()).select("prediction_id", "outcome_timestamp")
