@@ -9,7 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, decontamination, language_model, languages, pivot_search, quality, simhash, substring_dedup, token_counts
+from tidemark.llm import (
+    byte_bpe, chat, conversation_repair, decontamination, language_model, languages, pivot_search, quality, simhash, substring_dedup, token_counts,
+)
 from tidemark.llm.common import held_out, sha256, table
 
 TOKEN_LIMIT = 1024
@@ -116,7 +118,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", apart.alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
 
 
-QUERIES = {"op10_quality": op10_quality, "op1_pivot_search": op1_pivot_search, "op2_language_model": op2_language_model, "op3_decontamination": op3_decontamination, "op4_language": op4_language, "op5_substring_dedup": op5_substring_dedup, "op6_chat": op6_chat, "op9_simhash": op9_simhash, "op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation damaged and repaired; one that loses all its rows has zeros."""
+    rows = table(spark, sf_dir, "conversations")
+    found = conversation_repair.repair(conversation_repair.damaged(rows)).withColumnRenamed("conv_id", "found_id")
+    every = rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256")
+    return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), nothing)
+
+
+QUERIES = {"op13_conversation_repair": op13_conversation_repair, "op10_quality": op10_quality, "op1_pivot_search": op1_pivot_search, "op2_language_model": op2_language_model, "op3_decontamination": op3_decontamination, "op4_language": op4_language, "op5_substring_dedup": op5_substring_dedup, "op6_chat": op6_chat, "op9_simhash": op9_simhash, "op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
 _CAPITALS = ", ".join(repr(x) for x in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
 _WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 # Operators that SQL can express. Languages, quality, tokenizers, hashes that the engine lacks and digests of
