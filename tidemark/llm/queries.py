@@ -6,11 +6,11 @@ from collections.abc import Iterator
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    byte_bpe, chat, conversation_repair, decontamination, language_model, languages, pivot_search, quality, simhash, substring_dedup, token_counts,
+    byte_bpe, chat, conversation_repair, decontamination, hard_negatives, language_model, languages, license_scan, pivot_search, quality, simhash, substring_dedup, token_counts,
 )
 from tidemark.llm.common import held_out, sha256, table
 
@@ -118,6 +118,34 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", apart.alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five negatives for each of the five nearest rows of its label of every hundredth vector; every seventh label is moved."""
+    rows = table(spark, sf_dir, "embeddings").where(pivot_search.usable("embedding"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    rows = rows.select("vec_id", label, pivot_search.scaled("embedding", 256).alias("vector"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License statements of every document: places of the base phrases, and the labels that all rules leave."""
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    base, kept = F.filter("found", lambda d: d["base"]), F.filter("found", lambda d: d["kept"])
+
+    def labels(detections: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(detections, lambda d: d["label"]))), ",")
+
+    return found.select(
+        "doc.doc_id",
+        "n_words",
+        F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(F.transform(base, lambda d: d["first"])).alias("first_word"),
+        F.array_max(F.transform(base, lambda d: d["first"])).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.filter("found", lambda d: d["base"] | d["kept"])).alias("labels"),
+        F.coalesce(F.array_max(F.transform(kept, lambda d: d["confidence"])), F.lit(0.0)).alias("score"),
+    )
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation damaged and repaired; one that loses all its rows has zeros."""
     rows = table(spark, sf_dir, "conversations")
@@ -128,7 +156,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), nothing)
 
 
-QUERIES = {"op13_conversation_repair": op13_conversation_repair, "op10_quality": op10_quality, "op1_pivot_search": op1_pivot_search, "op2_language_model": op2_language_model, "op3_decontamination": op3_decontamination, "op4_language": op4_language, "op5_substring_dedup": op5_substring_dedup, "op6_chat": op6_chat, "op9_simhash": op9_simhash, "op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
+QUERIES = {"op12_license_scan": op12_license_scan, "op11_hard_negatives": op11_hard_negatives, "op13_conversation_repair": op13_conversation_repair, "op10_quality": op10_quality, "op1_pivot_search": op1_pivot_search, "op2_language_model": op2_language_model, "op3_decontamination": op3_decontamination, "op4_language": op4_language, "op5_substring_dedup": op5_substring_dedup, "op6_chat": op6_chat, "op9_simhash": op9_simhash, "op7_byte_bpe": op7_byte_bpe, "op8_token_counts": op8_token_counts}
 _CAPITALS = ", ".join(repr(x) for x in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
 _WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 # Operators that SQL can express. Languages, quality, tokenizers, hashes that the engine lacks and digests of
@@ -141,6 +169,17 @@ ORACLE = {
         FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
       r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
       SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op11_hard_negatives": """
+      WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
+        FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+      s AS (SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+      p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+      n AS (SELECT anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+          row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+        FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+      SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""",
     "op2_language_model": f"""
       WITH cut AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_CAPITALS}), '[^ \\x09-\\x0D]+') AS ws FROM documents),
       words AS (SELECT doc_id, i, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS u FROM cut, unnest(range(1, len(ws) + 1)) t(i)),
