@@ -63,7 +63,8 @@ def test_hot_label_ties_and_repeated_rows(spark, monkeypatch):
 def test_pruning_keeps_every_candidate_and_drops_others():
     draw = np.random.default_rng(1)
     centres = draw.normal(size=(20, 32)) ** 5 * 30  # a few coordinates are large
-    vectors = (centres[np.arange(2000) % 20] + draw.normal(size=(2000, 32)) * 10).astype(np.int64)
+    vectors = centres[np.arange(2000) % 20] + draw.normal(size=(2000, 32)) * 10
+    vectors = (vectors * 1000 / np.sqrt((vectors**2).sum(1))[:, None]).astype(np.int64)  # as in a bucket: alike in length
     lists, longest = hard_negatives.sorted_lists(vectors), float(np.sqrt((vectors**2).sum(1)).max())
     anchors = vectors[:20]
     scores = hard_negatives.products(anchors, vectors)
