@@ -31,7 +31,7 @@ def expected_value(row, known, node=0):
     if feature in known:
         goes_left = (row[feature] <= threshold) != swapped
         return expected_value(row, known, left if goes_left else right)
-    return sum(TREE[c][1] / cover * expected_value(row, known, c) for c in (left, right))
+    return sum(TREE[c][1] / cover * expected_value(row, known, c) for c in (left, right)) if cover else 0.0
 
 
 def shapley(row, n):
@@ -47,9 +47,10 @@ def shapley(row, n):
     return out
 
 
-@pytest.mark.parametrize("table_features", [8, 0])
-def test_attributions_equal_brute_force_shapley_values(monkeypatch, table_features):
-    monkeypatch.setattr(a, "TABLE_FEATURES", table_features)  # 0 forces the long-path form
+@pytest.mark.parametrize("kept,height", [(1 << 20, 2), (0, 2), (0, 0), (1 << 20, 9), (200, 1)])
+def test_attributions_equal_brute_force_shapley_values(monkeypatch, kept, height):
+    monkeypatch.setattr(a, "TABLE_BYTES", kept)  # 0: no table is kept
+    monkeypatch.setattr(a, "HEIGHT", height)
     table = a.build_leaf_table({0: TREE}, {0: 1.0}, 4)
     got = a.BatchExplainer(table).explain(ROWS)
     assert table.base == pytest.approx(expected_value(ROWS[0], set()))
@@ -58,6 +59,59 @@ def test_attributions_equal_brute_force_shapley_values(monkeypatch, table_featur
         assert values.sum() == pytest.approx(expected_value(row, {0, 1, 2, 3}) - table.base)
 
 
+def drawn_tree(draw, depth, n_features, node=0, cover=512.0):
+    """A random tree in which features come again on a path and some children have no training weight."""
+    if depth == 0 or draw.random() < 0.15:
+        return {node: (float(draw.normal()), cover, -1, -1, -1, 0.0, False)}
+    part = float(draw.choice([0.0, 0.25, 0.5, 0.9]))
+    left, right = 2 * node + 1, 2 * node + 2
+    split = (0.0, cover, left, right, int(draw.integers(n_features)), float(draw.integers(-3, 4)), bool(draw.random() < 0.3))
+    below = drawn_tree(draw, depth - 1, n_features, left, cover * part) | drawn_tree(draw, depth - 1, n_features, right, cover * (1 - part))
+    return {node: split, **below}
+
+
+@pytest.mark.parametrize("depth,n_features,trees", [(2, 3, 40), (4, 5, 12), (7, 6, 4), (9, 2, 4)])
+def test_random_trees_against_brute_force(monkeypatch, depth, n_features, trees):
+    draw = np.random.default_rng(depth)
+    rows = np.r_[draw.integers(-4, 5, (12, n_features)), draw.normal(size=(12, n_features))].astype(float)
+    for k in range(trees):
+        monkeypatch.setattr(a, "TABLE_BYTES", k % 2 * 4096)
+        tree = drawn_tree(draw, depth, n_features)
+        table = a.build_leaf_table({0: tree}, {0: 1.0}, n_features)
+        got = a.BatchExplainer(table).explain(rows)
+        monkeypatch.setitem(globals(), "TREE", tree)
+        for row, values in zip(rows, got):
+            assert values == pytest.approx(shapley(row, n_features), abs=1e-9)
+            assert values.sum() + table.base == pytest.approx(expected_value(row, set(range(n_features))))
+
+
+def test_shares_of_zero_are_a_limit():
+    tree = {0: (0.0, 10.0, 1, 2, 0, 0.5, False), 1: (0.0, 10.0, 3, 4, 1, 0.5, False), 2: (5.0, 0.0, -1, -1, -1, 0.0, False)}
+    tree |= {3: (1.0, 4.0, -1, -1, -1, 0.0, False), 4: (2.0, 6.0, -1, -1, -1, 0.0, False)}
+    table = a.build_leaf_table({0: tree}, {0: 1.0}, 2)
+    got = a.BatchExplainer(table).explain(np.array([[1.0, 0.0], [0.0, 1.0]]))
+    assert got.sum(1) + table.base == pytest.approx([10.0, 4.0])
+    assert got[0] == pytest.approx([(10 - 3.2 + 10 - 2) / 2, (2 - 3.2 + 0) / 2]) and got[1][0] == pytest.approx(0)
+
+
+def test_a_batch_in_pieces(monkeypatch):
+    table = a.build_leaf_table({0: TREE}, {0: 1.0}, 4)
+    rows = np.tile(ROWS, (200, 1))
+    whole = a.BatchExplainer(table).explain(rows)
+    monkeypatch.setattr(a, "CONDITION_BYTES", 1)
+    assert (a.BatchExplainer(table).explain(rows) == whole).all()
+
+
+def test_the_table_is_sent_once_and_released(spark):
+    table = a.build_leaf_table({0: TREE}, {0: 1.0}, 4)
+    df = spark.createDataFrame([([0.0, 1.0, 0.0, 9.0],)], "v array<double>")
+    for _ in range(2):
+        assert df.select(a.attribution_udf(spark, table)("v").alias("s")).first().s == pytest.approx(shapley(ROWS[0], 4))
+    assert len(table.shared) == 1
+    table.release()
+    assert not table.shared
+
+
 def test_a_tree_without_splits_only_moves_the_base():
     table = a.build_leaf_table({0: {0: (0.25, 10.0, -1, -1, -1, 0.0, False)}}, {0: 2.0}, 3)
     assert table.base == 1.0 and (a.BatchExplainer(table).explain(np.zeros((2, 3))) == 0).all()

@@ -1,13 +1,17 @@
 """Exact additive attributions for boosted trees (path-dependent tree SHAP).
 
-The model explains twice its margin, which is the log-odds of the positive class. The attribution
-of a leaf depends only on *which* of the conditions on its path a row meets. A path has few
-distinct features, so each leaf gets a table from the pattern of met conditions to the Shapley
-values; explaining a batch of rows is then comparing columns and looking patterns up.
-(Lundberg et al., "From local explanations to global understanding with explainable AI for
-trees", 2020, for the definition; Yang, "Fast TreeSHAP", 2021, for the pattern tables.)
-
-The leaf table is as large as the model, not the data, and is broadcast. Rows pass through Arrow
+The model explains twice its margin, which is the log-odds of the positive class. Summed over the subsets of the other
+features, the value of a feature at a leaf is an integral over t from 0 to 1 of a polynomial: the product of the factors
+``t x met + (1 - t) x share`` of the other features on the path, where ``met`` says whether a row meets all conditions on a feature
+and ``share`` is the part of the training weight that does. A quadrature with half as many points as a path has features
+is exact for it. (Lundberg et al., "From local explanations to global understanding with explainable AI for trees", 2020, for
+the definition; Yu et al., "Linear TreeShap", 2022, for the polynomials.)
+
+A tree is cut into small subtrees. What a subtree's leaves give a row depends only on which conditions of the path to it and
+which splits in it the row meets, so that the polynomials are worked out for patterns, not for rows. Every distinct condition
+of the model is compared with a batch of rows once; explaining the rows is then looking patterns up.
+
+The leaf table is as large as the model, not the data, and is broadcast, once for each table. Rows pass through Arrow
 batches; only the feature array crosses into Python.
 """
 
@@ -16,12 +20,12 @@ from __future__ import annotations
 import math
 import sys
 from collections import defaultdict
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -31,59 +35,110 @@ from tidemark.sources.scratch import new_folder
 # executors get this module's functions with the task, also where the package is not installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-TABLE_FEATURES = 8  # leaves with more features on their path are not given a full table
+NO_SHARE = 1e-30  # stands for a share of 0, which would divide; far below what a double's digits can show
+HEIGHT = 2  # splits below each other in a subtree
+TABLE_BYTES = 96 << 20  # of patterns' values that a worker keeps; what is beyond is worked out for every batch
+CONDITION_BYTES = 32 << 20  # of conditions of a batch that are held at once
 
 
 @dataclass
-class LeafTable:
-    """Leaves grouped by the number m of distinct features on their path.
+class Subtree:
+    """The leaves below a node and how they depend on a row.
+
+    ``conditions`` are the numbers of the model's conditions that make the bits of a pattern. A leaf meets all that its path asks
+    of a feature if the bits in ``mask`` equal ``want``; ``share`` of the training weight does (1 for features off its path)."""
+
+    conditions: list[int]
+    features: np.ndarray
+    mask: np.ndarray  # (leaves, features), as are the next two
+    want: np.ndarray
+    share: np.ndarray
+    value: np.ndarray  # of the leaves
 
-    Per m: values (k,), features (k, m), open lower and closed upper bounds (k, m), and the share
-    of training weight that follows the path at the splits on each feature (k, m).
-    """
 
-    groups: dict[int, tuple[np.ndarray, ...]]
+@dataclass
+class LeafTable:
+    """Conditions (feature, low excluded, high included) and the subtrees that ask for them, the expected value over the training
+    weight, and the number of features."""
+
+    conditions: list[tuple[int, float, float]]
+    subtrees: list[Subtree]
     base: float
     n_features: int
+    shared: dict[str, Broadcast] = field(default_factory=dict, repr=False, compare=False)
 
+    def broadcast(self, spark: SparkSession) -> Broadcast:
+        """The table sent to the executors, once in a session."""
+        key = spark.sparkContext.applicationId
+        if key not in self.shared:
+            # the empty dict is for what a Python worker keeps from task to task
+            self.shared[key] = spark.sparkContext.broadcast(((self.conditions, self.subtrees, self.base, self.n_features), {}))
+        return self.shared[key]
 
-def _paths(nodes: dict[int, tuple], tree_weight: float) -> Iterator[tuple[float, dict]]:
-    """(leaf value, {feature: [low, high, share]}) for the leaves of one tree."""
-    stack = [(0, {})]
+    def release(self) -> None:
+        """Take the table back from the executors, once all that it explains has been written."""
+        while self.shared:
+            self.shared.popitem()[1].destroy()
+
+
+def _heights(nodes: dict[int, tuple]) -> dict[int, int]:
+    heights, order, stack = {}, [], [0]
+    while stack:
+        order.append(node := stack.pop())
+        if nodes[node][2] >= 0:
+            stack += nodes[node][2:4]
+    for node in reversed(order):
+        left, right = nodes[node][2:4]
+        heights[node] = 0 if left < 0 else 1 + max(heights[left], heights[right])
+    return heights
+
+
+def _children(nodes: dict[int, tuple], node: int) -> Iterator[tuple[int, bool, float]]:
+    """(child, whether it takes values up to the threshold, share of the weight) of a split."""
+    _, cover, left, right, _, _, swapped = nodes[node]
+    for child, below in ((left, not swapped), (right, swapped)):
+        yield child, below, nodes[child][1] / cover if cover else 0.0
+
+
+def _subtree(nodes: dict[int, tuple], root: int, path: dict[int, tuple], weight: float, number: Callable[[tuple], int]) -> Subtree:
+    """The subtree of a node behind the conditions {feature: (low, high, share)} of its path."""
+    bits = {("path", f): number((f, low, high)) for f, (low, high, _) in path.items()}
+    leaves, stack = [], [(root, {f: (1 << i, 1 << i, p[2]) for i, (f, p) in enumerate(path.items())})]
     while stack:
-        node_id, path = stack.pop()
-        prediction, cover, left, right, feature, threshold, swapped = nodes[node_id]
+        node, asked = stack.pop()
+        prediction, _, left, _, feature, threshold, _ = nodes[node]
         if left < 0:
-            yield 2.0 * tree_weight * prediction, path
+            leaves.append((2.0 * weight * prediction, asked))
             continue
-        for child, below in ((left, not swapped), (right, swapped)):
-            low, high, share = path.get(feature, (-math.inf, math.inf, 1.0))
-            low, high = (low, min(high, threshold)) if below else (max(low, threshold), high)
-            fraction = nodes[child][1] / cover if cover else 0.0
-            stack.append((child, {**path, feature: (low, high, share * fraction)}))
+        bit = 1 << len(bits)
+        bits[node] = number((feature, -math.inf, threshold))
+        for child, below, part in _children(nodes, node):
+            mask, want, share = asked.get(feature, (0, 0, 1.0))
+            stack.append((child, {**asked, feature: (mask | bit, want | bit * below, share * part)}))
+    features = sorted({f for _, asked in leaves for f in asked})
+    of = lambda i, off: np.array([[asked[f][i] if f in asked else off for f in features] for _, asked in leaves])
+    return Subtree(list(bits.values()), np.array(features), of(0, 0), of(1, 0), of(2, 1.0), np.array([v for v, _ in leaves]))
 
 
 def build_leaf_table(trees: dict[int, dict[int, tuple]], weights: dict[int, float], n_features: int) -> LeafTable:
-    """Flatten trees given as {node id: (prediction, cover, left, right, feature, threshold, swapped)}."""
-    base = 0.0
-    rows = defaultdict(list)
+    """Cut up trees given as {node id: (prediction, cover, left, right, feature, threshold, swapped)}."""
+    base, subtrees, conditions = 0.0, [], {}
     for tree_id, nodes in trees.items():
-        for value, path in _paths(nodes, weights[tree_id]):
-            base += value * math.prod(p[2] for p in path.values())
-            if path:
-                items = sorted(path.items())
-                rows[len(items)].append((value, [f for f, _ in items], [p for _, p in items]))
-    groups = {}
-    for m, leaves in rows.items():
-        bounds = np.array([leaf[2] for leaf in leaves], dtype=float)
-        groups[m] = (
-            np.array([leaf[0] for leaf in leaves]),
-            np.array([leaf[1] for leaf in leaves], dtype=np.int32),
-            bounds[:, :, 0],
-            bounds[:, :, 1],
-            bounds[:, :, 2],
-        )
-    return LeafTable(groups, base, n_features)
+        heights, stack = _heights(nodes), [(0, {})]
+        while stack:
+            node, path = stack.pop()
+            if heights[node] <= HEIGHT:
+                found = _subtree(nodes, node, path, weights[tree_id], lambda c: conditions.setdefault(c, len(conditions)))
+                base += float(found.value @ found.share.prod(axis=1))
+                if len(found.features):
+                    subtrees.append(found)
+                continue
+            feature, threshold = nodes[node][4:6]
+            for child, below, part in _children(nodes, node):
+                low, high, share = path.get(feature, (-math.inf, math.inf, 1.0))
+                low, high = (low, min(high, threshold)) if below else (max(low, threshold), high)
+                stack.append((child, {**path, feature: (low, high, share * part)}))
+    return LeafTable(list(conditions), subtrees, base, n_features)
 
 
 def read_leaf_table(spark: SparkSession, classifier_path: str, n_features: int) -> LeafTable:
@@ -112,72 +167,82 @@ def leaf_table(spark: SparkSession, classifier: GBTClassificationModel) -> LeafT
     return read_leaf_table(spark, path, classifier.numFeatures)
 
 
-def pattern_values(value: np.ndarray, share: np.ndarray, met: np.ndarray) -> np.ndarray:
-    """Shapley values (k, p, m) of k leaves with m features for p patterns of met conditions.
-
-    The value of feature i is v (met_i - share_i) times the average, over the subsets of the
-    other features, of the product of ``met`` inside and ``share`` outside the subset. The
-    products of equal subset size are the coefficients of prod_j (met_j t + share_j).
-    """
-    k, m = share.shape
-    weights = [math.factorial(s) * math.factorial(m - 1 - s) / math.factorial(m) for s in range(m)]
-    out = np.empty((k, met.shape[0], m))
-    for i in range(m):
-        coefficients = [np.ones((k, met.shape[0]))]
-        for j in range(m):
-            if j == i:
-                continue
-            inside, outside = met[None, :, j], share[:, None, j]
-            longer = [coefficients[0] * outside]
-            longer += [coefficients[s] * outside + coefficients[s - 1] * inside for s in range(1, len(coefficients))]
-            longer.append(coefficients[-1] * inside)
-            coefficients = longer
-        total = sum(w * c for w, c in zip(weights, coefficients))
-        out[:, :, i] = value[:, None] * (met[None, :, i] - share[:, None, i]) * total
+def pattern_values(subtree: Subtree, patterns: np.ndarray) -> np.ndarray:
+    """Shapley values (features, patterns) that the leaves of a subtree give for patterns of met conditions."""
+    met = ((patterns & subtree.mask[:, :, None]) == subtree.want[:, :, None]).astype(float)
+    share, out = np.maximum(subtree.share, NO_SHARE)[:, :, None], np.zeros((len(subtree.features), len(patterns)))
+    lead = subtree.value[:, None, None] * (met - share)
+    most = int((subtree.mask != 0).sum(axis=1).max())
+    for point, weight in zip(*np.polynomial.legendre.leggauss((most + 1) // 2), strict=True):
+        t = (point + 1) / 2
+        factor = t * met
+        factor += (1 - t) * share
+        others = weight / 2 * factor.prod(axis=1, keepdims=True) / factor
+        others *= lead
+        out += others.sum(axis=0)
     return out
 
 
 class BatchExplainer:
-    """Explains batches of rows; its tables are built once per task."""
+    """Explains batches of rows; its tables are built once per Python worker, as far as they fit."""
 
     def __init__(self, table: LeafTable):
         self.table = table
-        self.tables = {}
-        for m, (value, _, _, _, share) in table.groups.items():
-            if m <= TABLE_FEATURES:
-                patterns = ((np.arange(1 << m)[:, None] >> np.arange(m)) & 1).astype(float)
-                self.tables[m] = np.ascontiguousarray(pattern_values(value, share, patterns).transpose(0, 2, 1))
+        self.tables: dict[int, np.ndarray] = {}
+        self.room = TABLE_BYTES
+        self.piece = max(256, CONDITION_BYTES // max(1, len(table.conditions)))
+
+    def _values(self, number: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values (features, patterns) of a subtree, and which pattern each row has."""
+        if (ready := self.tables.get(number)) is not None:
+            return ready, code
+        subtree = self.table.subtrees[number]
+        n = 1 << len(subtree.conditions)
+        size = 8 * n * len(subtree.features)
+        if size <= self.room:
+            self.tables[number] = pattern_values(subtree, np.arange(n))
+            self.room -= size
+            return self.tables[number], code
+        if n <= len(code):
+            seen = np.zeros(n, bool)
+            seen[code] = True
+            place = np.cumsum(seen) - 1
+            return pattern_values(subtree, np.flatnonzero(seen)), place[code]
+        patterns, place = np.unique(code, return_inverse=True)
+        return pattern_values(subtree, patterns), place
 
     def explain(self, rows: np.ndarray) -> np.ndarray:
         """(n, features) attributions of an (n, features) array."""
-        columns = np.ascontiguousarray(rows.T)
-        out = np.zeros_like(columns, dtype=float)
-        for m, (value, features, low, high, share) in self.table.groups.items():
-            ready = self.tables.get(m)
-            for leaf in range(len(value)):
-                pattern = np.zeros(rows.shape[0], dtype=np.int64)
-                for j in range(m):
-                    column = columns[features[leaf, j]]
-                    pattern |= ((column > low[leaf, j]) & (column <= high[leaf, j])).astype(np.int64) << j
-                if ready is not None:
-                    values = ready[leaf]
-                else:  # a long path: only the patterns that occur
-                    seen, pattern = np.unique(pattern, return_inverse=True)
-                    met = ((seen[:, None] >> np.arange(m)) & 1).astype(float)
-                    values = pattern_values(value[leaf : leaf + 1], share[leaf : leaf + 1], met)[0].T
-                for j in range(m):
-                    out[features[leaf, j]] += values[j][pattern]
+        out = np.zeros((rows.shape[1], rows.shape[0]))
+        for start in range(0, len(rows), self.piece):
+            self._explain(np.ascontiguousarray(rows[start : start + self.piece].T), out[:, start : start + self.piece])
         return out.T
 
+    def _explain(self, columns: np.ndarray, out: np.ndarray) -> None:
+        met = np.empty((len(self.table.conditions), columns.shape[1]), np.uint8)
+        for i, (feature, low, high) in enumerate(self.table.conditions):
+            column = columns[feature]
+            met[i] = (column <= high) if low == -math.inf else (column > low) & (column <= high)
+        for number, subtree in enumerate(self.table.subtrees):
+            code = np.zeros(columns.shape[1], np.uint8 if len(subtree.conditions) <= 8 else np.int64)
+            for c in reversed(subtree.conditions):
+                code <<= 1
+                code |= met[c]
+            values, place = self._values(number, code.astype(np.intp))
+            for feature, own in zip(subtree.features.tolist(), values, strict=True):
+                out[feature] += own[place]
+
 
 def attribution_udf(spark: SparkSession, table: LeafTable):
-    """A function of an ``array<double>`` column of features that gives their attributions."""
-    shared = spark.sparkContext.broadcast((table.groups, table.base, table.n_features))
+    """A function of an ``array<double>`` column of features that gives their attributions. The table stays with the
+    executors until its ``release``."""
+    shared = table.broadcast(spark)
 
     @F.pandas_udf("array<double>")
     def attributions(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        leaves = LeafTable(*shared.value)
-        explainer, width = BatchExplainer(leaves), leaves.n_features
+        given, kept = shared.value
+        explainer = kept.setdefault("explainer", BatchExplainer(LeafTable(*given)))
+        width = explainer.table.n_features
         for batch in batches:
             if len(batch) == 0:
                 yield pd.Series([], dtype=object)
