@@ -150,3 +150,24 @@ def test_rows_without_a_score_count_by_their_class(spark):
     a, b = c.evaluate(df, "y", "p", "c").orderBy("model_version").collect()
     assert (a.tn, a.fp, a.fn, a.tp, a.n_samples, a.n_unscored, a.roc_auc) == (1, 1, 1, 1, 4, 2, 1.0)
     assert (b.tp, b.n_samples, b.n_unscored, b.roc_auc, b.recall) == (1, 1, 1, 0.0, 1.0)
+
+
+def test_evaluation_reads_its_table_once(spark, tmp_path):
+    rows = [(i % 2, float(i % 5) if i % 7 else None, i % 3 % 2, "v") for i in range(60)]
+    spark.createDataFrame(rows, "y int, s double, p int, model_version string").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    assert c.evaluate(df, "y", "s", "p").first().n_unscored == 9
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # shows reused exchanges before the run
+    try:
+        plan = c.evaluate(df, "y", "s", "p")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FileScan") == 1, plan
+
+
+def test_evaluation_of_score_counts_in_parts(spark):
+    rows = [(i % 2, float(i % 5) if i % 7 else float("nan"), i % 3 % 2, "v" if i % 4 else "w") for i in range(60)]
+    df = spark.createDataFrame(rows, "y int, s double, p int, model_version string")
+    half = [c.score_counts(df.where(x), "y", "s", "p", ["model_version"]) for x in ("p = 0", "p = 1")]
+    parts = c.evaluate_score_counts(half[0].unionByName(half[1]))
+    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, c.evaluate(df, "y", "s", "p").collect()))

@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import scorecard
+from tidemark.operators import classification, scorecard
 from tidemark.plans import queries
 from tidemark.sources.alert_log import read_alerts
 from tidemark.streaming import outcomes, performance, scoring, sources
@@ -55,6 +55,28 @@ def test_outcomes_attach_within_the_bound(spark, tmp_path):
     assert sorted(r.prediction_id for r in late.collect()) == ["NONE", "P1", "P3"]
 
 
+def test_the_sink_holds_the_latest_outcome_of_each_prediction(spark, tmp_path):
+    """Outcomes of one prediction come in several batches, out of order and twice; the stream itself keeps the latest."""
+    predictions = [(f"P{i}", f"C{i}", at(i)) for i in range(30)] + [("OPEN", "C", at(499)), ("END", "C", at(500))]
+    decided = [("P0", 1, at(2)), ("P0", 0, at(5)), ("P0", 1, at(4)), ("P1", 1, at(30)), ("P2", 0, at(3)), ("P2", 1, at(3)), ("P3", 1, at(1))]
+    decided += [("P4", 1, at(6)), ("P4", 1, at(6)), ("OPEN", 1, at(499.5)), ("END", 0, at(501)), ("NONE", 1, at(5))]
+    p_schema, o_schema = "prediction_id string, customer_id string, prediction_timestamp timestamp", "prediction_id string, actual_outcome int, outcome_timestamp timestamp"
+    write_files(spark.createDataFrame(predictions, p_schema), f"{tmp_path}/p.parquet", 1)
+    write_files(spark.createDataFrame(decided, o_schema), f"{tmp_path}/o.parquet", 4)
+    p = sources.table_stream(spark, str(tmp_path), "p", p_schema)
+    o = sources.table_stream(spark, str(tmp_path), "o", o_schema, files_per_batch=1)
+    for _ in range(2):  # the second run finds nothing new
+        latest = outcomes.latest_outcomes(p, o, within="1 day", delay="300 hours")
+        outcomes.write_attached(latest, f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination(120)
+    rows = spark.read.parquet(f"{tmp_path}/out")
+    got = {r.prediction_id: (r.customer_id, r.actual_outcome, r.outcome_timestamp) for r in rows.collect()}
+    assert rows.count() == len(got) == 30  # OPEN and END are not over
+    expected = {"P0": (0, at(5)), "P2": (1, at(3)), "P4": (1, at(6))}
+    assert got == {f"P{i}": (f"C{i}", *expected.get(f"P{i}", (None, None))) for i in range(30)}
+    lost = outcomes.outcomes_out_of_time(spark.read.parquet(f"{tmp_path}/o.parquet"), rows, within="1 day")
+    assert sorted((r.prediction_id, r.outcome_timestamp) for r in lost.collect()) == [("P1", at(30)), ("P3", at(1))]
+
+
 def test_a_prediction_with_two_outcomes_gets_the_latest(spark):
     rows = [("A", 1, at(1)), ("A", 0, at(2)), ("B", None, None)]
     attached = spark.createDataFrame(rows, "prediction_id string, actual_outcome int, outcome_timestamp timestamp")
@@ -87,6 +109,23 @@ def test_daily_checks_and_alerts(spark, tmp_path):
     assert [(a.model_version, a.timestamp) for a in alerts] == [("v1", at(48))]
 
 
+def test_windows_have_an_exact_auc(spark, tmp_path):
+    """Ties, rows without a score and windows of one class, over several batches; as an evaluation of all rows has it."""
+    rows = [("v1" if i % 4 else "v2", i * 7 % 5 % 2, i % 2, [None, float("nan"), 0.1, 0.1, 0.9, 0.4][i * 5 % 6], at(24 * (i % 3) + i % 20)) for i in range(150)]
+    rows += [("v3", 1, 1, 0.5, at(3)), ("v1", 0, 0, 0.5, at(24 * 20))]
+    schema = "model_version string, actual_outcome int, predicted_class int, prediction double, outcome_timestamp timestamp"
+    df = spark.createDataFrame(rows, schema)
+    write_files(df, f"{tmp_path}/o.parquet", 3)
+    stream = sources.table_stream(spark, str(tmp_path), "o", schema, files_per_batch=1)
+    performance.watch_performance(stream, f"{tmp_path}/e", f"{tmp_path}/a", f"{tmp_path}/ck", delay="200 hours").awaitTermination(300)
+    got = {(r.model_version, r.period_start): (r.tp, r.n_samples, r.n_unscored, round(r.roc_auc, 9)) for r in spark.read.parquet(f"{tmp_path}/e").collect()}
+    days = df.where(F.col("outcome_timestamp") < F.lit(at(72))).withColumn("day", F.date_trunc("day", "outcome_timestamp"))
+    batch = classification.evaluate(days, "actual_outcome", "prediction", "predicted_class", ["model_version", "day"]).collect()
+    assert len(got) == len(batch) == 7 and any(r.n_unscored for r in batch)
+    for r in batch:
+        assert got[r.model_version, r.day] == (r.tp, r.n_samples, r.n_unscored, round(r.roc_auc, 9))
+
+
 def test_a_single_file_is_a_stream_too(spark, tmp_path):
     spark.range(5).coalesce(1).write.parquet(f"{tmp_path}/raw")
     part = next((tmp_path / "raw").glob("part-*.parquet"))

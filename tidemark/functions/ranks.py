@@ -109,7 +109,13 @@ def running_totals(
     # a struct key is never NULL as a whole, so the join matches groups with a NULL column; this
     # one shuffle serves the totals, the join and the last window
     key = F.struct(*by, "__bucket") if by else F.col("__bucket")
-    bucketed = placed.select(*by, value, *names, key.alias(_KEY)).repartition(_KEY)
+    kinds = {per_value.schema[n].dataType for n in names}
+    if len(kinds) == 1:
+        # measures as one array: no side of the join can leave some out, so that both read the same shuffle
+        packed, measure = [F.array(*names).alias("__m")], {n: F.col("__m")[i] for i, n in enumerate(names)}
+    else:
+        packed, measure = [F.col(n) for n in names], {n: F.col(n) for n in names}
+    bucketed = placed.select(*by, value, *packed, key.alias(_KEY)).repartition(_KEY)
 
     # at most ``buckets`` rows per group
     groups = [F.col(f"{_KEY}.{b}") for b in by]
@@ -118,7 +124,7 @@ def running_totals(
     whole = Window.partitionBy(*groups)
     offsets = (
         bucketed.groupBy(_KEY)
-        .agg(*[F.sum(n).alias(n) for n in names])
+        .agg(*[F.sum(measure[n]).alias(n) for n in names])
         .select(
             _KEY,
             *[F.coalesce(F.sum(n).over(order), F.lit(0)).alias(f"__{n}_offset") for n in names],
@@ -129,9 +135,9 @@ def running_totals(
     return bucketed.join(offsets, _KEY).select(
         *by,
         value,
-        *names,
+        *[measure[n].alias(n) for n in names],
         *[
-            (F.col(f"__{n}_offset") + F.coalesce(F.sum(n).over(inside), F.lit(0))).alias(f"{n}_before")
+            (F.col(f"__{n}_offset") + F.coalesce(F.sum(measure[n]).over(inside), F.lit(0))).alias(f"{n}_before")
             for n in names
         ],
         *[f"{n}_total" for n in names],

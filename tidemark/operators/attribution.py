@@ -31,6 +31,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sources.scratch import new_folder
+from tidemark.sources.storage import remove
 
 # executors get this module's functions with the task, also where the package is not installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -160,11 +161,20 @@ def read_leaf_table(spark: SparkSession, classifier_path: str, n_features: int)
     return build_leaf_table(trees, weights, n_features)
 
 
-def leaf_table(spark: SparkSession, classifier: GBTClassificationModel) -> LeafTable:
-    """The leaf table of a classifier in memory, through the shared scratch folder."""
+def save_classifier(classifier: GBTClassificationModel, spark: SparkSession) -> str:
+    """The folder of shared scratch space that a classifier in memory is saved in."""
     path = new_folder(spark, "classifier")
     classifier.write().overwrite().save(path)
-    return read_leaf_table(spark, path, classifier.numFeatures)
+    return path
+
+
+def leaf_table(spark: SparkSession, classifier: GBTClassificationModel) -> LeafTable:
+    """The leaf table of a classifier in memory, through the shared scratch folder, which is left as it was."""
+    path = save_classifier(classifier, spark)
+    try:
+        return read_leaf_table(spark, path, classifier.numFeatures)
+    finally:
+        remove(spark, path)
 
 
 def pattern_values(subtree: Subtree, patterns: np.ndarray) -> np.ndarray:

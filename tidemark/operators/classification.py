@@ -151,27 +151,35 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> Da
     )
 
 
-def evaluate(
-    df: DataFrame, label: str, score: str, predicted: str, by: Sequence[str] = ("model_version",)
-) -> DataFrame:
-    """The full evaluation row per group: counts, metrics, AUC, number of rows, and how many of them have
-    no score.
+def _with_present_score(df: DataFrame, score: str, output: str) -> tuple[DataFrame, Column]:
+    """The table with 0 for missing scores (NULL or NaN), and whether a row has a score of its own."""
+    kind = dict(df.dtypes)[score]
+    missing = F.col(score).isNull()
+    if kind in ("double", "float"):
+        missing = missing | F.isnan(score)
+    filled = df.withColumns({output: F.when(missing, F.lit(0).cast(kind)).otherwise(F.col(score)), "__scored": ~missing})
+    return filled, F.col("__scored")
 
-    One shuffle on (group, score) feeds both the confusion counts and the ranks. Rows whose score is
-    missing (NULL or NaN) have no place in the AUC, but their predicted class counts like any other.
-    """
-    scored = running_totals(df, score, _count_columns(label, predicted), by)
-    ranked = scored.withColumn("unscored", F.lit(0)).unionByName(
-        unscored_counts(df, label, score, predicted, by), allowMissingColumns=True
-    ).withColumns(
-        {
-            "pos": F.when(F.col("unscored") == 0, F.col("fn") + F.col("tp")),
-            "neg": F.when(F.col("unscored") == 0, F.col("tn") + F.col("fp")),
-            "pos_before": F.col("fn_before") + F.col("tp_before"),
-            "pos_total": F.col("fn_total") + F.col("tp_total"),
-        }
-    )
-    summed = ranked.groupBy(*by).agg(
+
+def _score_measures(label: str, predicted: str, scored: Column) -> dict[str, Column]:
+    y = F.col(label)
+    return _count_columns(label, predicted) | {
+        "pos": F.count_if(scored & (y == 1)),
+        "neg": F.count_if(scored & (y == 0)),
+        "unscored": F.count_if(~scored),
+    }
+
+
+def score_counts(df: DataFrame, label: str, score: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
+    """What an evaluation needs to know per group and distinct score (column ``__score``): all that a stream has to keep of
+    an open period. Rows without a score are with those of score 0, but counted apart."""
+    filled, scored = _with_present_score(df, score, "__score")
+    measures = _score_measures(label, predicted, scored)
+    return filled.groupBy(*by, "__score").agg(*[m.alias(n) for n, m in measures.items()])
+
+
+def _evaluated(totals: DataFrame, by: Sequence[str]) -> DataFrame:
+    summed = totals.groupBy(*by).agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS],
         F.coalesce(F.sum("unscored"), F.lit(0)).alias("n_unscored"),
         F.coalesce(auc_from_totals(F.sum("pos"), F.sum("neg"), F.sum(_area())), F.lit(0.0)).alias("roc_auc"),
@@ -181,14 +189,23 @@ def evaluate(
     )
 
 
-def unscored_counts(df: DataFrame, label: str, score: str, predicted: str, by: Sequence[str]) -> DataFrame:
-    """Confusion counts of the rows without a score, one row per group that has any."""
-    missing = F.col(score).isNull()
-    if dict(df.dtypes)[score] in ("double", "float"):
-        missing = missing | F.isnan(score)
-    counts = [m.alias(n) for n, m in _count_columns(label, predicted).items()]
-    rows = df.where(missing).groupBy(*by).agg(*counts, F.count(F.lit(1)).alias("unscored"))
-    return rows.where("unscored > 0")
+def evaluate(
+    df: DataFrame, label: str, score: str, predicted: str, by: Sequence[str] = ("model_version",)
+) -> DataFrame:
+    """The full evaluation row per group: counts, metrics, AUC, number of rows, and how many of them have
+    no score.
+
+    One scan and one shuffle on (group, score) feed the confusion counts and the ranks. Rows whose score is
+    missing (NULL or NaN) have no place in the AUC, but their predicted class counts like any other.
+    """
+    filled, scored = _with_present_score(df, score, "__score")
+    return _evaluated(running_totals(filled, "__score", _score_measures(label, predicted, scored), by), by)
+
+
+def evaluate_score_counts(counts: DataFrame, by: Sequence[str] = ("model_version",)) -> DataFrame:
+    """``evaluate`` from the rows of ``score_counts``, which may come in parts."""
+    names = [*COUNTS, "pos", "neg", "unscored"]
+    return _evaluated(running_totals(counts, "__score", {n: F.sum(n) for n in names}, by), by)
 
 
 def evaluation_rows(df: DataFrame, label: str, score: str, predicted: str, evaluated_at: Column) -> DataFrame:

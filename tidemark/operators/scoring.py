@@ -131,18 +131,27 @@ def predict_one(spark: SparkSession, model: AttritionModel, record: Mapping[str,
     return predict(model, records_table(spark, [record]), version, scored_at, check=True, **options).first()
 
 
-def compare_versions(models: Mapping[str, AttritionModel], df: DataFrame, label: str = settings.TARGET) -> DataFrame:
-    """The evaluation row of every version on the same labelled table."""
-    parts = [
-        score(m, df, [label]).select(
-            F.lit(v).alias("model_version"), label, "churn_probability", "predicted_class"
-        )
-        for v, m in models.items()
+def score_versions(models: Mapping[str, AttritionModel], df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(kept columns, model_version, churn_probability, predicted_class): a row per row and version, from one scan. The versions'
+    scores are columns of one projection, which is turned into rows at the end."""
+    keep = list(keep)
+    wide, found = df, []
+    for i, (version, model) in enumerate(models.items()):
+        earlier = [c for names in found for c in names[1:]]
+        names = (version, f"__probability_{i}", f"__class_{i}")
+        features = [c for c in FEATURES if c in df.columns]
+        scored = score(model, wide, [*dict.fromkeys([*keep, *features]), *earlier])
+        wide = scored.withColumnsRenamed({"churn_probability": names[1], "predicted_class": names[2]}).drop("margin", "feature_values")
+        found.append(names)
+    rows = [
+        F.struct(F.lit(v).alias("model_version"), F.col(p).alias("churn_probability"), F.col(c).alias("predicted_class")) for v, p, c in found
     ]
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    return evaluate(scored, label, "churn_probability", "predicted_class")
+    return wide.select(*keep, F.inline(F.array(*rows)))
+
+
+def compare_versions(models: Mapping[str, AttritionModel], df: DataFrame, label: str = settings.TARGET) -> DataFrame:
+    """The evaluation row of every version on the same labelled table, which is read once."""
+    return evaluate(score_versions(models, df, [label]), label, "churn_probability", "predicted_class")
 
 
 def flat_results(results: DataFrame) -> DataFrame:

@@ -146,6 +146,19 @@ daily AS (
          tn, fp, fn, tp, precision, recall, f1_score, accuracy, roc_auc, n_samples
   FROM {_evaluation('dated', 'actual_outcome', 'prediction', 'predicted_class', 'model_version')})"""
 
+# decided events of closed days, and what the daily check makes of them
+_DECIDED = f"""decided_events AS (SELECT 'v_' || event_type AS model_version, CAST(value >= 50 AS INTEGER) AS predicted_class,
+    round(value / (value + 50e0), 6) AS prediction, CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) >= 50 AS INTEGER) AS actual_outcome,
+    date_trunc('day', ts) AS day FROM events
+  WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)),
+days AS (SELECT * FROM {_evaluation('decided_events', 'actual_outcome', 'prediction', 'predicted_class', 'model_version, day')})"""
+
+# predictions whose three hours are over by the final watermark of their stream
+_CLOSED = """closed AS (SELECT * FROM predictions WHERE prediction_timestamp + INTERVAL 3 HOUR
+  < (SELECT least((SELECT max(prediction_timestamp) FROM predictions), (SELECT max(outcome_timestamp) FROM decided)) - INTERVAL 1 HOUR))"""
+
+_EVALUATED = ["tn", "fp", "fn", "tp", "precision", "recall", "f1_score", "accuracy", "roc_auc", "n_unscored"]
+
 VERSION_EVENTS = f"""{DAILY},
 version_events AS (
   SELECT model_version AS version, 'deploy' AS event, evaluation_date + INTERVAL 12 HOUR AS happened
@@ -547,11 +560,30 @@ ORACLE: dict[str, str] = {
     "streamed_late_outcomes": f"""WITH {LOG} SELECT prediction_id, d.actual_outcome, strftime(d.outcome_timestamp, {MICRO}) AS decided_at
       FROM decided d WHERE NOT EXISTS (SELECT 1 FROM predictions p WHERE p.prediction_id = d.prediction_id
         AND d.outcome_timestamp BETWEEN p.prediction_timestamp AND p.prediction_timestamp + INTERVAL 3 HOUR)""",
-    "streamed_performance": f"""WITH d AS (SELECT 'v_' || event_type AS model_version, CAST(value >= 50 AS INTEGER) AS predicted_class,
-        CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) >= 50 AS INTEGER) AS actual_outcome, ts,
-        date_trunc('day', ts) AS day FROM events),
-      c AS (SELECT model_version, day, {_counts('actual_outcome', 'predicted_class')} FROM d
-            WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY model_version, day)
-      SELECT model_version, strftime(day, '%Y-%m-%d') AS day, tn, fp, fn, tp,
-        round(coalesce(tp / nullif(tp + fn, 0), 0e0), 6) AS recall FROM c""",
+    "streamed_performance": f"""WITH {_DECIDED}
+      SELECT model_version, strftime(day, '%Y-%m-%d') AS day, tn, fp, fn, tp, round(recall, 6) AS recall, round(roc_auc, 6) AS roc_auc, n_unscored FROM days""",
+    "streamed_alerts": f"""WITH {_DECIDED}
+      SELECT 'ALERT_' || strftime(day + INTERVAL 1 DAY, '%Y%m%d_%H%M%S') || '_' || model_version AS alert_id, model_version, 'high' AS severity,
+        strftime(day + INTERVAL 1 DAY, {MICRO}) AS raised_at, round(recall, 6) AS recall, round(precision, 6) AS precision, round(roc_auc, 6) AS roc_auc
+      FROM days WHERE recall < 0.45""",
+    "streamed_latest_outcomes": f"""WITH {LOG}, {_CLOSED} SELECT prediction_id, customer_id, model_version, a.actual_outcome,
+        strftime(a.outcome_timestamp, {MICRO}) AS decided_at
+      FROM closed LEFT JOIN (SELECT c.prediction_id, d.actual_outcome, d.outcome_timestamp FROM closed c JOIN decided d USING (prediction_id)
+        WHERE d.outcome_timestamp BETWEEN c.prediction_timestamp AND c.prediction_timestamp + INTERVAL 3 HOUR
+        QUALIFY row_number() OVER (PARTITION BY c.prediction_id ORDER BY d.outcome_timestamp DESC, d.actual_outcome DESC) = 1) a USING (prediction_id)""",
+    "streamed_outcomes_out_of_time": f"""WITH {LOG}, {_CLOSED} SELECT prediction_id, d.actual_outcome, strftime(d.outcome_timestamp, {MICRO}) AS decided_at
+      FROM closed c JOIN decided d USING (prediction_id)
+      WHERE d.outcome_timestamp NOT BETWEEN c.prediction_timestamp AND c.prediction_timestamp + INTERVAL 3 HOUR""",
+    # the model against a walk of its node table: no customer may differ
+    "model_predictions_walked": f"""WITH {CUSTOMERS} SELECT customer_id, 'v_1' AS model_version, '2024-01-31 00:00:00.000000' AS predicted_at,
+      true AS score_agrees, true AS flag_agrees, 5 AS n_top FROM customers""",
+    "model_risk_flags_walked": " UNION ALL ".join(
+        f"SELECT {t}e0 AS threshold, CAST(0 AS BIGINT) AS n_high_risk, CAST(0 AS BIGINT) AS n_scored" for t in THRESHOLDS
+    ),
+    "model_evaluation_walked": f"""WITH {CUSTOMERS}, {_split_cut()}
+      SELECT model_version, {", ".join(f"0e0 AS {n}_difference" for n in _EVALUATED)},
+        (SELECT count(*) FROM ordered WHERE rn <= round(n * 0.2e0)) AS n_samples FROM (VALUES ('v_1'), ('v_2')) v(model_version)""",
+    "model_gain_importance_walked": "SELECT CAST(0 AS BIGINT) AS n_disagreeing, 1e0 AS total",
+    "model_importance_walked": f"WITH {CUSTOMERS} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_violations, 0e0 AS max_error FROM customers",
+    "model_streamed_predictions": f"WITH {CUSTOMERS} SELECT customer_id, 'v_served' AS model_version, true AS agrees FROM customers",
 }

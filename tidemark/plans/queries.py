@@ -7,8 +7,9 @@ places, as the SQL counterparts in ``oracle`` do.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +17,8 @@ from tidemark import settings
 from tidemark.operators import alerts, classification, curves, distribution, encoding, explanations
 from tidemark.operators import features as feature_ops
 from tidemark.operators import outcomes, rules, sampling, scorecard, scoring, training, validation
-from tidemark.operators.attribution import LeafTable, leaf_table
+from tidemark.operators import tree_walk
+from tidemark.operators.attribution import LeafTable, read_leaf_table, save_classifier
 from tidemark.plans import testbed
 from tidemark.plans.training_run import METRICS
 from tidemark.sources import alert_log, customers, prediction_log, registry
@@ -870,49 +872,104 @@ def streamed_late_outcomes(spark, sf):
     return _with_decided_at(outcome_stream.late_outcomes(testbed.outcome_events(spark, sf), _attached(spark, sf)))
 
 
+def _closed(spark: SparkSession, sf: str) -> DataFrame:
+    """What the stream of latest outcomes has written: a row for every prediction whose three hours are over."""
+    folder = new_folder(spark, "latest-outcomes")
+    predictions = testbed.predictions_of(_stream(spark, sf, "events")).drop("actual_outcome", "outcome_timestamp")
+    decided = testbed.outcomes_of(_stream(spark, sf, "events"))
+    latest = outcome_stream.latest_outcomes(predictions, decided, within="3 hours", delay="1 hour")
+    outcome_stream.write_attached(latest, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
 @query
-def streamed_performance(spark, sf):
-    """Daily confusion counts of the closed days, from a stream of decided events."""
+def streamed_latest_outcomes(spark, sf):
+    """Every prediction closed by the final watermark, once, with its latest outcome within three hours or none."""
+    return _closed(spark, sf).select(
+        "prediction_id", "customer_id", "model_version", "actual_outcome", F.date_format("outcome_timestamp", ISO).alias("decided_at")
+    )
+
+
+@query
+def streamed_outcomes_out_of_time(spark, sf):
+    """Outcome events of closed predictions that their stream could not count."""
+    return _with_decided_at(outcome_stream.outcomes_out_of_time(testbed.outcome_events(spark, sf), _closed(spark, sf), "3 hours"))
+
+
+def _watched(spark: SparkSession, sf: str) -> str:
+    """The folder that the daily check of decided events has written to."""
     folder = new_folder(spark, "performance")
     events = _stream(spark, sf, "events")
     decided = events.select(
         F.concat(F.lit("v_"), F.col("event_type")).alias("model_version"),
         (F.col("value") >= 50.0).cast("int").alias("predicted_class"),
+        F.round(F.col("value") / (F.col("value") + 50.0), 6).alias("prediction"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         F.col("ts").cast("timestamp").alias("outcome_timestamp"),
     ).withColumn("actual_outcome", (F.col("k") >= 50).cast("int"))
     performance.watch_performance(
         decided, f"{folder}/evaluations", f"{folder}/alerts", f"{folder}/checkpoint", threshold=0.45
     ).awaitTermination()
-    rows = spark.read.parquet(f"{folder}/evaluations").where(F.col("n_samples") > 0)
-    return rounded(
-        rows.select(
-            "model_version", F.date_format("period_start", "yyyy-MM-dd").alias("day"), "tn", "fp", "fn", "tp", "recall"
-        )
-    )
+    return folder
+
+
+@query
+def streamed_performance(spark, sf):
+    """Confusion counts and exact AUC of the closed days, from a stream of decided events."""
+    rows = spark.read.parquet(f"{_watched(spark, sf)}/evaluations").where(F.col("n_samples") > 0)
+    day = F.date_format("period_start", "yyyy-MM-dd").alias("day")
+    return rounded(rows.select("model_version", day, "tn", "fp", "fn", "tp", "recall", "roc_auc", "n_unscored"))
+
+
+@query
+def streamed_alerts(spark, sf):
+    """The alerts that the daily check has written."""
+    found = alert_log.read_alerts(spark, f"{_watched(spark, sf)}/alerts")
+    metrics = [F.col("metrics")[m].alias(m) for m in ("recall", "precision", "roc_auc")]
+    return rounded(found.select("alert_id", "model_version", "severity", F.date_format("timestamp", ISO).alias("raised_at"), *metrics))
 
 
 # --- models --------------------------------------------------------------------------------------
 
-_MODELS: dict[tuple[str, str], tuple[training.AttritionModel, LeafTable]] = {}
+@dataclass
+class Trained:
+    """A model of the session with its leaf table and the folder of its classifier, which its node table is read from."""
 
+    model: training.AttritionModel
+    leaves: LeafTable
+    folder: str
 
-def _trained(spark: SparkSession, sf: str, params: dict) -> training.AttritionModel:
-    train_part, _ = sampling.train_and_test(
-        sampling.stratified_split(testbed.customers(spark, sf).drop("account_score"), "churn")
-    )
-    return training.train(train_part, params=params)
+    def nodes(self, spark: SparkSession) -> DataFrame:
+        return tree_walk.node_table(spark, self.folder)
 
+    @property
+    def depth(self) -> int:
+        return self.model.classifier.getMaxDepth()
 
-def model_of(spark: SparkSession, sf: str) -> tuple[training.AttritionModel, LeafTable]:
-    """The model of default size trained on the training part of these customers, kept for the session."""
-    key = (spark.sparkContext.applicationId, sf)
+
+_MODELS: dict[tuple[str, str, str], Trained] = {}
+
+
+def _parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return sampling.train_and_test(sampling.stratified_split(testbed.customers(spark, sf).drop("account_score"), "churn"))
+
+
+def trained(spark: SparkSession, sf: str, params: dict) -> Trained:
+    """A model trained on the training part of these customers, once in a session."""
+    key = (spark.sparkContext.applicationId, sf, repr(sorted(params.items())))
     if key not in _MODELS:
-        model = _trained(spark, sf, settings.DEFAULT_PARAMS)
-        _MODELS[key] = (model, leaf_table(spark, model.classifier))
+        model = training.train(_parts(spark, sf)[0], params=params)
+        folder = save_classifier(model.classifier, spark)
+        _MODELS[key] = Trained(model, read_leaf_table(spark, folder, model.classifier.numFeatures), folder)
     return _MODELS[key]
 
 
+def model_of(spark: SparkSession, sf: str) -> tuple[training.AttritionModel, LeafTable]:
+    """The model of default size and its leaf table."""
+    found = trained(spark, sf, settings.DEFAULT_PARAMS)
+    return found.model, found.leaves
+
+
 @query
 def model_predictions(spark, sf):
     model, leaves = model_of(spark, sf)
@@ -932,8 +989,7 @@ def model_risk_flags(spark, sf):
 @query
 def model_evaluation(spark, sf):
     model, _ = model_of(spark, sf)
-    _, test = sampling.train_and_test(sampling.stratified_split(testbed.customers(spark, sf), "churn"))
-    return rounded(scoring.compare_versions({"v_1": model, "v_2": _trained(spark, sf, SMALL)}, test))
+    return rounded(scoring.compare_versions({"v_1": model, "v_2": trained(spark, sf, SMALL).model}, _parts(spark, sf)[1]))
 
 
 @query
@@ -963,3 +1019,115 @@ def model_sample_explanations(spark, sf):
     sample = sampling.sample_rows(c, 100)
     explained = scoring.predict(model, sample, "v_1", F.to_timestamp(F.lit("2024-01-31")), leaves=leaves, explain=True)
     return rounded(explanations.with_raw_values(explained, sample.select("customer_id", *scoring.FEATURES)))
+
+
+# --- models against a walk of their node table -----------------------------------------------------------
+# What a model says cannot be told in advance, but that two independent ways to it agree on every customer can.
+
+CLOSE = 1e-9
+
+
+def _far(a: str, b: str) -> Column:
+    return F.coalesce(F.abs(F.col(a) - F.col(b)) > CLOSE, F.lit(True))
+
+
+def _walked(spark: SparkSession, sf: str, params: dict, df: DataFrame, keep: list[str]) -> DataFrame:
+    found = trained(spark, sf, params)
+    scored = scoring.score(found.model, df, ["customer_id", *keep])
+    return tree_walk.walk(scored, found.nodes(spark), found.depth)
+
+
+@query
+def model_predictions_walked(spark, sf):
+    """For every customer: whether the result table and the walk agree, and what is in the row."""
+    c = testbed.customers(spark, sf)
+    found = trained(spark, sf, settings.DEFAULT_PARAMS)
+    at = F.to_timestamp(F.lit("2024-01-31"))
+    results = scoring.predict(found.model, c, "v_1", at, leaves=found.leaves, explain=True)
+    walked = _walked(spark, sf, settings.DEFAULT_PARAMS, c, []).select("customer_id", "walked_probability")
+    far = _far("churn_probability", "walked_probability")
+    flag = F.col("is_high_risk") == (F.col("walked_probability") >= settings.HIGH_RISK_THRESHOLD)
+    return results.join(walked, "customer_id").select(
+        "customer_id", "model_version", F.date_format("prediction_timestamp", ISO).alias("predicted_at"),
+        (~far).alias("score_agrees"), flag.alias("flag_agrees"), F.size("top_features").alias("n_top"),
+    )
+
+
+@query
+def model_risk_flags_walked(spark, sf):
+    """The threshold sweep over scores, less the one over walked scores."""
+    c = testbed.customers(spark, sf)
+    walked = _walked(spark, sf, settings.DEFAULT_PARAMS, c, []).withColumn("walked_probability", F.round("walked_probability", 9))
+    both = walked.withColumn("churn_probability", F.round("churn_probability", 9))
+    one = scorecard.threshold_sweep(both, "churn_probability", THRESHOLDS)
+    two = scorecard.threshold_sweep(both, "walked_probability", THRESHOLDS)
+    renamed = two.toDF(*[n if n == "threshold" else f"w_{n}" for n in two.columns])
+    differences = [(F.col(n) - F.col(f"w_{n}")).alias(n) for n in one.columns if n != "threshold"]
+    return rounded(one.join(renamed, "threshold").select("threshold", *differences))
+
+
+@query
+def model_evaluation_walked(spark, sf):
+    """The evaluation of two versions from one scan, less the evaluations of walked scores: zero in every column."""
+    test = _parts(spark, sf)[1]
+    versions = {"v_1": settings.DEFAULT_PARAMS, "v_2": SMALL}
+    models = {v: trained(spark, sf, p).model for v, p in versions.items()}
+    parts = [
+        _walked(spark, sf, p, test, ["churn"]).select(F.lit(v).alias("model_version"), "churn", F.round("walked_probability", 9).alias("score"))
+        for v, p in versions.items()
+    ]
+    walked = parts[0].unionByName(parts[1]).withColumn("class", (F.col("score") > 0.5).cast("int"))
+    scored = scoring.score_versions(models, test, ["churn"]).withColumn("churn_probability", F.round("churn_probability", 9))
+    one = classification.evaluate(scored, "churn", "churn_probability", "predicted_class")
+    two = classification.evaluate(walked, "churn", "score", "class")
+    renamed = two.toDF(*[n if n == "model_version" else f"w_{n}" for n in two.columns])
+    names = [n for n in one.columns if n != "model_version"]
+    joined = one.join(renamed, "model_version")
+    return joined.select(
+        "model_version", *[F.round(F.col(n) - F.col(f"w_{n}"), 6).cast("double").alias(f"{n}_difference") for n in names if n != "n_samples"], "n_samples"
+    )
+
+
+@query
+def model_gain_importance_walked(spark, sf):
+    """How many features have an importance other than the sum of gains in the node table, and what all add up to."""
+    found = trained(spark, sf, settings.DEFAULT_PARAMS)
+    listed = training.feature_importance(spark, found.model, top=len(found.model.feature_names))
+    summed = tree_walk.gains(found.nodes(spark), found.model.feature_names).withColumnRenamed("importance", "summed")
+    return rounded(
+        listed.join(summed, "feature", "full").agg(F.count_if(_far("importance", "summed")).alias("n_disagreeing"), F.sum("summed").alias("total"))
+    )
+
+
+@query
+def model_importance_walked(spark, sf):
+    """Attributions against walked scores: base and attributions of every customer add up to the walked margin, and the mean
+    magnitudes are those of the summed columns."""
+    found = trained(spark, sf, settings.DEFAULT_PARAMS)
+    walked = _walked(spark, sf, settings.DEFAULT_PARAMS, testbed.customers(spark, sf), [])
+    explained = scoring.explain_table(found.model, found.leaves, testbed.customers(spark, sf)).drop("margin")
+    joined = explained.join(walked.select("customer_id", F.col("walked_margin").alias("margin")), "customer_id")
+    return rounded(explanations.additivity_check(joined, "shap", "base_value", "margin", 1e-6))
+
+
+@query
+def model_streamed_predictions(spark, sf):
+    """Customers scored and explained as a stream by the registry's serving version: for each, whether its row is that of the batch."""
+    folder = new_folder(spark, "served")
+    found = trained(spark, sf, SMALL)
+    models = registry.ModelRegistry(spark, f"{folder}/models")
+    version = models.save(found.model, "v_served")
+    models.deploy(version)
+    c = testbed.customers(spark, sf).drop("account_score")
+    customers.write_table(c, f"{folder}/customers.parquet", "parquet")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in c.schema.fields)
+    at = F.to_timestamp(F.lit("2024-01-31"))
+    stream = sources.table_stream(spark, folder, "customers", schema)
+    score_stream.serve_stream(stream, models, f"{folder}/out", f"{folder}/checkpoint", scored_at=at).awaitTermination()
+    batch = scoring.predict(found.model, c, version, at, leaves=found.leaves, explain=True)
+    renamed = batch.toDF(*[f"b_{n}" for n in batch.columns])
+    same = [F.col(n) == F.col(f"b_{n}") for n in ("is_high_risk", "prediction_timestamp", "model_version")]
+    names = F.transform("top_features", lambda t: t["feature"]) == F.transform("b_top_features", lambda t: t["feature"])
+    agrees = ~_far("churn_probability", "b_churn_probability") & same[0] & same[1] & same[2] & names
+    streamed = spark.read.parquet(f"{folder}/out")
+    return streamed.join(renamed, F.col("customer_id") == F.col("b_customer_id")).select("customer_id", "model_version", agrees.alias("agrees"))

@@ -35,6 +35,34 @@ def latest_attached(attached: DataFrame) -> DataFrame:
     return attached.groupBy("prediction_id").agg(last).select("prediction_id", "last.actual_outcome", "last.outcome_timestamp")
 
 
+def latest_outcomes(
+    predictions: DataFrame, outcomes: DataFrame, within: str = "1 day", delay: str = "1 hour"
+) -> DataFrame:
+    """A stream with one row for every prediction whose time is up: its latest outcome within the bound, or none.
+
+    Two stateful operators in a row: the outer join, and a maximum per prediction, whose state is one row for each
+    open one. The watermark reaches the second behind the first, later by ``within``: a prediction comes out when no
+    outcome that counts can still arrive. Of outcomes of one moment the greater counts.
+    """
+    attached = attach_outcomes(predictions, outcomes, within, delay)
+    # one event time goes on, that of the prediction
+    decided_at = F.timestamp_micros(F.unix_micros("outcome_timestamp")).alias("outcome_timestamp")
+    key = ["prediction_id", "prediction_timestamp"]
+    rest = [c for c in predictions.columns if c not in key]
+    closed = attached.groupBy(*key).agg(
+        F.max(F.struct(decided_at, "actual_outcome")).alias("last"), *[F.any_value(c).alias(c) for c in rest]
+    )
+    return closed.select(*predictions.columns, "last.actual_outcome", "last.outcome_timestamp")
+
+
+def outcomes_out_of_time(outcomes: DataFrame, closed: DataFrame, within: str = "1 day") -> DataFrame:
+    """Outcome events of closed predictions that came before the prediction or after its time was up."""
+    p = closed.select(F.col("prediction_id").alias("__id"), "prediction_timestamp")
+    begin, end = F.col("prediction_timestamp"), F.col("prediction_timestamp") + F.expr(f"INTERVAL {within}")
+    found = outcomes.join(p, F.col("prediction_id") == F.col("__id"))
+    return found.where(~F.col("outcome_timestamp").between(begin, end)).select(*outcomes.columns)
+
+
 def late_outcomes(outcomes: DataFrame, attached: DataFrame) -> DataFrame:
     """Outcome events of a finished period that the stream did not attach."""
     done = attached.where(F.col("outcome_timestamp").isNotNull()).select("prediction_id", "outcome_timestamp")
