@@ -1,11 +1,12 @@
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.errors import TableCheckError
 from tidemark.operators import alerts, outcomes
-from tidemark.sources import alert_log, customers
+from tidemark.sources import alert_log, commits, customers
 from tidemark.sources import prediction_log as pl
 
 
@@ -91,6 +92,104 @@ def test_unknown_outcomes_are_reported(spark, log):
         log.append_outcomes(events.withColumn("actual_outcome", F.lit(5)).withColumn("outcome_timestamp", F.to_timestamp("t")))
 
 
+def test_a_killed_write_is_not_seen_and_can_be_repeated(spark, log, monkeypatch):
+    batch = spark.createDataFrame([("9", "v1", 0.5, 1, None)], SCHEMA)
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(commits.Commits, "commit", killed)
+        with pytest.raises(KeyboardInterrupt):
+            log.append(batch, later(1))
+        with pytest.raises(KeyboardInterrupt):
+            log.append_outcomes(spark.createDataFrame([("X", 1)], "prediction_id string, actual_outcome int").withColumn("outcome_timestamp", later(1)))
+        with pytest.raises(KeyboardInterrupt):
+            log.compact(f"{log.commits.root}-compact")
+    assert log.predictions().count() == 4 and log.outcomes().isEmpty()
+    assert pl.PredictionLog(spark, f"{log.commits.root}-compact").predictions().isEmpty()
+    assert log.append(batch, later(1)).isEmpty() and log.predictions().count() == 5
+    assert log.compact(f"{log.commits.root}-compact").predictions().count() == 5
+    with pytest.raises(FileExistsError):
+        log.compact(f"{log.commits.root}-compact")
+
+
+def test_two_appends_at_once_log_an_id_once(spark, log):
+    """Both have looked at the log before either commits."""
+    batch = spark.createDataFrame([("9", "v1", 0.5, 1, None), ("8", "v1", 0.5, 1, None)], SCHEMA)
+    gate, held = threading.Barrier(2), []
+
+    def append(rows):
+        store = pl.PredictionLog(spark, log.commits.root)
+        write = store.commits.write
+
+        def waiting(*args):
+            name = write(*args)
+            store.commits.write = write  # the one that loses comes back alone
+            gate.wait(100)
+            return name
+
+        store.commits.write = waiting
+        held.append(store.append(rows, later(2)).count())
+
+    threads = [threading.Thread(target=append, args=(b,)) for b in (batch, batch.union(spark.createDataFrame(ROWS[:1], SCHEMA)))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(120)
+    assert sorted(held) == [0, 2]
+    ids = [r.prediction_id for r in log.predictions().collect()]
+    assert len(ids) == len(set(ids)) == 4 + 3
+
+
+def test_commits_do_not_replace_each_other(spark, tmp_path):
+    c = commits.Commits(spark, str(tmp_path / "c"))
+    assert c.current() == (0, {})
+    c.commit(0, {"t": ["a"]})
+    with pytest.raises(commits.Conflict):
+        c.commit(0, {"t": ["b"]})
+    c.add(t=["d"], u=["e"])
+    assert c.current() == (2, {"t": ["a", "d"], "u": ["e"]})
+    assert sorted(p.name for p in (tmp_path / "c" / "_commits").iterdir() if not p.name.startswith(".")) == ["000000000001", "000000000002"]
+
+
+def test_outcomes_of_a_day_are_read_from_the_files_of_the_day(spark, tmp_path):
+    store = pl.PredictionLog(spark, str(tmp_path / "log"))
+    for day in (1, 2, 3):
+        store.append(spark.createDataFrame([(str(day), "v1", 0.5, 1, None)], SCHEMA), F.to_timestamp(F.lit(f"2024-03-0{day} 10:00:00")))
+    ids = {r.customer_id: r.prediction_id for r in store.predictions().collect()}
+    events = [(ids["1"], 1), (ids["2"], 0), (ids["3"], 1), ("waits", 1)]
+    store.append_outcomes(spark.createDataFrame(events, "prediction_id string, actual_outcome int").withColumn("outcome_timestamp", F.to_timestamp(F.lit("2024-04-01"))))
+    day = store.current(first_day="2024-03-02", last_day="2024-03-02")
+    assert [(r.customer_id, r.actual_outcome) for r in day.collect()] == [("2", 0)]
+    assert [r.customer_id for r in store.current(first_day="2024-03-02").orderBy("customer_id").collect()] == ["2", "3"]
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert scans and all("prediction_date" in line[line.index("PartitionFilters") : line.index("PushedFilters")] for line in scans)
+    late = spark.createDataFrame([("w", "waits", "v1", 0.5, 1, None)], "customer_id string, prediction_id string, model_version string, prediction double, predicted_class int, actual_outcome int")
+    store.append(late, F.to_timestamp(F.lit("2024-03-02 11:00:00")))
+    assert {r.customer_id: r.actual_outcome for r in store.current("2024-03-02", "2024-03-02").collect()} == {"2": 0, "w": 1}
+
+
+def test_newest_rows_read_the_newest_days(spark, tmp_path, monkeypatch):
+    store = pl.PredictionLog(spark, str(tmp_path / "log"))
+    batch = spark.createDataFrame([(str(i), "v1" if i % 9 else "v2", 0.5, 1, None, i) for i in range(40)], SCHEMA + ", n int")
+    store.append(batch, F.to_timestamp(F.lit("2024-03-01 10:00:00")) + F.make_dt_interval(F.col("n") % 10))
+    assert store.days()[0] == "2024-03-10" and len(store.days()) == 10
+    read, current = [], store.current
+    monkeypatch.setattr(store, "current", lambda **k: read.append(k.get("first_day")) or current(**k))
+    same = lambda n, **k: [r.prediction_id for r in store.newest(n, **k).collect()] == [
+        r.prediction_id for r in outcomes.retrieve(current(), limit=n, **k).collect()
+    ]
+    assert same(3) and read == ["2024-03-10"]
+    read.clear()
+    assert same(7) and read == ["2024-03-10", "2024-03-09"]
+    read.clear()
+    assert same(4, model_version="v2") and read[-1] is not None
+    assert same(1000) and same(2, customer_id="nobody")
+    assert pl.PredictionLog(spark, str(tmp_path / "none")).newest(5).isEmpty()
+
+
 def test_retrieval(spark, log):
     log.append(spark.createDataFrame(ROWS[:2], SCHEMA), later(3))
     get = lambda **k: [r.customer_id for r in outcomes.retrieve(log.current(), **k).collect()]

@@ -586,4 +586,8 @@ ORACLE: dict[str, str] = {
     "model_gain_importance_walked": "SELECT CAST(0 AS BIGINT) AS n_disagreeing, 1e0 AS total",
     "model_importance_walked": f"WITH {CUSTOMERS} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_violations, 0e0 AS max_error FROM customers",
     "model_streamed_predictions": f"WITH {CUSTOMERS} SELECT customer_id, 'v_served' AS model_version, true AS agrees FROM customers",
+    "log_day_with_outcomes": f"""WITH {LOG} SELECT prediction_id, actual_outcome, strftime(outcome_timestamp, {MICRO}) AS decided_at
+      FROM resolved WHERE CAST(prediction_timestamp AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'""",
+    "newest_logged": f"""WITH {LOG} SELECT prediction_id, strftime(prediction_timestamp, {MICRO}) AS predicted_at
+      FROM resolved WHERE model_version = 'v_view' AND actual_outcome IS NULL ORDER BY prediction_timestamp DESC, prediction_id LIMIT 25""",
 }

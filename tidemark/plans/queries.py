@@ -732,6 +732,29 @@ def log_compaction(spark, sf):
     ).withColumn("n_waiting", waiting)
 
 
+def _stored_log(spark: SparkSession, sf: str) -> prediction_log.PredictionLog:
+    """All predictions and outcomes of the events in a log of files, each logged at its own time."""
+    log = prediction_log.PredictionLog(spark, new_folder(spark, "log"))
+    given = testbed.prediction_log(spark, sf).drop("actual_outcome", "outcome_timestamp")
+    log.append(given, F.col("prediction_timestamp"))
+    log.append_outcomes(testbed.outcome_events(spark, sf))
+    return log
+
+
+@query
+def log_day_with_outcomes(spark, sf):
+    """Predictions of three days with outcomes of any time, read from the files of these days."""
+    found = _stored_log(spark, sf).current("2024-01-10", "2024-01-12")
+    return found.select("prediction_id", "actual_outcome", F.date_format("outcome_timestamp", ISO).alias("decided_at"))
+
+
+@query
+def newest_logged(spark, sf):
+    """The 25 newest predictions of a version without an outcome, from the newest days of a log of files."""
+    found = _stored_log(spark, sf).newest(25, model_version="v_view", has_outcome=False)
+    return found.select("prediction_id", F.date_format("prediction_timestamp", ISO).alias("predicted_at"))
+
+
 @query
 def alert_log_roundtrip(spark, sf):
     path = new_folder(spark, "alerts")

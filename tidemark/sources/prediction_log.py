@@ -1,4 +1,9 @@
-"""The prediction log: append-only predictions and outcome events, partitioned by date."""
+"""The prediction log: append-only predictions and outcome events in committed batches.
+
+Both tables are partitioned by the date of the prediction. An outcome learns that date when it is appended; one whose prediction
+is not logged yet waits without a date. What belongs to the predictions of some days is therefore in the files of those
+days, and in the waiting ones, however long the log is.
+"""
 
 from __future__ import annotations
 
@@ -9,10 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import TableCheckError
-from tidemark.operators.outcomes import current_state, prediction_key, unmatched_outcomes
+from tidemark.operators.outcomes import current_state, prediction_key, retrieve, unmatched_outcomes
 from tidemark.operators.validation import log_row_problems, raise_on_problems, split_on_problems
+from tidemark.sources.commits import Commits, Conflict
 from tidemark.sources.scratch import new_folder
-from tidemark.sources.storage import empty, exists
+from tidemark.sources.storage import empty, exists, names_in, remove
 
 LOG_SCHEMA = T.StructType(
     [
@@ -35,7 +41,7 @@ OUTCOME_SCHEMA = T.StructType(
     ]
 )
 _DATED_LOG = T.StructType([*LOG_SCHEMA.fields, T.StructField("prediction_date", T.DateType())])
-_DATED_OUTCOMES = T.StructType([*OUTCOME_SCHEMA.fields, T.StructField("outcome_date", T.DateType())])
+_DATED_OUTCOMES = T.StructType([*OUTCOME_SCHEMA.fields, T.StructField("prediction_date", T.DateType())])
 
 
 def log_rows(df: DataFrame, at: Column) -> DataFrame:
@@ -69,19 +75,12 @@ def log_rows(df: DataFrame, at: Column) -> DataFrame:
     )
 
 
-def _by_date(df: DataFrame, column: str) -> DataFrame:
-    """Rows of a date together, in files of the advised size: adaptive execution splits a date
-    that holds a large share of the rows and joins small ones."""
-    return df.hint("rebalance", F.col(column))
-
-
 class PredictionLog:
     """A log under one root folder. All methods take and return tables."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.predictions_path = f"{root.rstrip('/')}/predictions"
-        self.outcomes_path = f"{root.rstrip('/')}/outcomes"
+        self.commits = Commits(spark, root)
 
     def append(self, rows: DataFrame, at: Column, on_problem: str = "raise") -> DataFrame:
         """Append scored rows and return the rows that were held back.
@@ -92,6 +91,9 @@ class PredictionLog:
         ``at`` is logged once. Every row of the batch is either written or returned with the
         reason: out of the domain, a second row with an id of the batch, or already in the log.
         The checked batch is kept in the scratch folder, which the returned rows are read from.
+
+        The rows are seen all at once, when their batch is committed. If another writer commits first, what it has
+        added is looked through as well, so that an id is logged once whoever writes it.
         """
         if on_problem not in ("raise", "quarantine"):
             raise ValueError("on_problem must be 'raise' or 'quarantine'")
@@ -109,21 +111,30 @@ class PredictionLog:
         again = ranked.withColumn("__copies", F.col("__copies") - (F.col("__rank") == 1).cast("int")).where("__copies > 0")
         again = again.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
         held = [bad, self._held(again, "the batch has another row with this id")]
-        fresh = ranked.where("__rank = 1").withColumn("prediction_date", F.to_date("prediction_timestamp"))
-        if exists(self.spark, self.predictions_path):
-            # only the date partitions that this batch falls into are read back
-            span = fresh.agg(F.min("prediction_date").alias("first"), F.max("prediction_date").alias("last")).first()
-            logged = self._stored_predictions().where(F.col("prediction_date").between(span["first"], span["last"]))
-            # what is logged now, before this batch is added
-            known = new_folder(self.spark, "log-known")
-            fresh.join(logged, ["prediction_date", "prediction_id"], "left_semi").write.parquet(known)
-            known = self.spark.read.schema(fresh.schema).parquet(known)
-            held.append(self._held(known, "already in the log"))
-            fresh = fresh.join(known, ["prediction_date", "prediction_id"], "left_anti")
-        _by_date(fresh.select(*_DATED_LOG.names), "prediction_date").write.mode("append").partitionBy(
-            "prediction_date"
-        ).parquet(self.predictions_path)
-        return reduce(DataFrame.unionByName, held)
+        fresh = ranked.where("__rank = 1").withColumn("prediction_date", F.to_date("prediction_timestamp")).select(*_DATED_LOG.names)
+        span = None
+        looked = set()
+        while True:
+            seen, state = self.commits.current()
+            news = [b for b in state.get("predictions", []) if b not in looked]
+            if news:
+                # only the date partitions that this batch falls into are read back
+                span = span or fresh.agg(F.min("prediction_date").alias("first"), F.max("prediction_date").alias("last")).first()
+                logged = self.commits.read("predictions", _DATED_LOG, news).select("prediction_id", "prediction_date")
+                logged = logged.where(F.col("prediction_date").between(span["first"], span["last"]))
+                known = new_folder(self.spark, "log-known")
+                fresh.join(logged, ["prediction_date", "prediction_id"], "left_semi").select(*_DATED_LOG.names).write.parquet(known)
+                known = self.spark.read.schema(fresh.schema).parquet(known)
+                held.append(self._held(known, "already in the log"))
+                fresh = fresh.join(known, ["prediction_date", "prediction_id"], "left_anti").select(*_DATED_LOG.names)
+                looked.update(news)
+            batch = self.commits.write(fresh, "predictions", "prediction_date")
+            try:
+                self.commits.commit(seen, state | {"predictions": [*state.get("predictions", []), batch]})
+            except Conflict:
+                remove(self.spark, f"{self.commits.root}/predictions/batch={batch}")
+                continue
+            return reduce(DataFrame.unionByName, held)
 
     @staticmethod
     def _held(rows: DataFrame, reason: str) -> DataFrame:
@@ -134,29 +145,57 @@ class PredictionLog:
         wrong = outcomes.where(~F.coalesce(F.col("actual_outcome").isin(0, 1), F.lit(False))).head()
         if wrong is not None:
             raise TableCheckError(f"Actual outcome must be 0 or 1, got {wrong.actual_outcome}")
-        dated = outcomes.select(*[F.col(f.name).cast(f.dataType) for f in OUTCOME_SCHEMA.fields]).withColumn(
-            "outcome_date", F.to_date("outcome_timestamp")
-        )
-        _by_date(dated, "outcome_date").write.mode("append").partitionBy("outcome_date").parquet(self.outcomes_path)
+        given = outcomes.select(*[F.col(f.name).cast(f.dataType) for f in OUTCOME_SCHEMA.fields])
+        self.commits.add(outcomes=[self.commits.write(self._dated(given), "outcomes", "prediction_date")])
 
-    def _stored_predictions(self) -> DataFrame:
-        return self.spark.read.schema(_DATED_LOG).parquet(self.predictions_path).select(
-            "prediction_id", "prediction_date"
-        )
+    def _dated(self, outcomes: DataFrame) -> DataFrame:
+        """Outcomes with the date of their prediction, NULL while it is not logged."""
+        dates = self.predictions().select("prediction_id", "prediction_date")
+        return outcomes.join(dates, "prediction_id", "left").select(*_DATED_OUTCOMES.names)
 
     def predictions(self) -> DataFrame:
-        if not exists(self.spark, self.predictions_path):
-            return empty(self.spark, _DATED_LOG)
-        return self.spark.read.schema(_DATED_LOG).parquet(self.predictions_path)
+        return self.commits.read("predictions", _DATED_LOG)
 
     def outcomes(self) -> DataFrame:
-        if not exists(self.spark, self.outcomes_path):
-            return empty(self.spark, _DATED_OUTCOMES)
-        return self.spark.read.schema(_DATED_OUTCOMES).parquet(self.outcomes_path)
-
-    def current(self) -> DataFrame:
-        """Every prediction with its latest outcome."""
-        return current_state(self.predictions(), self.outcomes())
+        return self.commits.read("outcomes", _DATED_OUTCOMES)
+
+    def current(self, first_day: object | None = None, last_day: object | None = None) -> DataFrame:
+        """Every prediction, or those of some days (inclusive), with its latest outcome. Days that are not wanted are not read:
+        neither their predictions nor the outcomes of these."""
+        _, state = self.commits.current()
+        log = self.commits.read("predictions", _DATED_LOG, state.get("predictions", []))
+        events = self.commits.read("outcomes", _DATED_OUTCOMES, state.get("outcomes", []))
+        day, wanted = F.col("prediction_date"), F.lit(True)
+        if first_day is not None:
+            wanted = wanted & (day >= F.lit(first_day).cast("date"))
+        if last_day is not None:
+            wanted = wanted & (day <= F.lit(last_day).cast("date"))
+        if first_day is not None or last_day is not None:
+            log, events = log.where(wanted), events.where(wanted | day.isNull())
+        return current_state(log, events.drop("prediction_date"))
+
+    def days(self) -> list[str]:
+        """The days that have predictions, newest first, from the names of their folders."""
+        found = set()
+        for batch in self.commits.current()[1].get("predictions", []):
+            for name in names_in(self.spark, f"{self.commits.root}/predictions/batch={batch}"):
+                key, _, day = name.partition("=")
+                if key == "prediction_date" and day[:1].isdigit():
+                    found.add(day)
+        return sorted(found, reverse=True)
+
+    def newest(self, limit: int, **conditions) -> DataFrame:
+        """The newest predictions that meet the conditions of ``retrieve``, newest first. Days are read from the newest back, twice
+        as many in every step, until there are enough rows."""
+        if limit < 1:
+            raise ValueError("limit must be positive")
+        days, take = self.days(), 1
+        while take < len(days):
+            found = retrieve(self.current(first_day=days[take - 1]), limit=limit, **conditions)
+            if found.count() >= limit:
+                return found
+            take *= 2
+        return retrieve(self.current(), limit=limit, **conditions)
 
     def unknown_outcomes(self) -> DataFrame:
         return unmatched_outcomes(self.predictions(), self.outcomes())
@@ -177,15 +216,17 @@ class PredictionLog:
         return True
 
     def compact(self, root: str) -> PredictionLog:
-        """Write log and outcomes merged into a log under a new root. Outcomes whose prediction is not
-        in the log yet stay outcome events."""
+        """Write log and outcomes merged into a log under a new root, which has it all at once or not at all. Outcomes whose
+        prediction is not in the log yet stay outcome events."""
         target = PredictionLog(self.spark, root)
-        _by_date(self.current().select(*_DATED_LOG.names), "prediction_date").write.mode("errorifexists").partitionBy(
-            "prediction_date"
-        ).parquet(target.predictions_path)
-        waiting = self.unknown_outcomes().select(*OUTCOME_SCHEMA.names)
+        if target.commits.current()[0]:
+            raise FileExistsError(f"There is a log in {root} already")
+        merged = self.current().select(*_DATED_LOG.names)
+        waiting = self.unknown_outcomes().withColumn("prediction_date", F.lit(None).cast("date")).select(*_DATED_OUTCOMES.names)
+        state = {"predictions": [target.commits.write(merged, "predictions", "prediction_date")]}
         if not waiting.isEmpty():
-            target.append_outcomes(waiting)
+            state["outcomes"] = [target.commits.write(waiting, "outcomes", "prediction_date")]
+        target.commits.commit(0, state)
         return target
 
 

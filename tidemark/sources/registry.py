@@ -8,6 +8,7 @@ which counts, so no file is ever changed in place.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping
 from typing import Any
 
@@ -20,7 +21,7 @@ from tidemark.errors import UnknownVersionError
 from tidemark.operators.attribution import LeafTable, read_leaf_table
 from tidemark.operators.encoding import FittedEncoder
 from tidemark.operators.training import AttritionModel
-from tidemark.sources.storage import any_match, empty, exists
+from tidemark.sources.storage import any_match, empty, exists, replace_text
 
 METADATA_SCHEMA = T.StructType(
     [
@@ -147,8 +148,10 @@ class ModelRegistry:
             version_name(F.current_timestamp()).alias("name"), F.date_format(F.current_timestamp(), _ISO).alias("at")
         ).first()
         version = version or now.name
-        folder = self._folder(version)
-        model.chain.write().overwrite().save(f"{folder}/chain")
+        # files of their own for every save; the metadata, which comes last and in one step, names them
+        files = f"files-{uuid.uuid4().hex}"
+        folder = f"{self._folder(version)}/{files}"
+        model.chain.write().save(f"{folder}/chain")
         model.encoder.save(self.spark, f"{folder}/encoder")
         merged = {
             "version": version,
@@ -158,11 +161,19 @@ class ModelRegistry:
             "features": {"numerical": list(model.encoder.means), "categorical": list(model.encoder.modes)},
             "monthly_median": model.monthly_median,
             **(metadata or {}),
+            "files": files,
         }
-        line = self.spark.createDataFrame([(json.dumps(merged, default=str),)], "value string")
-        line.coalesce(1).write.mode("overwrite").text(f"{folder}/metadata")
+        replace_text(self.spark, f"{self._folder(version)}/metadata/metadata.json", json.dumps(merged, default=str) + "\n")
         return version
 
+    def _files(self, version: str) -> str:
+        """The folder with the parts of a live version."""
+        folder = f"{self._folder(version)}/{self.metadata(version)['files']}"
+        for part in ("chain", "encoder"):
+            if not exists(self.spark, f"{folder}/{part}"):
+                raise FileNotFoundError(f"Version '{version}' lacks its {part}")
+        return folder
+
     def versions(self) -> DataFrame:
         """Metadata of the live versions, newest first."""
         return live_versions(self._all_metadata(), self.events()).orderBy(F.desc("timestamp"), "version")
@@ -199,10 +210,7 @@ class ModelRegistry:
 
     def deploy(self, version: str) -> None:
         """Make a version the deployed one; going back to an old one is the same call."""
-        self.metadata(version)
-        for part in ("chain", "encoder"):
-            if not exists(self.spark, f"{self._folder(version)}/{part}"):
-                raise FileNotFoundError(f"Version '{version}' lacks its {part}")
+        self._files(version)
         self._event(version, "deploy")
 
     def delete(self, version: str) -> None:
@@ -215,11 +223,7 @@ class ModelRegistry:
     def load(self, version: str | None = None) -> tuple[str, AttritionModel]:
         """(version, model); without a version the deployed one, else the latest."""
         version = version or self.deployed() or self.latest()
-        meta = self.metadata(version)
-        folder = self._folder(version)
-        for part in ("chain", "encoder"):
-            if not exists(self.spark, f"{folder}/{part}"):
-                raise FileNotFoundError(f"Version '{version}' lacks its {part}")
+        meta, folder = self.metadata(version), self._files(version)
         return version, AttritionModel(
             PipelineModel.load(f"{folder}/chain"),
             FittedEncoder.load(self.spark, f"{folder}/encoder"),
@@ -229,7 +233,7 @@ class ModelRegistry:
 
     def leaves(self, version: str) -> LeafTable:
         """The leaf table of a saved version, for attributions."""
-        pattern = f"{self._folder(version)}/chain/stages/*_GBTClassifier_*"
+        pattern = f"{self._files(version)}/chain/stages/*_GBTClassifier_*"
         jvm = self.spark.sparkContext._jvm  # noqa: SLF001
         path = jvm.org.apache.hadoop.fs.Path(pattern)
         fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
