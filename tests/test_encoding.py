@@ -112,3 +112,24 @@ def test_samples(spark):
     assert [r.customer_id for r in sampling.first_rows(df, 2).collect()] == ["C0", "C1"]
     share = sampling.split_by_hash(df).where("is_test").count() / 5000
     assert abs(share - 0.2) < 0.03
+
+
+def test_fitting_reads_its_table_once_and_refuses_too_many_categories(spark, tmp_path):
+    rows = [(i, float(i % 7) if i % 5 else None, float("nan") if i % 3 else 2.0, "abc"[i % 3] if i % 4 else None, f"id{i}") for i in range(50)]
+    spark.createDataFrame(rows, "i int, x double, y double, c string, d string").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    plan = encoding.fitted_counts(df, ["x", "y"], ["c", "d"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    encoder = encoding.fit_encoder(df, ["x", "y"], ["c"])
+    stats = {r.feature: (r["mean"], r["scale"]) for r in encoding.numeric_stats(df, ["x", "y"]).collect()}
+    for c in ("x", "y"):
+        assert (encoder.means[c], encoder.scales[c]) == pytest.approx(stats[c])
+    assert encoder.categories == {"c": ["a", "b", "c"]}
+    modes = {r.feature: r["mode"] for r in encoding.category_modes(encoding.category_counts(df, ["c"])).collect()}
+    assert encoder.modes == modes
+    assert len(encoding.fit_encoder(df, ["x"], ["c", "d"], most_categories=50).categories["d"]) == 50
+    for most in (49, 2):
+        with pytest.raises(ValueError, match="one-hot"):
+            encoding.fit_encoder(df, ["x"], ["c", "d"], most_categories=most)
+    empty = encoding.fit_encoder(df.limit(0), ["x"], ["c"])
+    assert empty.means == {"x": 0.0} and empty.scales == {"x": 1.0} and empty.categories == {}

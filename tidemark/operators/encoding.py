@@ -1,6 +1,6 @@
 """Imputation, scaling and one-hot encoding.
 
-Fitting is one aggregation for the numeric columns and one grouped count for the categories.
+Fitting is one scan and one aggregation over the moments of the numeric columns and the counts of the categories.
 The fitted numbers become literals of native ML stages, so applying them is a projection and
 saving them needs no Python class on the other side.
 """
@@ -13,13 +13,15 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import settings
 from tidemark.functions.columns import nan_to_null, sql_double, sql_name, sql_string
 
+MOST_CATEGORIES = 10_000  # of a column
+
 STATE_SCHEMA = (
     "position int, feature string, kind string, mean double, scale double, mode string, categories array<string>"
 )
@@ -158,22 +160,51 @@ class FittedEncoder:
         )
 
 
-def fit_encoder(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> FittedEncoder:
-    """Fit on a table. The driver receives one row per numeric column and per category: what
-    one-hot encoding needs to lay out its columns."""
-    means: dict[str, float] = {}
-    scales: dict[str, float] = {}
-    if numeric:
-        for r in numeric_stats(df, numeric).collect():
-            means[r.feature], scales[r.feature] = r["mean"], r["scale"]
-    modes: dict[str, str] = {}
-    categories: dict[str, list[str]] = {}
-    if categorical:
-        found: dict[str, list] = {c: [] for c in categorical}
-        for r in category_counts(df, categorical).collect():
+def fitted_counts(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """One row (feature, category, n) per known category, and one without a feature that has the numeric statistics as ``mean<i>``
+    and ``scale<i>``: all that an encoder is fitted from, in one scan and one aggregation.
+
+    Every row is counted once for each categorical column and once for the numeric ones, whose values only count there.
+    """
+
+    def entry(feature: Column, category: Column) -> Column:
+        return F.struct(feature.cast("string").alias("feature"), category.cast("string").alias("category"))
+
+    entries = [entry(F.lit(None), F.lit(None))] + [entry(F.lit(c), F.col(c)) for c in categorical]
+    values = [F.col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(numeric)]
+    spread = nan_to_null(df.select(*numeric, *categorical)).select(*values, F.inline(F.array(*entries)))
+    whole = F.col("feature").isNull()
+    stats, n = [], F.count_if(whole)
+    for i in range(len(numeric)):
+        own = F.when(whole, F.col(f"__v{i}"))
+        deviation = F.sqrt(F.var_pop(own) * F.count(own) / n)
+        stats.append(F.coalesce(F.avg(own), F.lit(0.0)).alias(f"mean{i}"))
+        stats.append(F.when(deviation > 0, deviation).otherwise(F.lit(1.0)).alias(f"scale{i}"))
+    known = whole | F.col("category").isNotNull()
+    return spread.where(known).groupBy("feature", "category").agg(F.count(F.lit(1)).alias("n"), *stats)
+
+
+def fit_encoder(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], most_categories: int = MOST_CATEGORIES
+) -> FittedEncoder:
+    """Fit on a table, which is read once. The driver receives one row for the numeric columns and one per category, which
+    one-hot encoding needs to lay out its columns. A column of more than ``most_categories`` is refused: it would make as many
+    features; no more rows than that are fetched.
+    """
+    most = 1 + len(categorical) * most_categories
+    rows = fitted_counts(df, numeric, categorical).limit(most + 1).collect()
+    found: dict[str, list] = {c: [] for c in categorical}
+    means: dict[str, float] = {c: 0.0 for c in numeric}
+    scales: dict[str, float] = {c: 1.0 for c in numeric}
+    for r in rows:
+        if r.feature is not None:
             found[r.feature].append((-r.n, r.category))
-        for c in categorical:
-            if found[c]:  # a column without a known value carries nothing to encode
-                modes[c] = min(found[c])[1]
-                categories[c] = sorted(v for _, v in found[c])
-    return FittedEncoder(means, scales, modes, categories)
+            continue
+        for i, c in enumerate(numeric):
+            means[c], scales[c] = r[f"mean{i}"], r[f"scale{i}"]
+    large = [c for c in categorical if len(found[c]) > most_categories]
+    if large or len(rows) > most:
+        raise ValueError(f"More than {most_categories} categories: {', '.join(large) or 'in all'}; not for one-hot encoding")
+    known = [c for c in categorical if found[c]]  # a column without a known value carries nothing to encode
+    modes = {c: min(found[c])[1] for c in known}
+    return FittedEncoder(means, scales, modes, {c: sorted(v for _, v in found[c]) for c in known})

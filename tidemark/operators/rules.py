@@ -7,8 +7,8 @@ so a grid of any size is checked by one broadcast join without a shuffle.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Mapping
+import operator
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,14 +67,15 @@ RULE_SCHEMA = T.StructType(
 )
 
 
-def rule_table(spark: SparkSession) -> DataFrame:
-    """The rules as a table: one row per parameter."""
+def rule_rows() -> list[tuple]:
+    """One row of RULE_SCHEMA per parameter."""
     rows = [(n, k, lo, ex, hi, None, text) for n, k, lo, ex, hi, text in NUMERIC_RULES]
-    rows += [
-        (n, "enum", None, False, None, allowed, "Must be one of: " + ", ".join(allowed))
-        for n, allowed in ENUM_RULES.items()
-    ]
-    return spark.createDataFrame(rows, RULE_SCHEMA)
+    return rows + [(n, "enum", None, False, None, allowed, "Must be one of: " + ", ".join(allowed)) for n, allowed in ENUM_RULES.items()]
+
+
+def rule_table(spark: SparkSession) -> DataFrame:
+    """The rules as a table."""
+    return spark.createDataFrame(rule_rows(), RULE_SCHEMA)
 
 
 def rule_violations(configs: DataFrame, rules: DataFrame | None = None) -> DataFrame:
@@ -151,28 +152,32 @@ def check_params(params: Mapping[str, Any]) -> bool:
     return True
 
 
+Test = tuple[Callable[[Any], bool], Callable[[Any], str]]  # whether a value is wrong, and what to say then
+
+
+def _tests_of(name: str, kind: str, lower: float | None, excluded: bool, upper: float | None, allowed: list[str] | None, text: str) -> list[Test]:
+    """A row of the rule table as tests, of which the first that finds a value wrong counts."""
+    if kind == "enum":
+        return [(lambda v: v not in allowed, lambda v: f"{name}: Invalid value '{v}'. {text}")]
+    types, wanted = (int, "an integer") if kind == "int" else ((int, float), "a number")
+    tests: list[Test] = [(lambda v: not isinstance(v, types), lambda v: f"{name}: Expected {wanted}, got {_type_name(v)}")]
+    # comparisons with NaN are false, so that it passes
+    if lower is not None:
+        beyond = operator.le if excluded else operator.lt
+        tests.append((lambda v: beyond(v, lower), lambda v: f"{name}: {text} (got {v})"))
+    if upper is not None:
+        tests.append((lambda v: v > upper, lambda v: f"{name}: {text} (got {v})"))
+    return tests
+
+
 def param_errors(params: Mapping[str, Any]) -> list[str]:
-    """The errors of one configuration, without a Spark job."""
+    """The errors of one configuration, without a Spark job, from the rows of the rule table."""
     if not isinstance(params, Mapping):
         return ["Parameters must be a dictionary"]
-    numeric = {r[0]: r for r in NUMERIC_RULES}
-    errors = []
-    for name, value in params.items():
-        if value is None:
-            continue
-        if name in numeric:
-            _, kind, lower, excluded, upper, text = numeric[name]
-            if not isinstance(value, int if kind == "int" else (int, float)):
-                wanted = "an integer" if kind == "int" else "a number"
-                errors.append(f"{name}: Expected {wanted}, got {_type_name(value)}")
-                continue
-            low = lower is not None and (value <= lower if excluded else value < lower)
-            high = upper is not None and value > upper
-            if (low or high) and not (isinstance(value, float) and math.isnan(value)):
-                errors.append(f"{name}: {text} (got {value})")
-        elif name in ENUM_RULES and value not in ENUM_RULES[name]:
-            errors.append(f"{name}: Invalid value '{value}'. Must be one of: {', '.join(ENUM_RULES[name])}")
-    return errors
+    tests = {row[0]: _tests_of(*row) for row in rule_rows()}
+    given = ((name, value) for name, value in params.items() if value is not None)
+    found = (next((say(value) for wrong, say in tests.get(name, ()) if wrong(value)), None) for name, value in given)
+    return [error for error in found if error is not None]
 
 
 def to_long(spark: SparkSession, configs: Mapping[str, Mapping[str, Any]]) -> DataFrame:

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from tidemark import settings
-from tidemark.operators.rules import ENUM_RULES
-from tidemark.plans.queries import RANGES, THRESHOLDS
+from tidemark.operators.rules import ENUM_RULES, NUMERIC_RULES
+from tidemark.plans.queries import RANGES, THRESHOLDS, tried_values
 from tidemark.plans.testbed import ATTRIBUTION_WIDTH, ORDERS_CARD
 
 DERIVED = """
@@ -159,6 +159,37 @@ _CLOSED = """closed AS (SELECT * FROM predictions WHERE prediction_timestamp + I
 
 _EVALUATED = ["tn", "fp", "fn", "tp", "precision", "recall", "f1_score", "accuracy", "roc_auc", "n_unscored"]
 
+def _quoted(text: str | None) -> str:
+    return "NULL" if text is None else "'" + text.replace("'", "''") + "'"
+
+
+def _rule_error(param: str) -> str:
+    """What is wrong with ``value`` of the type ``kind``, as SQL of its own for every rule."""
+    numeric = {r[0]: r for r in NUMERIC_RULES}
+    if param not in numeric:
+        listed = ENUM_RULES[param]
+        tail = _quoted("'. Must be one of: " + ", ".join(listed))
+        head = _quoted(f"{param}: Invalid value '")
+        return f"CASE WHEN value NOT IN ({', '.join(map(_quoted, listed))}) THEN {head} || value || {tail} END"
+    _, wanted, low, excluded, high, text = numeric[param]
+    allowed, name = ("('int', 'bool')", "an integer") if wanted == "int" else ("('int', 'float', 'bool')", "a number")
+    x = "CASE value WHEN 'True' THEN 1e0 WHEN 'False' THEN 0e0 ELSE TRY_CAST(value AS DOUBLE) END"
+    bounds = [] if low is None else [f"{x} {'<=' if excluded else '<'} {low}e0"]
+    bounds += [] if high is None else [f"{x} > {high}e0"]
+    wrong = f"NOT isnan({x}) AND ({' OR '.join(bounds)})" if bounds else "false"
+    return f"CASE WHEN kind NOT IN {allowed} THEN '{param}: Expected {name}, got ' || kind WHEN {wrong} THEN '{param}: {text} (got ' || value || ')' END"
+
+
+def _all_rules() -> str:
+    parts = []
+    for i, (param, values) in enumerate(tried_values().items()):
+        texts, kinds = (", ".join(map(_quoted, some)) for some in zip(*values, strict=True))
+        at = f"CAST((o_orderkey + {i}) % {len(values)} + 1 AS INTEGER)"
+        rows = f"SELECT o_orderkey AS config_id, ([{texts}])[{at}] AS value, ([{kinds}])[{at}] AS kind FROM orders"
+        parts.append(f"SELECT config_id, '{param}' AS param, value, {_rule_error(param)} AS error FROM ({rows}) WHERE value IS NOT NULL")
+    return f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE error IS NOT NULL"
+
+
 VERSION_EVENTS = f"""{DAILY},
 version_events AS (
   SELECT model_version AS version, 'deploy' AS event, evaluation_date + INTERVAL 12 HOUR AS happened
@@ -590,4 +621,5 @@ ORACLE: dict[str, str] = {
       FROM resolved WHERE CAST(prediction_timestamp AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'""",
     "newest_logged": f"""WITH {LOG} SELECT prediction_id, strftime(prediction_timestamp, {MICRO}) AS predicted_at
       FROM resolved WHERE model_version = 'v_view' AND actual_outcome IS NULL ORDER BY prediction_timestamp DESC, prediction_id LIMIT 25""",
+    "rule_violations_of_all": _all_rules(),
 }

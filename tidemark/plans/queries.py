@@ -207,6 +207,33 @@ def violations_per_config(spark, sf):
     return listed.select("config_id", "n_errors", F.array_join("errors", "; ").alias("errors"))
 
 
+# Values that the numeric rules are tried on, as (text, type); names of enumerations get all that are allowed and three others.
+TRIED = [
+    ("-1", "int"), ("0", "int"), ("1", "int"), ("2", "int"), ("-0.5", "float"), ("0.0", "float"), ("0.5", "float"), ("1.0", "float"),
+    ("1.5", "float"), ("nan", "float"), ("True", "bool"), ("False", "bool"), ("abc", "str"), (None, "str"),
+]
+OTHERS = ["fastest", "", None]
+
+
+def tried_values() -> dict[str, list[tuple[str | None, str]]]:
+    """Every parameter that has a rule, with the values to try."""
+    numbers = {r[0]: TRIED for r in rules.NUMERIC_RULES}
+    return numbers | {n: [(v, "str") for v in [*allowed, *OTHERS]] for n, allowed in rules.ENUM_RULES.items()}
+
+
+@query
+def rule_violations_of_all(spark, sf):
+    """Every parameter's rule on every kind of value: an order is a configuration that picks one value for each."""
+    kind = "array<struct<value: string, value_type: string>>"
+    entries = []
+    for i, (param, values) in enumerate(tried_values().items()):
+        texts = F.array(*[F.struct(F.lit(v).alias("value"), F.lit(t).alias("value_type")) for v, t in values]).cast(kind)
+        picked = F.get(texts, ((F.col("o_orderkey") + i) % len(values)).cast("int"))
+        entries.append(F.struct(F.lit(param).alias("param"), picked["value"].alias("value"), picked["value_type"].alias("value_type")))
+    configs = testbed.table(spark, sf, "orders").select(F.col("o_orderkey").alias("config_id"), F.inline(F.array(*entries)))
+    return rules.rule_violations(configs)
+
+
 @query
 def recall_gate(spark, sf):
     e = classification.evaluate(testbed.scored_customers(spark, sf), "churn", "churn_probability", "predicted_class")
