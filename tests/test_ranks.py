@@ -109,3 +109,18 @@ def test_outer_values_are_cut_into_widths_too(spark):
     df = spark.range(50_000).select((F.col("id") * 1.0).alias("v"))
     row = exact_quantiles(df, "v", {"lo": 0.0, "near": 0.001, "hi": 1.0}).first()
     assert (row.lo, row.hi) == (0.0, 49_999.0) and abs(row.near - 49.999) < 1e-9
+
+
+def test_quantiles_of_many_unlike_groups(spark):
+    """Groups of different sizes and scales; what is ranked is a small multiple of the groups."""
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 4000 != 3, F.col("id") % 4000).alias("g"),
+        (F.pow(F.lit(1.7), (F.col("id") % 40).cast("double")) * (F.xxhash64("id") % 1000)).alias("x"),
+    ).union(spark.range(40_000).select(F.lit(7).cast("bigint").alias("g"), (F.xxhash64("id") % 100_000).cast("double").alias("x")))
+    got = exact_quantiles(rows, "x", {"q1": 0.25, "median": 0.5, "top": 0.97}, ["g"])
+    expected = rows.groupBy("g").agg(*[F.percentile("x", p).alias(n) for n, p in (("q1", 0.25), ("median", 0.5), ("top", 0.97))])
+    a = {r[0]: tuple(r)[1:] for r in got.collect()}
+    b = {r[0]: tuple(r)[1:] for r in expected.collect()}
+    assert a.keys() == b.keys() and len(a) == 4000 and None in a
+    for key, values in a.items():
+        assert values == pytest.approx(b[key], rel=1e-12)

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import interpolate
+from tidemark.sources.scratch import new_folder
 
 _KEY = "__key"
 MIN_BUCKETS = 8
@@ -34,6 +35,8 @@ MAX_BUCKETS = 4096
 SELECTION_BUCKETS = 256  # equal-count buckets of a selection, each cut into equal widths
 SELECTION_WIDTHS = 64
 SKETCH_GROUPS = 256
+GROUP_BUCKETS = 16  # the same for the groups of a selection with groups
+GROUP_WIDTHS = 16
 
 
 def _require_one_evaluation(df: DataFrame) -> None:
@@ -161,6 +164,19 @@ def _sketched_edges(values: DataFrame, value: str, buckets: int) -> DataFrame:
     return merged.where(F.col("n") > 0).select(F.struct(points.alias("at"), "lo", "hi").alias("edges"))
 
 
+def _with_group_sketches(values: DataFrame, by: Sequence[str], buckets: int) -> DataFrame:
+    """The values with their group's edges and extremes as ``__sketch``. The table of edges is written once."""
+    sketches = values.groupBy(F.struct(*by).alias("__group")).agg(
+        F.kll_sketch_agg_double("__v", F.lit(8 * buckets)).alias("sketch"), F.min("__v").alias("lo"), F.max("__v").alias("hi")
+    )
+    points = F.kll_sketch_get_quantile_double("sketch", _probabilities(buckets))
+    edges = sketches.select("__group", F.struct(points.alias("at"), "lo", "hi").alias("__sketch"))
+    path = new_folder(values.sparkSession, "group-edges")
+    edges.write.parquet(path)
+    edges = values.sparkSession.read.schema(edges.schema).parquet(path)
+    return values.withColumn("__group", F.struct(*by)).join(edges, "__group").drop("__group")
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -171,22 +187,27 @@ def exact_quantiles(
     """Exact, linearly interpolated quantiles as one column per entry of ``probabilities``.
 
     Three scans of one column and no shuffle of it: a sketch for the edges, row counts per
-    bucket, and the values of the buckets in which a wanted rank lies.
+    bucket, and the values of the buckets in which a wanted rank lies. With groups each has a sketch and
+    edges of its own, so that the candidates are a share of each group's values, however many groups there are
+    and however they differ; the edges are written to the scratch folder, which makes them the same for all parts.
     """
-    _require_one_evaluation(df)
     by = list(by)
-    buckets = _power_of_two(buckets)
     values = known(df.select(*by, F.col(value).cast("double").alias("__v")), "__v")
-
-    sketched = values.withColumn("__sketch", _sketched_edges(values, "__v", buckets).scalar())
+    if by:
+        buckets, widths = GROUP_BUCKETS, GROUP_WIDTHS
+        sketched = _with_group_sketches(values, by, buckets)
+    else:
+        _require_one_evaluation(df)
+        buckets, widths = _power_of_two(buckets), SELECTION_WIDTHS
+        sketched = values.withColumn("__sketch", _sketched_edges(values, "__v", buckets).scalar())
     sketched = sketched.withColumn("__edges", F.col("__sketch.at"))
     placed = _with_bucket(sketched, "__v", "__edges", buckets, "__bucket")
     below = F.coalesce(F.get("__edges", F.col("__bucket") - 1), F.col("__sketch.lo"))
     above = F.coalesce(F.get("__edges", F.col("__bucket")), F.col("__sketch.hi"))
     # equal widths inside a bucket keep the candidates few; the extremes bound the outer two buckets
-    within = F.floor(F.try_divide(F.col("__v") - below, above - below) * SELECTION_WIDTHS)
-    narrow = F.greatest(F.lit(0), F.least(F.lit(SELECTION_WIDTHS - 1), F.coalesce(within, F.lit(0))))
-    placed = placed.select(*by, "__v", (F.col("__bucket") * SELECTION_WIDTHS + narrow).cast("int").alias("__slot"))
+    within = F.floor(F.try_divide(F.col("__v") - below, above - below) * widths)
+    narrow = F.greatest(F.lit(0), F.least(F.lit(widths - 1), F.coalesce(within, F.lit(0))))
+    placed = placed.select(*by, "__v", (F.col("__bucket") * widths + narrow).cast("int").alias("__slot"))
 
     # at most buckets x widths rows per group
     up_to_here = Window.partitionBy(*by).orderBy("__slot")
@@ -216,14 +237,15 @@ def exact_quantiles(
         holds = holds | ((F.col("__before") <= r) & (r < F.col("__before") + F.col("__n")))
     hits = slots.where(holds).select(F.struct(*by, "__slot").alias("__hit"), "__before", "__total")
 
-    # with groups this is the union over the groups, which the join below narrows
-    chosen = slots.where(holds).agg(F.collect_set("__slot").alias("s")).scalar()
-    candidates = (
-        placed.withColumn("__chosen", chosen)
-        .where(F.array_contains("__chosen", F.col("__slot")))
-        .groupBy(F.struct(*by, "__slot").alias("__hit"), "__v")
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
+    if by:
+        # each group's values in the slots that hold its own ranks
+        slot = placed.select("__v", F.struct(*by, "__slot").alias("__hit"))
+        near = slot.join(hits.select("__hit"), "__hit", "left_semi")
+    else:
+        chosen = slots.where(holds).agg(F.collect_set("__slot").alias("s")).scalar()
+        near = placed.withColumn("__chosen", chosen).where(F.array_contains("__chosen", F.col("__slot")))
+        near = near.select("__v", F.struct("__slot").alias("__hit"))
+    candidates = near.groupBy("__hit", "__v").agg(F.count(F.lit(1)).alias("__n"))
     inside = Window.partitionBy("__hit").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
     first = F.col("__before") + F.coalesce(F.sum("__n").over(inside), F.lit(0))
     ranked = candidates.join(hits, "__hit").select(
