@@ -10,7 +10,7 @@ import pytest
 import tiktoken
 import tokenizers
 
-from tidemark.llm import byte_bpe, queries, token_counts
+from tidemark.llm import byte_bpe, pretokens, queries, token_counts
 
 RANKS, JSON, PATTERN = (
     public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -65,6 +65,34 @@ def test_encoding_and_decoding_of_odd_texts(odd, reference):
     assert decoded == sorted((t or "").encode() for t in given)
 
 
+@pytest.mark.parametrize("windows", [(48, 192), (16, 48), ()])
+def test_long_words_in_windows_are_those_of_the_library(reference, monkeypatch, windows):
+    monkeypatch.setattr(byte_bpe, "WINDOWS", windows)
+    engine, draw = byte_bpe.Engine(byte_bpe.Ranks(RANKS)), random.Random(8)
+    words = ["a" * 1003, "ab" * 300, "aab" * 200, "é" * 301, " " * 600, "the" * 200, "=" * 257 + "-" * 300, "x" * 200 + "y" * 201]
+    words += ["".join(draw.choices(letters, k=draw.randint(201, 700))) for letters in ("ab", "etaoin", "abcdefghijklmnopqrstuvwxyzäöü") for _ in range(6 if windows else 1)]
+    for word in words:
+        assert engine.encode([word])[0] == np.array(reference._encode_single_piece(word.encode()), "<i4").tobytes(), word
+
+
+def test_a_word_of_four_megabytes(reference):
+    """In a piece of memory that the word's rows at once would exceed by far."""
+    engine = byte_bpe.Engine(byte_bpe.Ranks(RANKS))
+    word = "a" * 1_000_003 + "abcdefghij" * 300_000
+    assert engine.encode([word])[0] == np.array(reference._encode_single_piece(word.encode()), "<i4").tobytes()
+
+
+def test_what_is_remembered_is_bounded_by_bytes():
+    memory = pretokens.Recent(10_000)
+    for i in range(50):
+        keys = [f"{i}-{k}" for k in range(10)] + ["long" * 1000 + str(i)]
+        assert memory.recall(keys) == keys
+        memory.learn(keys, [b"x"] * len(keys))
+        assert all(k in memory.new for k in keys)
+        memory.age()
+        assert sum(pretokens.ENTRY + 2 * len(k) for k in [*memory.new, *memory.old]) < 2 * 10_000 + 5000
+
+
 def test_round_trip_is_encode_and_decode(odd, reference):
     given = texts()
     rows = byte_bpe.round_trip(odd(given), RANKS, PATTERN).collect()

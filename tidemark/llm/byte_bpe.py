@@ -2,9 +2,11 @@
 
 A word is a chain of token rows. One step of the recursive query joins
 the rows with the merge table, takes each word's pair of lowest rank, leftmost first, and contracts it.
-Words without a pair leave the recursion. Long words have a step of their own that contracts all
-occurrences of the lowest pair up to the first whose contraction opens a lower one, so that the number
-of steps does not follow the length. Decoding joins the ids with the vocabulary and concatenates in order.
+Words without a pair leave the recursion. Long words are encoded in overlapping windows, which are words like any other. Where two
+windows agree on an end of a token, their tokens are joined if the two that meet there are what their bytes together
+encode to: a sequence whose neighbours all pass this is the encoding of the whole. Where no such place is found, a step of
+its own contracts the long word at once: all occurrences of the lowest pair up to the first whose contraction opens a lower one.
+Decoding joins the ids with the vocabulary and concatenates in order.
 """
 
 from __future__ import annotations
@@ -23,9 +25,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import hold, pieces, schema
 from tidemark.llm.pretokens import Cutter
 
-LONG = 200  # bytes; longer words take the step that contracts many pairs at once
+LONG = 200  # bytes; longer words are encoded in windows
+WINDOWS = 48, 192  # bytes of a window, which overlaps with the next by half; the longer are tried where the shorter fail
 PIECE = 1 << 20  # bytes of text that are cut and encoded at once
-WORDS = 15_000  # words per recursive query, which bounds its rows
+WORDS = 15_000  # words per recursive query, and their bytes, which bound its rows
+LETTERS = 200_000
 TOKENS = 300_000  # token rows per decoding query, unless one text has more
 
 # A row is a token: g is the word's number and the start (8 bits), e the end, nx the next token. A pair's rank,
@@ -101,6 +105,9 @@ class Engine:
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         self.known = np.zeros(max(ranks.ids.values(), default=0) + 1, bool)
         self.known[list(ranks.ids.values())] = True
+        self.texts = {i: t for t, i in ranks.ids.items()}
+        self.sizes = np.zeros(len(self.known), np.int64)
+        self.sizes[list(self.texts)] = list(map(len, self.texts.values()))
         left, right, made = ranks.pairs.T
         self.fill("merges", pair=(left << 20) | right, rank=made.astype(np.int32))
         self.fill("vocabulary", t=np.array(list(ranks.ids.values()), np.int32), text=[s.decode("latin-1") for s in ranks.ids])
@@ -116,12 +123,71 @@ class Engine:
         out = [self.ranks.ids.get(w) for w in raw]
         out = [None if i is None else i.to_bytes(4, "little") for i in out]
         todo = [i for i, x in enumerate(out) if x is None]
-        short, long = [i for i in todo if len(raw[i]) <= LONG], [i for i in todo if len(raw[i]) > LONG]
-        for step, rows in [*((SHORT_WORDS, short[k : k + WORDS]) for k in range(0, len(short), WORDS)), *((LONG_WORDS, [i]) for i in long)]:
-            for i, ids in zip(rows, self._contract(step, [raw[i] for i in rows]), strict=True):
-                out[i] = ids
+        short = [i for i in todo if len(raw[i]) <= LONG]
+        for i, ids in zip(short, self._short([raw[i] for i in short]), strict=True):
+            out[i] = ids
+        for i in todo:
+            if len(raw[i]) > LONG:
+                found = (self._windows(raw[i], size) for size in WINDOWS)
+                out[i] = next(filter(None, found), None) or self._contract(LONG_WORDS, [raw[i]])[0]
         return out
 
+    def _short(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words of at most LONG bytes; so many at once that the rows stay bounded. Words alike are solved once."""
+        if len(distinct := list(dict.fromkeys(words))) < len(words):
+            known = dict(zip(distinct, self._short(distinct), strict=True))
+            return [known[w] for w in words]
+        out, start, size = [], 0, 0
+        for i, w in enumerate(words):
+            size += len(w)
+            if i - start == WORDS or size > LETTERS:
+                out += self._contract(SHORT_WORDS, words[start:i])
+                start, size = i, len(w)
+        return out + (self._contract(SHORT_WORDS, words[start:]) if start < len(words) else [])
+
+    def _windows(self, word: bytes, window: int) -> bytes | None:
+        """The ids of a long word from those of its windows; None if two neighbours cannot be joined."""
+        stride = window // 2
+        starts = range(0, len(word) - window + stride, stride)
+        out, behind = [], None  # a piece of the word at a time: its windows, and the last one of the piece before
+        for first in range(0, len(starts), PIECE // stride):
+            some = starts[first : first + PIECE // stride]
+            ids = [np.frombuffer(x, "<i4") for x in self._short([word[a : a + window] for a in some])]
+            ends = [a + np.cumsum(self.sizes[x]) for a, x in zip(some, ids, strict=True)]
+            if behind is not None:
+                ids, ends = [behind[0], *ids], [behind[1], *ends]
+            places = self._joints(ids, ends)
+            if places is None:
+                return None
+            begin = 0 if behind is None else behind[2]
+            for k, (i, j) in enumerate(places):
+                out.append(ids[k][begin : i + 1])
+                begin = j
+            behind = ids[-1], ends[-1], begin
+        out.append(behind[0][behind[2] :])
+        return np.concatenate(out).astype("<i4").tobytes()
+
+    def _joints(self, ids: list[np.ndarray], ends: list[np.ndarray]) -> list[tuple[int, int]] | None:
+        """For every two neighbouring windows, the last token of the one and the first of the other."""
+        options = []
+        for x, y in zip(ends, ends[1:], strict=False):
+            shared, i, j = np.intersect1d(x[:-1], y[:-1], return_indices=True)
+            order = np.argsort(np.abs(shared - (x[-1] + y[0]) / 2))  # away from the edges of the windows
+            options.append([(int(i[k]), int(j[k]) + 1) for k in order])
+        chosen: list = [None] * len(options)
+        for attempt in range(max(map(len, options), default=0)):
+            open_ = [k for k, c in enumerate(chosen) if c is None and attempt < len(options[k])]
+            if not open_:
+                break
+            pairs = [(ids[k][options[k][attempt][0]], ids[k + 1][options[k][attempt][1]]) for k in open_]
+            texts = [self.texts[a] + self.texts[b] for a, b in pairs]
+            fits = [len(t) <= LONG for t in texts]
+            found = iter(self._short([t for t, f in zip(texts, fits, strict=True) if f]))
+            for k, pair, f in zip(open_, pairs, fits, strict=True):
+                if f and next(found) == np.array(pair, "<i4").tobytes():
+                    chosen[k] = options[k][attempt]
+        return None if any(c is None for c in chosen) else chosen
+
     def _contract(self, step: str, words: list[bytes]) -> list[bytes]:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         letters = self.ranks.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
@@ -158,8 +224,10 @@ class Engine:
         return out
 
 
+CACHE_BYTES = 80 << 20  # of known chunks and words that a worker keeps by default
+
 _ENGINES: dict[str, Engine] = {}  # of this Python worker, for the last vocabulary
-_CUTTERS: dict[tuple[str, str], Cutter] = {}
+_CUTTERS: dict[tuple, Cutter] = {}
 
 
 def _release() -> None:
@@ -175,11 +243,12 @@ def _engine(shared: Broadcast, path: str) -> Engine:
     return _ENGINES[path]
 
 
-def _cutter(shared: Broadcast, path: str, pattern: str) -> Cutter:
+def _cutter(shared: Broadcast, path: str, pattern: str, cache: int = CACHE_BYTES) -> Cutter:
     engine = _engine(shared, path)
-    if (path, pattern) not in _CUTTERS:
-        _CUTTERS[path, pattern] = Cutter(pattern, engine.encode, b"".join)
-    return _CUTTERS[path, pattern]
+    if (path, pattern, cache) not in _CUTTERS:
+        _CUTTERS.clear()
+        _CUTTERS[path, pattern, cache] = Cutter(pattern, engine.encode, b"".join, cache)
+    return _CUTTERS[path, pattern, cache]
 
 
 def _encoded(cutter: Cutter, texts: pa.Array) -> list[bytes]:
@@ -227,13 +296,14 @@ def decode(encoded: DataFrame, path: str, id_column: str = "doc_id", ids_column:
     return chosen.mapInArrow(run, schema(chosen, "decoded binary"))
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text", cache: int = CACHE_BYTES) -> DataFrame:
     """Rows (doc_id, packed binary, decoded binary): the ids of every text as little-endian unsigned 32-bit
-    integers, and the bytes that these ids stand for. Both by one task; otherwise as ``encode`` and ``decode``."""
+    integers, and the bytes that these ids stand for. Both by one task; otherwise as ``encode`` and ``decode``. A worker
+    remembers about ``cache`` bytes of chunks and words, which saves time and changes no result."""
     shared = _shared(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, engine = _cutter(shared, path, pattern), _engine(shared, path)
+        cutter, engine = _cutter(shared, path, pattern, cache), _engine(shared, path)
         for batch in pieces(batches, limit=PIECE, holder="byte_bpe"):
             encoded = _encoded(cutter, batch.column(1))
             sizes = np.array([len(x) // 4 for x in encoded], np.int64)

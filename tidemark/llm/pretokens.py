@@ -16,26 +16,43 @@ import regex
 _GAP = re.compile(r"\s\s")
 
 
+ENTRY = 200  # bytes that an entry takes beside its text and value
+
+
 class Recent:
-    """Memory of bounded size: at ``limit`` entries the older generation is forgotten. What is forgotten
-    is worked out again, so that no result depends on it."""
+    """Memory of bounded size: at ``limit`` bytes the older generation is forgotten. What is forgotten
+    is worked out again, so that no result depends on it. Texts of over a hundredth of the limit are forgotten at once."""
 
     def __init__(self, limit: int) -> None:
         self.limit, self.new, self.old = limit, {}, {}
+        self.size, self.passing = 0, []
 
     def recall(self, keys: Iterable) -> list:
         """Those of the keys that are not known; the others are in ``new`` afterwards."""
-        found = []
+        found, before = [], len(self.new)
         for key in keys:
             if (value := self.old.get(key)) is None:
                 found.append(key)
             else:
                 self.new[key] = value
+        self.size += (len(self.new) - before) * (ENTRY + 20)  # of which most are short
         return found
 
+    def learn(self, keys: list, values: Iterable) -> None:
+        self.new.update(zip(keys, values, strict=True))
+        sizes = list(map(len, keys))
+        self.size += ENTRY * len(sizes) + 2 * sum(sizes)  # a value is about as long as its text
+        if max(sizes, default=0) > self.limit // 200:
+            passing = [k for k, n in zip(keys, sizes, strict=True) if n > self.limit // 200]
+            self.passing += passing
+            self.size -= sum(ENTRY + 2 * len(k) for k in passing)
+
     def age(self) -> None:
-        if len(self.new) >= self.limit:
-            self.old, self.new = self.new, {}
+        for key in self.passing:
+            self.new.pop(key, None)
+        self.passing = []
+        if self.size >= self.limit:
+            self.old, self.new, self.size = self.new, {}, 0
 
 
 class Cutter:
@@ -44,10 +61,11 @@ class Cutter:
     ``solve`` gets a list of distinct pre-tokens and returns a value for each; ``join`` makes one value of
     the values of a chunk's pre-tokens. Values are true."""
 
-    def __init__(self, pattern: str, solve: Callable, join: Callable, chunks: int = 50_000, words: int = 150_000) -> None:
+    def __init__(self, pattern: str, solve: Callable, join: Callable, cache: int = 80 << 20) -> None:
         self.pattern = regex.compile(pattern)
         self.solve, self.join = solve, join
-        self.chunks, self.words = Recent(chunks), Recent(words)
+        # two generations of each; a third for chunks
+        self.chunks, self.words = Recent(cache // 6), Recent(cache // 3)
 
     def _cut(self, chunk: str) -> list[str]:
         """The pre-tokens of a chunk behind a space. Letters alone, or with one mark behind, need no pattern."""
@@ -81,9 +99,9 @@ class Cutter:
         words = list(map(self._cut, fresh))
         need = {w for some in (words, heads) for ws in some for w in ws}
         new = self.words.recall(need.difference(self.words.new))
-        self.words.new.update(zip(new, self.solve(new), strict=True))
+        self.words.learn(new, self.solve(new))
         value, join = self.words.new.__getitem__, self.join
-        self.chunks.new.update((c, join(map(value, ws))) for c, ws in zip(fresh, words, strict=True))
+        self.chunks.learn(fresh, (join(map(value, ws)) for ws in words))
         take = self.chunks.new.__getitem__
         return [
             list(map(value, head)) + (list(map(take, chunks)) if known is None else known)

@@ -88,7 +88,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, as digests of both."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    found = byte_bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    found = byte_bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, cache=200 << 20)
     return found.select(
         "doc_id",
         (F.octet_length("packed") / 4).cast("bigint").alias("n_tokens"),
