@@ -36,7 +36,8 @@ def grams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     Every word has a space before and behind it; a text of several lines is one row of words."""
     words = [(t or b"").translate(LETTERS).split() for t in texts]
     counts = np.fromiter(map(len, words), np.int64, len(words))
-    joined = b" " + b"".join(w + b" " for some in words for w in some) + b" " * GRAM
+    # zeros part the texts, so that no n-gram reaches into the next
+    joined = b"".join(b" " + b" ".join(some) + b" " + bytes(GRAM) for some in words if some)
     x = np.frombuffer(joined, np.uint8).astype(np.uint32)
     n = len(x) - GRAM
     if n <= 1:
@@ -46,8 +47,9 @@ def grams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
         key = key << 8 | x[i : i + n]
     hashed = (key * np.uint32(2654435761)) >> np.uint32(32 - BUCKET_BITS)
     # the n-gram at i belongs to the word that i's character is of, or that follows the space at i
-    word = np.cumsum(x[:n] == 32) - 1
-    keep = word < counts.sum()
+    space, last = x[:n] == 32, x[1 : n + 1] == 0
+    word = np.cumsum(space & ~last) - 1
+    keep = (x[:n] != 0) & ~(space & last)
     return hashed[keep].astype(np.int64), word[keep], counts
 
 
@@ -108,21 +110,22 @@ def fit(docs: DataFrame, language: str = "lang", text_column: str = "text") -> M
 
 def _mixture(likelihood: np.ndarray, owner: np.ndarray, counts: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Proportions and log-likelihood of each text by expectation-maximisation. ``likelihood``: by word and
-    language, the best language of a word being 1; ``allowed``: by text and language."""
+    language, the best language of a word being 1; ``allowed``: by text and language. Each text stops when its own proportions
+    stand still, so that they do not depend on the texts beside it."""
     shares = allowed / allowed.sum(1, keepdims=True)
-    starts = np.cumsum(counts) - counts
-    going = np.arange(len(counts))
-    for step in range(STEPS + 1):
-        mixed = likelihood * shares[owner]
-        total = np.maximum(mixed.sum(1), 1e-300)
-        if step == STEPS or not len(going):
+    going, rows = np.arange(len(counts)), np.arange(len(owner))  # texts that still move, and their words
+    for _ in range(STEPS):
+        some = counts[going]
+        mixed = likelihood[rows] * shares[owner[rows]]
+        mixed /= np.maximum(mixed.sum(1), 1e-300)[:, None]
+        new = np.add.reduceat(mixed, np.cumsum(some) - some, axis=0) / some[:, None]
+        moves = np.abs(new - shares[going]).max(1) >= STILL
+        shares[going] = new
+        rows, going = rows[np.repeat(moves, some)], going[moves]
+        if not len(going):
             break
-        new = np.add.reduceat(mixed / total[:, None], starts, axis=0) / counts[:, None]
-        change = np.abs(new - shares).max()
-        shares = new
-        if change < STILL:
-            going = going[:0]
-    return shares, np.add.reduceat(np.log(total), starts)
+    total = np.maximum((likelihood * shares[owner]).sum(1), 1e-300)
+    return shares, np.add.reduceat(np.log(total), np.cumsum(counts) - counts)
 
 
 def infer(texts: list[bytes | None], model: Model) -> list[dict[str, float]]:
