@@ -38,6 +38,19 @@ def test_mixtures_and_texts_without_letters(spark, odd):
     assert [r["lang_pred"] for r in languages.predict(odd(["some text"]), nothing).collect()] == ["und"]
 
 
+def test_a_text_is_judged_by_itself(spark):
+    """Proportions do not depend on the texts in the same batch."""
+    draw = np.random.default_rng(4)
+    sets = [("en", "the and of with that this from"), ("es", "el los que para con una del"), ("de", "der die und nicht mit von ein")]
+    train = spark.createDataFrame([(i, lang, words * 20) for i, (lang, words) in enumerate(sets)], "doc_id bigint, lang string, text string")
+    model = languages.fit(train)
+    words = [w for _, some in sets for w in some.split()]
+    texts = [" ".join(draw.choice(words, size=draw.integers(1, 60))).encode() for _ in range(40)]
+    together = languages.infer(texts, model)
+    assert [languages.infer([t], model)[0] for t in texts] == together
+    assert any(len(x) > 1 for x in together)
+
+
 def test_proportions_maximise_the_likelihood():
     draw = np.random.default_rng(3)
     likelihood = draw.random((40, 3)) + 0.01
@@ -59,6 +72,16 @@ def test_quality_of_held_out_documents(spark, sf):
     assert np.mean([s >= 0.3 for s in good] + [s < 0.3 for s in bad]) > 0.95
 
 
+def test_a_sample_has_no_more_rows_than_ids(spark):
+    docs = spark.range(100_000).selectExpr("7L doc_id", "cast(concat('some words ', id % 3) as binary) text").union(
+        spark.range(3).selectExpr("id doc_id", "cast('other words' as binary) text")
+    )
+    ids = quality._sample(docs, 3)
+    assert quality._matrix(docs, ids).shape[0] == 3
+    again = quality._matrix(docs.repartition(5), ids)
+    assert sorted(map(bytes, again)) == sorted(map(bytes, quality._matrix(docs, ids)))
+
+
 def test_quality_of_odd_tables(spark, odd):
     docs = odd(["Some words, and more of them.", None, "", "%% %% %% %%", "a " * 50_000])
     labels = spark.createDataFrame([(0, 1), (0, 1), (None, 1), (1, None), (2, 0)], "doc_id bigint, quality int")

@@ -107,7 +107,9 @@ def _matrix(docs: DataFrame, ids: DataFrame) -> np.ndarray:
             rows = [features(t).tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["x"])
 
-    chosen = docs.join(F.broadcast(ids), "doc_id").select("text")  # ids of a bounded sample
+    # ids of a bounded sample, and of many rows of one id the one that comes first by a hash
+    chosen = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    chosen = chosen.select("text")
     rows = chosen.mapInArrow(run, "x binary").toArrow().column(0).to_pylist()
     return np.frombuffer(b"".join(rows), np.float32).reshape(-1, SIZE)
 
@@ -118,7 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, positives: int = PO
 
     It is fitted on at most ``positives`` and ``unlabelled`` documents, the first by a hash of the id; the
     prior is the share of label 1 among all allowed labels. Null labels and ids are left out, repeated labels count
-    once, a document with both labels counts for both. Without positives or documents the model
+    once, of several rows with one id one is learned from, a document with both labels counts for both. Without positives or documents the model
     scores every text alike.
     """
     texts = docs.select(F.col(id_column).alias("doc_id"), as_bytes(text_column).alias("text")).where(allowed)
