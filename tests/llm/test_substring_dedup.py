@@ -51,6 +51,16 @@ def test_repeated_rows_and_empty_tables(odd):
     assert substring_dedup.without_repeats(odd([])).count() == 0
 
 
+def test_a_row_repeated_very_often(spark):
+    """Under a null id; beside texts that share a part of it."""
+    words = [f"w{i}" for i in range(60)]
+    hot = spark.range(20_000).selectExpr("cast(null as bigint) doc_id", f"'{' '.join(words)}' text")
+    others = spark.createDataFrame([(1, " ".join(["x", *words[5:50], "y"])), (2, "alone " * 20), (3, " ".join(f"v{i}" for i in range(80)))], "doc_id bigint, text string")
+    rows = substring_dedup.without_repeats(hot.union(others)).select("doc.doc_id", "n_words", "n_removed").collect()
+    assert sorted({tuple(r) for r in rows if r[0]}) == [(1, 47, 45), (2, 20, 0), (3, 80, 0)]
+    assert {(r[1], r[2]) for r in rows if r[0] is None} == {(60, 60)} and len(rows) == 20_003
+
+
 def test_the_query_on_all_documents(spark, sf, documents):
     rows = {r["doc_id"]: r for r in queries.op5_substring_dedup(spark, sf).collect()}
     removed = 0

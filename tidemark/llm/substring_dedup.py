@@ -127,9 +127,10 @@ def repeated_windows(keyed: DataFrame, window: int) -> DataFrame:
     stage.drop(met, contexts)
     # one place stands for all that agree in everything; the others are compared with it
     asked = told.where(F.col("c").isNull() | (key == F.col("one")))
+    asked = asked.select(*KEYS, "name", "first", "n", "place").distinct()  # rows alike in id and text are one
     asked = stage.put(asked.groupBy(*KEYS).agg(F.collect_list(F.struct("name", "first", "n", "place")).alias("groups")), "asked")
     stage.drop(told)
-    texts = keyed.where(_filter(asked, "k1")).select("k1", "k2", "text")
+    texts = keyed.where(_filter(asked, "k1")).groupBy(*KEYS).agg(F.first("text").alias("text"))
     parts = stage.put(_parts(texts.join(asked, KEYS), window), "parts")
     stage.drop(asked)
     cores = stage.put(parts.groupBy("core").agg(F.count("*").alias("c")).where("c > 1").select("core"), "repeated-cores")
