@@ -13,6 +13,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +22,7 @@ from tidemark.llm.common import as_bytes, pieces, whole_rows
 from tidemark.llm.fm_index import FMIndex
 
 WINDOW = 10
-BLOCK_BYTES = 16 << 20  # of benchmark text that is sent to the tasks at once
+BLOCK_BYTES = 4 << 20  # of benchmark text whose windows, at about ten times its bytes, are sent to the tasks at once
 SHARD = 1 << 19  # symbols of an index
 
 # Letters and digits of ASCII and every byte of other characters make words; A-Z are lower-cased.
@@ -42,16 +43,20 @@ class Phrases:
         self.items = sorted({i for i, _ in items})
         number = {i: k for k, i in enumerate(self.items)}
         self.vocabulary: dict[bytes, int] = {}
-        rows: dict[tuple, set[int]] = {}
+        rows: dict[int, list[np.ndarray]] = {}
+        owners: dict[int, list[np.ndarray]] = {}
         for item, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
-            for i in range(max(1, len(ids) - window + 1) if ids else 0):
-                rows.setdefault(tuple(ids[i : i + window]), set()).add(number[item])
+            ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)], np.int32)
+            if len(ids):
+                length = min(window, len(ids))
+                rows.setdefault(length, []).append(sliding_window_view(ids, length))
+                owners.setdefault(length, []).append(np.full(len(ids) - length + 1, number[item], np.int32))
         self.by_length = []
-        for length in sorted({len(r) for r in rows}):
-            some = [r for r in rows if len(r) == length]
-            owners = [sorted(rows[r]) for r in some]
-            self.by_length.append((length, np.array(some, np.int64), np.cumsum([0, *map(len, owners)]), np.concatenate(owners)))
+        for length in sorted(rows):
+            distinct, which = np.unique(np.concatenate(rows.pop(length)), axis=0, return_inverse=True)
+            pairs = np.unique(which.astype(np.int64) << 32 | np.concatenate(owners.pop(length)))
+            first = np.searchsorted(pairs >> 32, np.arange(len(distinct) + 1))
+            self.by_length.append((length, distinct, first, (pairs & 0xFFFFFFFF).astype(np.int32)))
         self.shortest = min((x[0] for x in self.by_length), default=0)
         self.longest = max((x[0] for x in self.by_length), default=0)
 
