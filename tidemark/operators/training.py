@@ -21,7 +21,7 @@ from tidemark.operators.classification import positive_weight
 from tidemark.operators.encoding import FittedEncoder, fit_encoder, route_columns
 from tidemark.operators.features import add_features, derived_expressions, fit_median_charge
 from tidemark.operators.rules import check_params
-from tidemark.sources.scratch import written
+from tidemark.sources.scratch import shared_folder, written
 
 UNMAPPED = {
     "reg_alpha", "reg_lambda", "colsample_bylevel", "colsample_bynode", "max_delta_step", "tree_method",
@@ -93,6 +93,10 @@ class AttritionModel:
 
 def fit_classifier(df: DataFrame, label: str, params: Mapping[str, Any]) -> GBTClassificationModel:
     """Fit on a table with a ``features`` vector and a 0/1 label."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():  # noqa: SLF001
+        # the lineage of the boosted residuals is cut there every ten trees
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     weight = params.get("scale_pos_weight")
     weighted = with_weight(df, label, 1.0 if weight is None else weight)
     classifier = GBTClassifier(
