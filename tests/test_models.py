@@ -204,3 +204,15 @@ def test_full_run(spark, people, tmp_path):
     assert len(explained) == 50 and all(len(r.top_features) == 5 for r in explained)
     row = run.evaluation.first()
     assert row.n_samples == 400 and row.recall == pytest.approx(run.training_metrics["recall"])
+
+
+def test_text_that_cannot_be_read_is_refused_or_listed(spark):
+    rows = [("a", {"tenure_months": "3", "monthly_charges": " 2.5 ", "contract_type": "One year"}), ("b", {"tenure_months": "x3", "monthly_charges": ""}), ("c", {})]
+    df = spark.createDataFrame(rows, "customer_id string, features map<string,string>")
+    with pytest.raises(Exception, match="'tenure_months' cannot be read from 'x3'"):
+        scoring.records_from_maps(df).collect()
+    typed = {r.customer_id: (r.tenure_months, r.monthly_charges, r.contract_type) for r in scoring.records_from_maps(df, on_unreadable="null").collect()}
+    assert typed == {"a": (3, 2.5, "One year"), "b": (None, None, None), "c": (None, None, None)}
+    assert [tuple(r) for r in scoring.unreadable_records(df).collect()] == [("b", "tenure_months", "x3")]
+    with pytest.raises(ValueError, match="on_unreadable"):
+        scoring.records_from_maps(df, on_unreadable="skip")

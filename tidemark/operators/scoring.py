@@ -116,13 +116,39 @@ def records_table(spark: SparkSession, records: Sequence[Mapping[str, Any]]) ->
     return spark.createDataFrame(rows, type(settings.CUSTOMER_SCHEMA)(fields))
 
 
-def records_from_maps(df: DataFrame, id_column: str = settings.ID_COLUMN, map_column: str = "features") -> DataFrame:
-    """A table of (id, map of text features) as typed customer columns."""
-    fields = [f for f in settings.CUSTOMER_SCHEMA.fields if f.name in FEATURES]
-    return df.select(
-        F.col(id_column).alias(settings.ID_COLUMN),
-        *[F.col(map_column)[f.name].try_cast(f.dataType).alias(f.name) for f in fields],
-    )
+def _typed_record(map_column: str) -> list[tuple[str, Column, Column]]:
+    """(feature, its text or NULL where blank, its value or NULL where unreadable) for every feature."""
+    out = []
+    for f in settings.CUSTOMER_SCHEMA.fields:
+        if f.name in FEATURES:
+            text = F.nullif(F.trim(F.col(map_column)[f.name]), F.lit(""))
+            out.append((f.name, text, text.try_cast(f.dataType)))
+    return out
+
+
+def unreadable_records(df: DataFrame, id_column: str = settings.ID_COLUMN, map_column: str = "features") -> DataFrame:
+    """(customer_id, feature, text) for every feature whose text is not of the feature's type."""
+    wrong = [
+        F.when(text.isNotNull() & value.isNull(), F.struct(F.lit(name).alias("feature"), text.alias("text")))
+        for name, text, value in _typed_record(map_column)
+    ]
+    return df.select(F.col(id_column).alias(settings.ID_COLUMN), F.inline(F.array_compact(F.array(*wrong))))
+
+
+def records_from_maps(
+    df: DataFrame, id_column: str = settings.ID_COLUMN, map_column: str = "features", on_unreadable: str = "raise"
+) -> DataFrame:
+    """A table of (id, map of text features) as typed customer columns. Blank text is NULL. Text that is not of its feature's
+    type stops the query, or becomes NULL, and is imputed like a gap, with ``on_unreadable='null'``."""
+    if on_unreadable not in ("raise", "null"):
+        raise ValueError("on_unreadable must be 'raise' or 'null'")
+    columns = []
+    for name, text, value in _typed_record(map_column):
+        if on_unreadable == "raise":
+            message = F.concat(F.lit(f"Feature '{name}' cannot be read from '"), text, F.lit("'"))
+            value = F.when(text.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+        columns.append(value.alias(name))
+    return df.select(F.col(id_column).alias(settings.ID_COLUMN), *columns)
 
 
 def predict_one(spark: SparkSession, model: AttritionModel, record: Mapping[str, Any], version: str, **options) -> Any:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tidemark import settings
 from tidemark.operators.rules import ENUM_RULES, NUMERIC_RULES
-from tidemark.plans.queries import RANGES, THRESHOLDS, tried_values
+from tidemark.plans.queries import LIMIT, RANGES, STORED, THRESHOLDS, tried_values
 from tidemark.plans.testbed import ATTRIBUTION_WIDTH, ORDERS_CARD
 
 DERIVED = """
@@ -163,6 +163,18 @@ def _quoted(text: str | None) -> str:
     return "NULL" if text is None else "'" + text.replace("'", "''") + "'"
 
 
+def _stored_schemas() -> str:
+    """The errors from the engine's own description of the files. Types have Spark's names."""
+    kind = ("CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
+            "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date' ELSE lower(column_type) END")
+    parts = []
+    for t in STORED:
+        parts.append(f"SELECT '{t}' AS table_name, 'Missing required features: [''no_such_column'']' AS error UNION ALL SELECT '{t}', 'Missing target variable: no_label'")
+        parts.append(f"SELECT '{t}', 'Feature ''' || column_name || ''' must be numeric, got ' || {kind} FROM (DESCRIBE {t}) WHERE {kind} NOT IN ('bigint', 'int', 'double')")
+        parts.append(f"SELECT '{t}', 'Feature ''' || column_name || ''' must be categorical/string, got ' || {kind} FROM (DESCRIBE {t}) WHERE {kind} <> 'string'")
+    return " UNION ALL ".join(parts)
+
+
 def _rule_error(param: str) -> str:
     """What is wrong with ``value`` of the type ``kind``, as SQL of its own for every rule."""
     numeric = {r[0]: r for r in NUMERIC_RULES}
@@ -622,4 +634,13 @@ ORACLE: dict[str, str] = {
     "newest_logged": f"""WITH {LOG} SELECT prediction_id, strftime(prediction_timestamp, {MICRO}) AS predicted_at
       FROM resolved WHERE model_version = 'v_view' AND actual_outcome IS NULL ORDER BY prediction_timestamp DESC, prediction_id LIMIT 25""",
     "rule_violations_of_all": _all_rules(),
+    "stored_schemas": _stored_schemas(),
+    "batch_guard": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CASE WHEN count(*) > {LIMIT} THEN 'Batch size exceeds maximum {LIMIT}' END AS refusal FROM {t}" for t in STORED
+    ),
+    "unreadable_records": f"""WITH {CUSTOMERS} SELECT customer_id, 'tenure_months' AS feature, tenure_months || ' months' AS text FROM customers WHERE tenure_months % 5 = 0
+      UNION ALL SELECT customer_id, 'monthly_charges', 'n/a' FROM customers WHERE contract_type = 'BUILDING'""",
+    "registry_roundtrip": f"""WITH {CUSTOMERS}, n AS (SELECT count(*) AS n FROM customers)
+      SELECT 'v_a' AS version, '2024-01-01T00:00:00.000000' AS timestamp, n AS training_samples, true AS serves, true AS whole FROM n
+      UNION ALL SELECT 'v_b', '2024-01-04T00:00:00.000000', n + 3, false, true FROM n""",
 }

@@ -115,6 +115,45 @@ def schema_check(spark, sf):
     return spark.createDataFrame(rows, "table_name string, errors string")
 
 
+STORED = ("customer", "orders", "events", "documents", "labels", "lineitem", "conversations")
+LIMIT = 1000
+
+
+@query
+def stored_schemas(spark, sf):
+    """What the schema check says of the given files, column by column, when every column is to be numeric and a category."""
+    rows = []
+    for name in STORED:
+        given = spark.read.parquet(f"{sf}/{name}.parquet")
+        spec = validation.TableSpec(required=[*given.columns, "no_such_column"], numeric=given.columns, categorical=given.columns, target="no_label")
+        rows += [(name, error) for error in validation.schema_errors(given, spec, training=True)]
+    return spark.createDataFrame(rows, "table_name string, error string")
+
+
+@query
+def batch_guard(spark, sf):
+    """Which of the given tables a limit of 1000 rows refuses."""
+    rows = []
+    for name in STORED:
+        given = spark.read.parquet(f"{sf}/{name}.parquet")
+        try:
+            validation.check_max_rows(given, LIMIT)
+            rows.append((name, None))
+        except ValueError as refused:
+            rows.append((name, str(refused)))
+    return spark.createDataFrame(rows, "table_name string, refusal string")
+
+
+@query
+def unreadable_records(spark, sf):
+    """Records with texts for numbers: every feature that cannot be read."""
+    c = testbed.customers(spark, sf)
+    spoilt = F.when(F.col("tenure_months") % 5 == 0, F.concat(F.col("tenure_months").cast("string"), F.lit(" months"))).otherwise(F.col("tenure_months").cast("string"))
+    charges = F.when(F.col("contract_type") == "BUILDING", F.lit("n/a")).otherwise(F.col("monthly_charges").cast("string"))
+    features = F.create_map(F.lit("tenure_months"), spoilt, F.lit("monthly_charges"), charges)
+    return scoring.unreadable_records(c.select("customer_id", features.alias("features")))
+
+
 @query
 def range_report(spark, sf):
     return rounded(validation.range_report(testbed.customers(spark, sf), RANGES))
@@ -1160,6 +1199,24 @@ def model_importance_walked(spark, sf):
     return rounded(explanations.additivity_check(joined, "shap", "base_value", "margin", 1e-6))
 
 
+@query
+def registry_roundtrip(spark, sf):
+    """Three versions saved, one of them twice, one deployed and one deleted: what the registry lists, with metadata and serving version."""
+    models = registry.ModelRegistry(spark, f"{new_folder(spark, 'registry')}/models")
+    model = trained(spark, sf, SMALL).model
+    n = testbed.customers(spark, sf).count()
+    for i, version in enumerate(("v_a", "v_b", "v_c", "v_b")):
+        models.save(model, version, {"training_samples": n + i, "timestamp": f"2024-01-0{i + 1}T00:00:00.000000"})
+    models.deploy("v_a")
+    models.delete("v_c")
+    serving, loaded = models.load()
+    listed = models.versions()
+    own = F.get_json_object("document", "$.training_samples").cast("bigint").alias("training_samples")
+    return listed.select(
+        "version", "timestamp", own, (F.col("version") == F.lit(serving)).alias("serves"), F.lit(len(loaded.feature_names) == len(model.feature_names)).alias("whole")
+    )
+
+
 @query
 def model_streamed_predictions(spark, sf):
     """Customers scored and explained as a stream by the registry's serving version: for each, whether its row is that of the batch."""
