@@ -31,6 +31,16 @@ def test_ties_repeats_and_unusable_rows(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == brute_force(rows, lambda i: i % 7 == 0, 4)
 
 
+def test_unlike_vectors_of_one_id_are_rows_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(pivot_search, "BLOCK", 16)
+    draw = random.Random(6)
+    rows = sorted({(draw.randrange(20), tuple(draw.randint(-9, 9) for _ in range(2))) for _ in range(150)})
+    rows += [(0, (9, i)) for i in range(20, 60)]  # one id holds more than k of the best
+    table = spark.createDataFrame([(i, list(v)) for i, v in rows + rows[:30]], "vec_id bigint, vector array<bigint>")
+    got = pivot_search.nearest(table, F.col("vec_id") % 5 == 0, k=3)
+    assert sorted(map(tuple, got.collect())) == brute_force(rows, lambda i: i % 5 == 0, 3)
+
+
 def test_few_vectors_dimensions_and_large_numbers(spark):
     big = 3_000_000_000
     rows = [(0, [big, big]), (7, [big, -big + 1]), (14, [1]), (15, [2]), (21, []), (22, []), (28, [1, 2, 3])]

@@ -26,7 +26,6 @@ WIDTH = 1 / 32  # of an annulus, as a share of the longest vector
 BLOCK = 1024  # vectors in a block on average
 QUERIES = 256  # queries that meet a block at once
 EXACT = float(1 << 53)  # below which sums of products of integers are exact as doubles
-MOST_DIMENSIONS = 64  # different ones in a table, each of which has an index of its own
 
 
 def usable(vector: Column) -> Column:
@@ -70,9 +69,9 @@ class Index:
 
     def __init__(self, vectors: DataFrame, pivots: int = PIVOTS) -> None:
         self.reach = float(vectors.agg(F.max(F.sqrt(_square("vector")))).first()[0] or 0.0) * (1 + 1e-9) + 1.0
-        sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").collect()
+        sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(SAMPLE).select("vector").collect()
         self.pivots = self._spread(np.array([r[0] for r in sample], np.int64).reshape(len(sample), len(sample[0][0]) if sample else 0), pivots)
-        annuli = self._placed(vectors)
+        annuli = self._placed(vectors.select("vec_id", "vector"))
         counts = annuli.groupBy("pivot", "annulus").agg(F.count("*").alias("n"))
         blocks = staged(counts.withColumn("parts", F.ceil(F.col("n") / BLOCK).cast("int")).drop("n"), "annuli")
         part = F.pmod(F.xxhash64("vec_id", "vector"), "parts").cast("int")
@@ -106,7 +105,7 @@ class Index:
         return vectors.mapInArrow(run, "vec_id bigint, vector array<bigint>, pivot int, annulus int, distance double")
 
     def distances(self, queries: DataFrame) -> DataFrame:
-        """Rows (query_id, pivot, far): how far each query is from each pivot. A query has no length of its
+        """Rows (query, pivot, far): how far each query is from each pivot. A query has no length of its
         own to add, as it is only compared by products."""
         shared, reach = queries.sparkSession.sparkContext.broadcast(self.pivots), self.reach
 
@@ -116,40 +115,40 @@ class Index:
                 far = np.sqrt(np.maximum((q * q).sum(1)[:, None] + reach * reach - 2 * q @ p.T, 0.0))
                 n, m = far.shape
                 columns = np.repeat(np.asarray(batch.column(0)), m), np.tile(np.arange(m, dtype=np.int32), n), far.ravel()
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["query_id", "pivot", "far"])
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["query", "pivot", "far"])
 
-        return queries.select("query_id", "vector").mapInArrow(run, "query_id bigint, pivot int, far double")
+        return queries.select("query", "vector").mapInArrow(run, "query bigint, pivot int, far double")
 
 
 def _score(index: Index, visits: DataFrame, k: int) -> DataFrame:
-    """The k best vectors of every block for every query that visits it: (query_id, vec_id, score)."""
+    """The k best vectors of every block for every query that visits it: (query, query_id, vec_id, score)."""
     key = ["pivot", "annulus", "part"]
-    chunk = F.pmod(F.xxhash64("query_id"), F.greatest(F.lit(1), F.ceil(F.col("visitors") / QUERIES)).cast("int"))
+    chunk = F.pmod(F.xxhash64("query"), F.greatest(F.lit(1), F.ceil(F.col("visitors") / QUERIES)).cast("int"))
     visitors = staged(visits.groupBy(*key).agg(F.count("*").alias("visitors")), "visitors")
     asked = visits.join(visitors, key).groupBy(*key, chunk.alias("chunk"))
-    asked = asked.agg(F.collect_list(F.struct("query_id", "vector")).alias("asked"))
+    asked = asked.agg(F.collect_list(F.struct("query", "query_id", "vector")).alias("asked"))
     met = asked.join(index.blocks.select(*key, "rows"), key).select("asked", "rows")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 asked, rows = batch.column(0)[i].values, batch.column(1)[i].values
-                q, ids = np.asarray(asked.field("query_id")), np.asarray(rows.field("vec_id"))
+                query, q, ids = np.asarray(asked.field("query")), np.asarray(asked.field("query_id")), np.asarray(rows.field("vec_id"))
                 scores = _product(_matrix(asked.field("vector")), _matrix(rows.field("vector")))
                 order = np.argsort(ids, kind="stable")
                 ids, scores = ids[order], scores[:, order]
-                # one more than k, as the query itself may be among them
-                best = np.argsort(-scores, axis=1, kind="stable")[:, : k + 1]
-                owner = np.repeat(q, best.shape[1])
-                out = owner, ids[best.ravel()], np.take_along_axis(scores, best, 1).ravel()
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, out)), ["query_id", "vec_id", "score"])
+                own = q[:, None] == ids  # rows of the query's id, however many, come last
+                best = np.lexsort((np.broadcast_to(np.arange(len(ids)), scores.shape), -scores, own), axis=1)[:, :k]
+                told = ~np.take_along_axis(own, best, 1).ravel()
+                out = np.repeat(query, best.shape[1]), np.repeat(q, best.shape[1]), ids[best.ravel()], np.take_along_axis(scores, best, 1).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(x[told]) for x in out], ["query", "query_id", "vec_id", "score"])
 
-    return met.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint").where("query_id <> vec_id")
+    return met.mapInArrow(run, "query bigint, query_id bigint, vec_id bigint, score bigint")
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
     """The k highest scores of every query with their ranks, ties to the smaller id."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -157,16 +156,16 @@ def _search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """The k best of every query among vectors of one dimension."""
     index = Index(vectors)
     width, last = index.reach * WIDTH, int(2 / WIDTH) + 1
-    asked = staged(queries.select(F.col("vec_id").alias("query_id"), "vector", _square("vector").alias("square")), "queries")
+    asked = staged(queries.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"), "vector", _square("vector").alias("square")), "queries")
     far = staged(index.distances(asked), "distances")
-    best = vectors.sparkSession.createDataFrame([], "query_id bigint, vec_id bigint, score bigint, rank int")
+    best = vectors.sparkSession.createDataFrame([], "query bigint, query_id bigint, vec_id bigint, score bigint, rank int")
     before, radius = -1.0, width
     while True:
         # a query's k-th best so far bounds how far it need look; infinite while there are fewer
-        worst = best.groupBy("query_id").agg(F.min("score").alias("worst"), F.count("*").alias("found"))
+        worst = best.groupBy("query").agg(F.min("score").alias("worst"), F.count("*").alias("found"))
         least = F.sqrt(F.greatest(F.lit(0.0), F.col("square") + index.reach**2 - 2.0 * F.col("worst"))) * (1 + 1e-9) + 1e-3
         limit = F.when(F.col("found") >= k, least).otherwise(float("inf"))
-        going = asked.join(worst, "query_id", "left").select("query_id", "vector", limit.alias("limit"))
+        going = asked.join(worst, "query", "left").select("query", "query_id", "vector", limit.alias("limit"))
         going = staged(going.where(F.col("limit") > before), "open-queries")
         if going.isEmpty():
             return best
@@ -174,10 +173,10 @@ def _search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         now = F.least(F.col("limit"), F.lit(radius))
         reached = F.sequence(F.greatest(F.lit(0), F.least(F.lit(last), cell(now, -1))), F.least(F.lit(last), cell(now, 1)))
         seen = lambda a: F.lit(before >= 0) & (a >= cell(F.lit(before), -1)) & (a <= cell(F.lit(before), 1))
-        visits = far.join(going, "query_id").withColumn("annulus", F.explode(F.filter(reached, lambda a: ~seen(a))))
+        visits = far.join(going, "query").withColumn("annulus", F.explode(F.filter(reached, lambda a: ~seen(a))))
         bound = F.greatest(F.col("far") - F.col("high"), F.col("low") - F.col("far"))
         visits = visits.join(index.blocks.select("pivot", "annulus", "part", "low", "high"), ["pivot", "annulus"])
-        visits = visits.where(bound <= F.col("limit")).select("query_id", "vector", "pivot", "annulus", "part")
+        visits = visits.where(bound <= F.col("limit")).select("query", "query_id", "vector", "pivot", "annulus", "part")
         visits = staged(visits, "visits")
         best = staged(_top(best.drop("rank").union(_score(index, visits, k)), k), "best")
         if radius > 2 * index.reach + 2 * width:
@@ -193,17 +192,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_column: str =
     """Rows (query_id, rank, vec_id, score): for every vector that ``is_query`` holds for (an expression of
     vec_id), the k others of highest integer inner product; all, if there are fewer. Ties go to the smaller id.
 
-    Vectors are arrays of integers. Rows with a null id, vector or component take no part. Of rows with one id the
-    smallest vector counts. Vectors of different dimensions do not meet. Repeated vectors under other ids
-    are vectors like any other. An empty table gives no rows.
+    Vectors are arrays of integers. Rows with a null id, vector or component take no part. Rows alike in id and vector count once;
+    unlike vectors of one id are rows of their own, as candidates and as queries, and none is a candidate of its id's queries. Vectors of
+    different dimensions do not meet. Repeated vectors under other ids are vectors like any other. An empty table gives no rows.
     """
     given = vectors.select(F.col(id_column).cast("bigint").alias("vec_id"), F.col(vector_column).cast("array<bigint>").alias("vector"))
     given = given.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull()))
-    given = staged(given.groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
-    sizes = [r[0] for r in given.select(F.size("vector").alias("d")).distinct().orderBy("d").limit(MOST_DIMENSIONS + 1).collect()]
-    if len(sizes) > MOST_DIMENSIONS:
-        raise ValueError("vectors of too many different dimensions")
-    found = [given.sparkSession.createDataFrame([], "query_id bigint, vec_id bigint, score bigint, rank int")]
+    given = staged(given.distinct().withColumn("row", F.xxhash64("vec_id", "vector")), "vectors")
+    sizes = [r[0] for r in given.select(F.size("vector").alias("d")).distinct().orderBy("d").collect()]  # an index for each
+    found = [given.sparkSession.createDataFrame([], "query bigint, query_id bigint, vec_id bigint, score bigint, rank int")]
     for size in sizes:
         some = given.where(F.size("vector") == size)
         found.append(_search(some, some.where(is_query), k))
