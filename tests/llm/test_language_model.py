@@ -9,15 +9,22 @@ from tidemark.llm import language_model, queries
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def brute_force(texts):
-    cut = [re.findall("[^\x20\x09-\x0d]+", (t or "").translate(LOWER)) for t in texts]
-    words = collections.Counter(w for some in cut for w in some)
-    pairs = collections.Counter(p for some in cut for p in zip(some, some[1:], strict=False))
+def cut_up(texts):
+    return [re.findall("[^\x20\x09-\x0d]+", (t or "").translate(LOWER)) for t in texts]
+
+
+def brute_force(texts, corpus=None):
+    cut = cut_up(texts)
+    counted = cut if corpus is None else cut_up(corpus)
+    words = collections.Counter(w for some in counted for w in some)
+    for w in {w for some in cut for w in some} - set(words):
+        words[w] = 1
+    pairs = collections.Counter(p for some in counted for p in zip(some, some[1:], strict=False))
     total, out = words.total(), []
     for some in cut:
         score = 0.0
         for i, w in enumerate(some):
-            if i and pairs[some[i - 1], w] >= 2:
+            if i and pairs[some[i - 1], w]:
                 score += math.log(pairs[some[i - 1], w] / words[some[i - 1]])
             else:
                 score += math.log((0.4 if i else 1) * words[w] / total)
@@ -33,6 +40,16 @@ def test_small_cases(odd, monkeypatch, hot):
     assert sorted((r["n_words"], round(r["log_score"], 6)) for r in rows) == sorted(brute_force(texts))
 
 
+@pytest.mark.parametrize("hot", [100_000, 2, 0])
+def test_texts_under_the_counts_of_another_corpus(odd, monkeypatch, hot):
+    """Pairs that the corpus lacks back off, also to words that it lacks."""
+    monkeypatch.setattr(language_model, "HOT", hot)
+    corpus = ["a b a b c", "b c b", None, "x", "c d"]
+    texts = ["a b c", "b a d", "new a b", "", None, "c c c c", "new new", "x"]
+    rows = language_model.log_scores(odd(texts, ids=list(range(8))), corpus=odd(corpus)).collect()
+    assert sorted((r["n_words"], round(r["log_score"], 6)) for r in rows) == sorted(brute_force(texts, corpus))
+
+
 def test_empty_table(odd):
     assert language_model.log_scores(odd([])).count() == 0
 
@@ -47,4 +64,4 @@ def test_the_query_on_all_documents(spark, sf, documents, monkeypatch, hot):
 
 def test_counts(odd):
     rows = language_model.count_table(odd(["a b a b", "a b", "c"])).collect()
-    assert sorted((r["pair"], r["n"]) for r in rows) == [(False, 1), (False, 3), (False, 3), (True, 3)]
+    assert sorted((r["pair"], r["n"]) for r in rows) == [(False, 1), (False, 3), (False, 3), (True, 1), (True, 3)]

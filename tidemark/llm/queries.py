@@ -185,7 +185,7 @@ ORACLE = {
       words AS (SELECT doc_id, i, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS u FROM cut, unnest(range(1, len(ws) + 1)) t(i)),
       c1 AS (SELECT w, count(*) AS n FROM words GROUP BY w),
       c2 AS (SELECT u, w, count(*) AS n FROM words WHERE u IS NOT NULL GROUP BY u, w),
-      scored AS (SELECT doc_id, CASE WHEN c2.n >= 2 THEN ln(c2.n / cu.n)
+      scored AS (SELECT doc_id, CASE WHEN c2.n IS NOT NULL THEN ln(c2.n / cu.n)
           ELSE ln(CASE WHEN words.u IS NULL THEN 1e0 ELSE 0.4e0 END * cw.n / (SELECT count(*) FROM words)) END AS s
         FROM words JOIN c1 cw ON cw.w = words.w LEFT JOIN c1 cu ON cu.w = words.u
         LEFT JOIN c2 ON c2.u = words.u AND c2.w = words.w),
