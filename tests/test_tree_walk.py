@@ -55,3 +55,17 @@ def test_gains_are_shares_of_all_splits(spark):
     assert got == pytest.approx({k: v / 240.0 for k, v in covers.items()})
     leaf = nodes.where(F.col("node") == 3).withColumn("node", F.lit(0))
     assert {r.importance for r in tree_walk.gains(leaf, ["a"]).collect()} == {0.0}
+
+
+def test_sums_are_added_up_without_a_sort(spark):
+    """Fails where the row is a value of the aggregation, which sorts all steps of all trees."""
+    nodes = spark.createDataFrame(node_rows(0, 1.0, TREE), NODES)
+    schema = "id string, feature_values array<double>, small float, inner struct<x: double, y: array<float>>"
+    odd = [float("nan"), float("inf"), -0.0, 0.1 + 0.2]
+    data = [("a", odd, 0.1, (5e-324, [0.1, None])), ("a", [1.0, None, 0.0, 9.0], None, None), (None, [0.0, 1.0, 0.0, 9.0], 1.5, (None, None))]
+    rows = spark.createDataFrame(data, schema)
+    walked = tree_walk.walk(rows, nodes, 3)
+    plan = walked._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Sort [" not in plan and "HashAggregate" in plan
+    assert sorted(map(repr, walked.select(*rows.columns).collect())) == sorted(map(repr, rows.collect()))
+    assert tree_walk.walk(rows, nodes, 3, keep=["id"]).columns == ["id", "walked_margin", "walked_probability"]
