@@ -21,3 +21,11 @@ def test_the_model_has_the_default_size(spark):
 def test_two_versions_are_compared(spark):
     rows = queries.model_evaluation(spark, SF).collect()
     assert {r["model_version"] for r in rows} == {"v_1", "v_2"}
+
+
+def test_training_and_scoring_do_not_aggregate_the_orders_again(spark):
+    """Fails where the split and every query work out the customers anew, up to five times each."""
+    rows = queries._parts(spark, SF)
+    plans = [df._jdf.queryExecution().toString() for df in rows]
+    assert all("customers-" in p and "orders.parquet" not in p for p in plans)
+    assert sum(r.count() for r in rows) == queries.testbed.customers(spark, SF).count()
