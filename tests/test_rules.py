@@ -2,6 +2,7 @@ import pytest
 
 from tidemark.errors import ParameterError
 from tidemark.operators import rules
+from tidemark.plans import queries
 
 CASES = [
     ({"learning_rate": 0.1, "max_depth": 6, "n_estimators": 100}, 0),
@@ -67,3 +68,11 @@ def test_rule_join_broadcasts_the_rules(spark):
     configs = rules.to_long(spark, {"a": {"gamma": 1}})
     plan = rules.rule_violations(configs)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_choices_and_texts_are_not_made_anew_for_every_row(spark):
+    """Fails where the values to try are one expression of every order, and the text of an error is made to see whether there is one."""
+    plan = queries.rule_violations_of_all(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "format_string" not in plan
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert not any("Expected" in line or "Invalid value" in line for line in filters)
