@@ -6,13 +6,19 @@ them, and only meet inside shards. A shard is cut into blocks of bounded size; f
 of one (children keyed by their integer Hamming distance to the parent) is searched for the members of the
 other, following only edges within the radius. A search leaves a spanning star of what it linked, not all
 pairs. The trees are built where their shard lies, instead of being sent to every task.
+
+``proposals`` links sets by wide fingerprints, for a similarity at which 64 bits tell too little and an exact check follows.
+A fingerprint has 64 bits for each of several hashes of a shingle. Its bits are cut into bands, a shard is what agrees on one
+band, and in a shard fingerprints are compared by their first ``COMPARED`` words. At that radius a BK-tree excludes
+next to nothing, so that blocks are compared pair by pair.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations
-from math import ceil
+from math import ceil, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +26,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes, pieces, schema, staged
+from tidemark.llm.common import Staging, as_bytes, pieces, schema, staged
 from tidemark.llm.components import connected
+from tidemark.llm.recompression import mixed
 
 SEED = 42
 BLOCK = 512  # fingerprints in a block on average
@@ -29,6 +36,14 @@ SHARD = 4096  # expected fingerprints in a shard, above which more bands are use
 WORK = 400_000  # pairs of tree node and query at most that a vectorised search may hold
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 ROWS = 65_536  # shingles whose bits are counted at once
+# Wide fingerprints. Sets of Jaccard similarity 0.8 differ in a bit with probability 0.1515 if both are large, else 0.1611 at the
+# most, but 0.1875 for 4 of 5 shingles; with these figures they are missed with probability 3e-6, 4e-5 and 1.4e-4.
+APART, MISSED = 0.1875, 5e-5
+COMPARED, RADIUS, FIRST_RADIUS = 8, 117, 25  # words compared, bits of them that may differ, and bits of the first
+SMALL, SMALL_RADIUS = 5, 131  # two sets of at most so many hashes may differ in more bits
+WAVE = 48  # bands that are dealt into shards at once
+WIDE_BLOCK = 2048  # wide fingerprints in a block on average
+QUERIES = 256  # of a block compared with the other at once
 
 
 def fingerprint(text: bytes | None, shingle: int) -> int:
@@ -197,3 +212,97 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, id_colum
 
 def hexadecimal(fingerprint_column: str) -> Column:
     return F.lower(F.lpad(F.hex(fingerprint_column), 16, "0"))
+
+
+def layout(n: int) -> tuple[int, int]:
+    """Bits of a band, and the number of bands, for ``n`` sets: bands as wide as keep the expected shard small, and as many as
+    find a pair at the least similarity."""
+    bits = 8
+    while n >> bits > SHARD and bits < 16:
+        bits += 1
+    return bits, ceil(log(MISSED) / log1p(-((1 - APART) ** bits)))
+
+
+def wide_fingerprints(sets: list[np.ndarray], words: int) -> np.ndarray:
+    """A row of ``words`` times 64 bits for every set of hashes: a bit is set if it is set in over half of the members'
+    hashes of its word. The empty set has zeros."""
+    out = np.zeros((len(sets), words), np.uint64)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    some = np.flatnonzero(sizes)
+    if not len(some):
+        return out
+    every = np.concatenate([sets[i] for i in some])
+    # at most 255 members are counted in the eight octets of an integer, a bit of each octet at a time
+    parts = -(-sizes[some] // 255)
+    first = np.cumsum(parts) - parts
+    start = np.repeat(np.cumsum(sizes[some]) - sizes[some], parts) + 255 * (np.arange(parts.sum()) - np.repeat(first, parts))
+    lanes = np.uint64(0x0101010101010101)
+    for w in range(words):
+        hashes = mixed(every ^ mixed(np.full(1, SEED + w, np.uint64)))
+        counts = np.stack([np.add.reduceat((hashes >> np.uint64(b)) & lanes, start).view(np.uint8).reshape(-1, 8) for b in range(8)], axis=2)
+        counts = np.add.reduceat(counts.astype(np.int64), first, axis=0)  # by octet and bit
+        ones = 2 * counts.reshape(-1, 64) > sizes[some, None]
+        out[some, w] = np.packbits(ones, axis=1, bitorder="little").view(np.uint64)[:, 0]
+    return out
+
+
+def wide_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index pairs of fingerprints (rows of ``COMPARED`` words) at most ``SMALL_RADIUS`` apart, and by how many bits."""
+    first = np.bitwise_count(left[:, 0, None] ^ right[:, 0])
+    a, b = np.nonzero(first <= FIRST_RADIUS)
+    rest = np.bitwise_count(left[a, 1:] ^ right[b, 1:]).sum(axis=1, dtype=np.int64)
+    distance = rest + first[a, b]
+    near = distance <= SMALL_RADIUS
+    return a[near], b[near], distance[near]
+
+
+def proposals(texts: DataFrame, members: Callable[[bytes | None], np.ndarray]) -> DataFrame:
+    """Rows (u, v), staged, that connect the nodes of (node bigint, text binary) that a chain of pairs within the radius
+    connects, which share a band. ``members`` gives the set of hashes of a text."""
+    bits, bands = layout(texts.count())
+    words = max(COMPARED, ceil(bands / (64 // bits)))
+    stage = Staging(texts.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            sets = [members(t) for t in batch.column(1).to_pylist()]
+            found = wide_fingerprints(sets, words).view(np.int64)
+            small = pa.array([len(s) <= SMALL for s in sets], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), small, *(pa.array(c) for c in found.T)], ["node", "small", *names])
+
+    names = [f"w{k}" for k in range(words)]
+    marked = stage.put(texts.mapInArrow(run, ", ".join(["node bigint, small boolean", *(f"{c} bigint" for c in names)])), "wide-fingerprints")
+    low = F.lit((1 << bits) - 1).cast("bigint")
+    values = [F.shiftrightunsigned(c, b * bits).bitwiseAND(low) for c in names for b in range(64 // bits)]
+    keys = [F.lit(k << 16).cast("bigint") + value for k, value in enumerate(values[:bands])]
+    carried = ["node", "small", *names[:COMPARED]]
+    # which side of the pair of blocks: 0 first, 1 second, 2 both
+    side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side")
+    pair = [F.col("shard"), F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")]
+
+    def search(held: pa.Table) -> pa.Table:
+        node, side, small = (held[c].to_numpy() for c in ("node", "side", "small"))
+        values = np.stack([held[c].to_numpy().view(np.uint64) for c in names[:COMPARED]], axis=1)
+        a, b = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        ends = [np.zeros((2, 0), np.int64)]
+        for at in range(0, len(a), QUERIES):  # only a star of every part is kept, not its pairs
+            x, y, distance = wide_pairs(values[a[at : at + QUERIES]], values[b])
+            x, y = a[at + x], b[y]
+            near = (x != y) & ((distance <= RADIUS) | (small[x] & small[y]))
+            ends.append(np.stack(_stars(node, x[near], y[near])))
+        u, v = np.concatenate(ends, axis=1)
+        u, v = _stars(np.r_[u, v], np.arange(len(u)), len(u) + np.arange(len(u)))
+        return pa.table({"u": u, "v": v})
+
+    found = []
+    for at in range(0, len(keys), WAVE):  # one after the other, so that the exchange stays small beside the texts
+        dealt = marked.select(*carried, F.explode(F.array(*keys[at : at + WAVE])).alias("shard"))
+        sizes = stage.put(dealt.groupBy("shard").agg(F.count("*").alias("size")).where("size > 1"), "wide-shards")
+        placed = dealt.join(sizes.select("shard", F.ceil(F.col("size") / WIDE_BLOCK).cast("int").alias("blocks")), "shard")
+        placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+        placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        grouped = placed.select(*pair, side, *carried).groupBy("shard", "lo", "hi")
+        found.append(staged(grouped.applyInArrow(search, "u bigint, v bigint").distinct(), "proposals"))
+        stage.drop(sizes)
+    stage.drop(marked)
+    return reduce(DataFrame.union, found)
