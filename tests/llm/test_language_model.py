@@ -65,3 +65,27 @@ def test_the_query_on_all_documents(spark, sf, documents, monkeypatch, hot):
 def test_counts(odd):
     rows = language_model.count_table(odd(["a b a b", "a b", "c"])).collect()
     assert sorted((r["pair"], r["n"]) for r in rows) == [(False, 1), (False, 3), (False, 3), (True, 1), (True, 3)]
+
+
+def test_parts_are_exchanged_apart(spark, odd, monkeypatch):
+    """What one exchange holds is a part of the n-grams, and the parts together are every n-gram once."""
+    docs = odd([" ".join(f"w{(i * k) % 97}" for k in range(60)) for i in range(1, 40)], ids=list(range(39)))
+    monkeypatch.setattr(language_model, "HOT", 2)
+    keyed = docs.selectExpr("doc_id AS k1", "doc_id AS k2", "CAST(text AS BINARY) AS text")
+    shared, total = language_model._shared(language_model.count_table(docs, least=2))
+
+    def rows(parts):
+        return [[tuple(r) for r in language_model._needed(keyed, shared, total, p, parts).collect()] for p in range(parts)]
+
+    (whole,), several = rows(1), rows(3)
+    assert sorted(sum(several, [])) == sorted(whole)
+    assert all(0.2 < len(p) / len(whole) < 0.5 for p in several)
+
+
+@pytest.mark.parametrize("parts", [1, 2, 5])
+def test_any_number_of_parts_gives_the_same(odd, monkeypatch, parts):
+    monkeypatch.setattr(language_model, "HOT", 1)
+    monkeypatch.setattr(language_model, "PARTS", parts)
+    texts = [None, "", "a b a b A B", "a b", "q", "q r s", "É a b é A\tb", "z " * 300]
+    rows = language_model.log_scores(odd(texts, ids=list(range(8)))).collect()
+    assert sorted((r["n_words"], round(r["log_score"], 6)) for r in rows) == sorted(brute_force(texts))

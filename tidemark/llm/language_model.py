@@ -9,12 +9,14 @@ says 1. Under the counts of another corpus absence says that a pair is unseen, a
 off; a pair in the table adds what it makes better.
 
 Two things keep the exchange small, neither of which changes a result: the counts of the most frequent n-grams
-go to every task (a table of fixed size), and a filter of fixed size tells most pairs that are not in the table.
+go to every task (a table of fixed size), and a filter of fixed size tells most pairs that are not in the table. Under the texts' own
+counts the n-grams are exchanged in ``PARTS`` parts by hash, one after the other, so that no more than a part is on disk at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,7 @@ from tidemark.llm.substring_dedup import key_bits
 BACKOFF = 0.4
 HOT = 50_000  # most frequent words, and as many pairs, whose counts every task gets
 FILTER_BITS = 25
+PARTS = 2  # of the n-grams, exchanged one after the other
 COUNTS = "h bigint, pair boolean, n bigint"
 NEEDED = "h bigint, k1 bigint, k2 bigint, n int, value double"
 ASKED = "h bigint, k1 bigint, k2 bigint, n int, value double, u bigint, w bigint"
@@ -92,10 +95,15 @@ def _may_be(bits: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     return (pairs != 0) & ((bits[place >> np.uint64(5)] >> (pairs & np.uint64(31)).astype(np.uint32)) & np.uint32(1)).astype(bool)
 
 
-def _needed(keyed: DataFrame, counts: DataFrame) -> DataFrame:
-    """Rows NEEDED under the texts' own counts: a text's score is the sum of n * log(count of h) + value, the count being 1 where the
-    table has none. A text with words has one row with its value, under a key that no n-gram has."""
-    shared, total = _shared(counts)
+def _of_part(hashes: np.ndarray, part: int, parts: int) -> np.ndarray:
+    """Whether n-grams are of a part."""
+    return (hashes >> np.uint64(32)) % np.uint64(parts) == part
+
+
+def _needed(keyed: DataFrame, shared: Broadcast, total: float, part: int, parts: int) -> DataFrame:
+    """Rows NEEDED under the texts' own counts, for the n-grams of a part: a text's score is the sum of n * log(count of h) + value over
+    all parts, the count being 1 where the table has none. In the first part a text with words has one row with its value, under a
+    key of its own, whose count is not asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, frequent_pairs, bits = shared.value
@@ -111,7 +119,9 @@ def _needed(keyed: DataFrame, counts: DataFrame) -> DataFrame:
             base = np.where(first, np.nan_to_num(known) - np.log(total), np.where(maybe, np.nan_to_num(both), 0.0) - np.nan_to_num(before))
             ends = np.flatnonzero(sizes)
             base = np.add.reduceat(base, (np.cumsum(sizes) - sizes)[ends])
-            plus, minus, ask = first & np.isnan(known), ~first & np.isnan(before), maybe & np.isnan(both)
+            here = _of_part(words, part, parts)
+            plus, minus = first & np.isnan(known) & here, ~first & np.isnan(before) & np.r_[False, here[:-1]]
+            ask = maybe & np.isnan(both) & _of_part(pairs, part, parts)
             h = np.concatenate([words[plus], previous[minus], pairs[ask]])
             owner = np.concatenate([text[plus], text[minus], text[ask]])
             n = np.concatenate([np.ones(plus.sum()), -np.ones(minus.sum()), np.ones(ask.sum())]).astype(np.int32)
@@ -120,6 +130,8 @@ def _needed(keyed: DataFrame, counts: DataFrame) -> DataFrame:
                 h, owner, n = h[order], owner[order], n[order]
                 start = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])])
                 h, owner, n = h[start], owner[start], np.add.reduceat(n, start).astype(np.int32)
+            if part:
+                ends, base = ends[:0], base[:0]
             k1, k2 = (np.asarray(batch.column(i)) for i in (0, 1))
             columns = [np.r_[k1[ends], h.view(np.int64)], np.r_[k1[ends], k1[owner]], np.r_[k2[ends], k2[owner]]]
             columns += [np.r_[np.zeros(len(ends), np.int32), n], np.r_[base, np.zeros(len(h))]]
@@ -176,12 +188,16 @@ def _asked(keyed: DataFrame, counts: DataFrame, backoff: float) -> DataFrame:
 def _own_scores(stage: Staging, keyed: DataFrame, docs: DataFrame, text_column: str) -> DataFrame:
     """Rows (k1, k2, value) under the texts' own counts."""
     counts = stage.put(count_table(docs, text_column, least=2), "counts")
-    table = counts.select("h", F.ln("n").alias("log_n"))
-    joined = _needed(keyed, counts).join(table, "h", "left")
+    shared, total = _shared(counts)
     value = F.sum(F.col("n") * F.coalesce("log_n", F.lit(0.0)) + F.col("value")).alias("value")
-    total = stage.put(joined.groupBy("k1", "k2").agg(value), "sums")
-    stage.drop(counts)
-    return total
+    sums = []
+    for part in range(PARTS):
+        table = counts.where(F.pmod(F.shiftrightunsigned("h", 32), F.lit(PARTS)) == part).select("h", F.ln("n").alias("log_n"))
+        joined = _needed(keyed, shared, total, part, PARTS).join(table, "h", "left")
+        sums.append(stage.put(joined.groupBy("k1", "k2").agg(value), "sums"))
+    totals = stage.put(reduce(DataFrame.union, sums).groupBy("k1", "k2").agg(F.sum("value").alias("value")), "totals")
+    stage.drop(counts, *sums)
+    return totals
 
 
 def _scores_under(stage: Staging, keyed: DataFrame, corpus: DataFrame, backoff: float, text_column: str) -> DataFrame:
