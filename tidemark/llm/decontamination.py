@@ -14,11 +14,11 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.llm.common import as_bytes, pieces, whole_rows
+from tidemark.llm.common import as_bytes, pieces, schema, whole_rows
 from tidemark.llm.fm_index import FMIndex
 
 WINDOW = 10
@@ -30,6 +30,7 @@ SPACED = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
 FOUND = "n_words bigint, spans array<struct<first: bigint, last: bigint>>, item_ids array<string>"
+SPANS = pa.list_(pa.struct({"first": pa.int64(), "last": pa.int64()}))
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -131,6 +132,32 @@ def _blocks(benchmark: DataFrame, item_column: str, text_column: str) -> list[Da
     return [items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i) for i in range(n)]
 
 
+def _shared_phrases(benchmark: DataFrame, window: int, item_column: str, text_column: str) -> list[Broadcast]:
+    """The phrases of every block of items, whose size is bounded."""
+    shared = []
+    for block in _blocks(benchmark, item_column, text_column):
+        rows = [(r["item"], bytes(r["text"])) for r in block.collect()]
+        shared.append(benchmark.sparkSession.sparkContext.broadcast(Phrases(rows, window)))
+    return shared
+
+
+def _found(texts: list[bytes | None], blocks: list[Broadcast]) -> tuple[np.ndarray, list[list[dict]], list[list[str]]]:
+    """For each text its number of words, its spans of hit words and the items found, over all blocks. One step of
+    Python does all: steps in a row would each take a task a worker, which an executor then keeps."""
+    every, items = None, [set() for _ in texts]
+    for phrases in blocks:
+        sizes, hit, pairs = _occurrences(texts, phrases.value)
+        every = hit if every is None else every | hit
+        for doc, item in pairs.tolist():
+            items[doc].add(phrases.value.items[item])
+    spans, start = [], 0
+    for n in sizes.tolist():
+        own = every[start : start + n]
+        spans.append([{"first": a, "last": b} for a, b in _spans(own)] if own.any() else [])
+        start += n + 1
+    return sizes, spans, list(map(sorted, items))
+
+
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text") -> DataFrame:
     """All columns of ``docs`` in a struct ``doc``, with n_words, the spans of hit words (numbers of the
     first and last word, from 0) and the ids of the items found, as text.
@@ -139,46 +166,34 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_column:
     fewer words than a window matches as a whole. Repeated rows of either table do no harm: documents give
     a row each, items count once. An empty benchmark hits nothing.
     """
-    out = docs.select(whole_rows(docs).alias("doc"), as_bytes(text_column).alias("text"))
-    out = out.select("doc", "text", *(F.lit(None).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(FOUND).fields))
-    for block in _blocks(benchmark, item_column, item_text_column):
-        rows = [(r["item"], bytes(r["text"])) for r in block.collect()]  # of a block, whose size is bounded
-        phrases = docs.sparkSession.sparkContext.broadcast(Phrases(rows, window))
-
-        def run(batches: Iterator[pa.RecordBatch], phrases=phrases) -> Iterator[pa.RecordBatch]:
-            for batch in pieces(batches):
-                sizes, hit, pairs = _occurrences(batch.column(1).to_pylist(), phrases.value)
-                items = [set(x or ()) for x in batch.column(4).to_pylist()]
-                for doc, item in pairs.tolist():
-                    items[doc].add(phrases.value.items[item])
-                spans, start = [], 0
-                for n, old in zip(sizes.tolist(), batch.column(3).to_pylist(), strict=True):
-                    own = hit[start : start + n].copy()
-                    for s in old or ():
-                        own[s["first"] : s["last"] + 1] = True
-                    spans.append([{"first": a, "last": b} for a, b in _spans(own)] if own.any() else [])
-                    start += n + 1
-                columns = [pa.array(sizes), pa.array(spans, batch.schema.field(3).type), pa.array(list(map(sorted, items)), pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], batch.schema.names)
-
-        out = out.mapInArrow(run, out.schema)
-    return out.drop("text")
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_column: str = "text", **names: str) -> DataFrame:
+    blocks = _shared_phrases(benchmark, window, item_column, item_text_column)
+    given = docs.select(whole_rows(docs).alias("doc"), as_bytes(text_column).alias("text"))
+    out = schema(given, FOUND, "doc")
+    names = out.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            sizes, spans, items = _found(batch.column(1).to_pylist(), blocks)
+            columns = [pa.array(sizes), pa.array(spans, SPANS), pa.array(items, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
+
+    return given.mapInArrow(run, out)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text") -> DataFrame:
     """``docs`` with the hit words taken out of the text: a span goes from its first word's first byte to its
     last word's last byte. Texts without a hit stay as they are, byte for byte. Lower columns are untouched."""
-    found = find(docs, benchmark, window, text_column=text_column, **names)
-    held = found.select(F.col(f"doc.`{text_column}`").alias("text"), "spans", "doc")
+    blocks = _shared_phrases(benchmark, window, item_column, item_text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text=0):
-            texts = []
-            for text, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                texts.append(_without(text.encode(), spans).decode() if spans else text)
-            yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field(0).type), batch.column(2)], ["text", "doc"])
-
-    cleaned = held.mapInArrow(run, held.select("text", "doc").schema)
+        for batch in pieces(batches):
+            texts = batch.column(1).to_pylist()
+            _, spans, _ = _found(texts, blocks)
+            texts = [_without(text, own) if own else text for text, own in zip(texts, spans, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()).cast(pa.string())], ["doc", "text"])
+
+    given = docs.select(whole_rows(docs).alias("doc"), as_bytes(text_column).alias("text"))
+    cleaned = given.mapInArrow(run, schema(given, "text string", "doc"))
     return cleaned.select(*(F.col("text" if c == text_column else f"doc.`{c}`").alias(c) for c in docs.columns))
 
 

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,15 +99,21 @@ def key_bits(keys: DataFrame, key: str, size: int = FILTER_BITS) -> np.ndarray:
     return bits
 
 
-def _filter(keys: DataFrame, key: str) -> Column:
-    """Whether the column may be one of the keys, which are hashes. Wrong only by saying yes too often; what it
-    lets pass is joined."""
-    shared = keys.sparkSession.sparkContext.broadcast(key_bits(keys, key))
+def _shared_bits(keys: DataFrame, key: str) -> Broadcast:
+    return keys.sparkSession.sparkContext.broadcast(key_bits(keys, key))
+
+
+def _among(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether each of the hashes may be one of the keys. Wrong only by saying yes too often."""
+    return (bits[(hashes & ((1 << FILTER_BITS) - 1)) >> 5] >> (hashes & 31).astype(np.uint32)) & 1 == 1
+
+
+def _filter(shared: Broadcast, key: str) -> Column:
+    """Whether the column may be one of the keys, which are hashes; what it lets pass is joined."""
 
     @F.pandas_udf("boolean")
     def may_be(hashes: pd.Series) -> pd.Series:
-        k = hashes.to_numpy(np.int64)
-        return pd.Series((shared.value[(k & ((1 << FILTER_BITS) - 1)) >> 5] >> (k & 31).astype(np.uint32)) & 1 == 1)
+        return pd.Series(_among(shared.value, hashes.to_numpy(np.int64)))
 
     return may_be(key)
 
@@ -130,11 +137,11 @@ def repeated_windows(keyed: DataFrame, window: int) -> DataFrame:
     asked = asked.select(*KEYS, "name", "first", "n", "place").distinct()  # rows alike in id and text are one
     asked = stage.put(asked.groupBy(*KEYS).agg(F.collect_list(F.struct("name", "first", "n", "place")).alias("groups")), "asked")
     stage.drop(told)
-    texts = keyed.where(_filter(asked, "k1")).groupBy(*KEYS).agg(F.first("text").alias("text"))
+    texts = keyed.where(_filter(_shared_bits(asked, "k1"), "k1")).groupBy(*KEYS).agg(F.first("text").alias("text"))
     parts = stage.put(_parts(texts.join(asked, KEYS), window), "parts")
     stage.drop(asked)
     cores = stage.put(parts.groupBy("core").agg(F.count("*").alias("c")).where("c > 1").select("core"), "repeated-cores")
-    left = parts.where(_filter(cores, "core")).join(cores, "core")
+    left = parts.where(_filter(_shared_bits(cores, "core"), "core")).join(cores, "core")
     windows = left.select(*KEYS, "name", "first", F.posexplode("windows").alias("i", "window"))
     windows = stage.put(windows.select(*KEYS, "name", (F.col("first") + F.col("i")).alias("first"), "window"), "windows")
     stage.drop(parts, cores)
@@ -159,9 +166,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc
     keyed = _keyed(docs, id_column, text_column)
     repeats = repeated_windows(keyed, window)
     groups = "array<struct<first: int, n: int>>"
-    may_be = _filter(repeats, "k1")
-    clear = keyed.where(~may_be).select("text", F.lit(None).cast(groups).alias("groups"), "doc")
-    hit = keyed.where(may_be).join(repeats, KEYS, "left").select("text", "groups", "doc")
+    shared = _shared_bits(repeats, "k1")
+    every = keyed.select("text", F.lit(None).cast(groups).alias("groups"), "doc", "k1")
+    hit = keyed.where(_filter(shared, "k1")).join(repeats, KEYS, "left").select("text", "groups", "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text=0, limit=PIECE):
@@ -183,5 +190,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc
             strings = pa.array(kept, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), strings], ["doc", "n_words", "n_removed", "kept_text"])
 
+    def run_clear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a filter of its own before this step would take each task a second Python worker, which an executor then keeps
+        return run(batch.filter(pa.array(~_among(shared.value, np.asarray(batch.column(3))))) for batch in batches)
+
     out = schema(keyed, KEPT, "doc")
-    return clear.mapInArrow(run, out).union(hit.mapInArrow(run, out))
+    return every.mapInArrow(run_clear, out).union(hit.mapInArrow(run, out))
