@@ -81,3 +81,11 @@ def test_the_query_on_all_embeddings(spark, sf):
     got = queries.op11_hard_negatives(spark, sf)
     assert got.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
     assert sorted(tuple(r) for r in got.collect()) == brute_force(rows, lambda i: i % 100 == 0)
+
+
+def test_copies_of_the_anchors_are_not_broadcast(spark):
+    """Fails where the copies for all cells count as one copy when joins are chosen."""
+    got = hard_negatives.mine(spark.createDataFrame(drawn(300, 6, 5), "vec_id bigint, label int, vector array<bigint>"), F.col("vec_id") % 3 == 0)
+    assert got.count() > 0 and len(got.collect()) > 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [cell#" in plan and "BroadcastHashJoin [cell#" not in plan

@@ -166,7 +166,8 @@ def _chunks(asked: DataFrame) -> DataFrame:
 
 def _wave(index: Index, asked: DataFrame, same: bool, first: bool, k: int) -> DataFrame:
     """Rows FOUND of the buckets of one wave. Chunks meet the buckets of their label by the label; other buckets are
-    dealt into cells, to which every chunk goes: a stated set of anchors against all rows, in blocks."""
+    dealt into cells, to which every chunk goes: a stated set of anchors against all rows, in blocks. There is a copy of the chunks for
+    every cell, which the optimizer takes for one; the cells are therefore merged, as a broadcast would take all copies through the driver."""
     chunks = _chunks(asked)
     buckets = index.buckets.where(F.col("first") == first)
     fits = (F.col("size") == F.col("asked_size")) & (F.col("longest") >= F.col("need"))
@@ -175,7 +176,7 @@ def _wave(index: Index, asked: DataFrame, same: bool, first: bool, k: int) -> Da
     else:
         chunks = chunks.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(CELLS - 1))))
         cell = F.pmod("bucket", F.lit(CELLS)).cast("int")
-        met = chunks.join(buckets.withColumn("at_cell", cell), (F.col("cell") == F.col("at_cell")) & fits & (F.col("label") != F.col("asked_label")))
+        met = chunks.hint("merge").join(buckets.withColumn("at_cell", cell), (F.col("cell") == F.col("at_cell")) & fits & (F.col("label") != F.col("asked_label")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
