@@ -83,3 +83,37 @@ def test_a_template_of_turns_is_the_template_of_prefixes():
         for n in (0, 1, 3, 31, 32, 33, 70):
             turns = [(draw.choice(["user", "assistant"]), "".join(draw.choices(" ab" + probes, k=draw.randint(0, 5)))) for _ in range(n)]
             assert chat.render(turns, template) == chat._by_prefixes(turns, lambda t: template(t))  # noqa: B023
+
+
+def test_every_prefix_of_a_template_of_turns_is_rendered():
+    """Fails where such templates are rendered turn by turn only, so that no prefix is compared with the one before."""
+
+    class Recorded(chat.PerTurn):
+        def __call__(self, turns):
+            asked.append(list(turns))
+            return "!" if len(turns) == 40 and rewrites else super().__call__(turns)
+
+    for rewrites in (False, True):
+        asked, template = [], Recorded(lambda role, text: f"{role}: {text}\n")
+        turns = [("user", f"{i};") for i in range(50)]
+        text, spans, changed = chat.render(turns, template)
+        assert all(turns[:n] in asked for n in range(51))
+        assert text == "".join(f"{role}: {said}\n" for role, said in turns)
+        assert changed == (0 if rewrites else None) and len(spans) == 50
+
+
+def test_a_template_of_turns_keeps_nothing_of_other_conversations():
+    draw = random.Random(4)
+    template, plain = chat.PerTurn(chat._marked), lambda turns: "".join(chat._marked(*t) for t in turns)
+    turns = []
+    for _ in range(2000):
+        turns = [*turns[: draw.randint(0, len(turns))], *(("user", str(draw.randint(0, 3))) for _ in range(draw.randint(0, 2)))]
+        assert template(turns) == plain(turns)
+
+
+def test_agreement_of_texts():
+    draw = random.Random(5)
+    for _ in range(2000):
+        a, b = ("".join(draw.choices("ab", [9, 1], k=draw.randint(0, 9))) for _ in range(2))
+        n = chat._agree(a, b)
+        assert a[:n] == b[:n] and (a[n : n + 1] != b[n : n + 1] or not a[n:] or not b[n:])
