@@ -103,3 +103,44 @@ def test_components_of_chains_and_stars(spark):
     got = {r[0]: r[1] for r in connected(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in [*range(100, 180), 200]}}
     assert connected(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_wide_trees_find_all_within_the_radius():
+    draw = np.random.default_rng(3)
+    centres = draw.integers(0, 1 << 64, (30, 8), np.uint64)
+    flips = np.packbits(draw.random((600, 512)) < draw.choice([0.0, 0.02, 0.1, 0.2], 600)[:, None], axis=1).view(np.uint64)
+    values = centres[draw.integers(0, 30, 600)] ^ flips
+    apart = np.bitwise_count(values[:, None] ^ values).sum(axis=2, dtype=np.int64)
+    for radius in (0, 20, 117, 512):
+        for nodes, asks in ((slice(0, 600), slice(0, 600)), (slice(0, 300), slice(300, 600)), (slice(0, 1), slice(0, 9)), (slice(0, 0), slice(0, 9))):
+            found = list(simhash.WideTree(values[nodes]).within(values[asks], radius, 64))
+            got = sorted((int(q), int(n), int(d)) for part in found for q, n, d in zip(*part, strict=True))
+            assert got == sorted((q, n, int(d)) for (q, n), d in np.ndenumerate(apart[asks, nodes]) if d <= radius)
+
+
+def test_a_wide_tree_keys_children_by_distance():
+    draw = np.random.default_rng(4)
+    values = draw.integers(0, 1 << 64, (500, 8), np.uint64)
+    tree = simhash.WideTree(values)
+    for node in range(500):
+        child, _ = tree.below(np.array([node]))
+        assert len(set(tree.edge[child].tolist())) == len(child)
+        assert (np.bitwise_count(values[child] ^ values[node]).sum(axis=1) == tree.edge[child]).all()
+    assert [len(p[0]) for p in tree.within(values[:1], 0, 0)] == [1]
+
+
+def test_the_proposals_are_searched_by_trees(spark, monkeypatch):
+    """Fails where blocks are compared pair by pair."""
+    draw = np.random.default_rng(5)
+    values = draw.integers(0, 1 << 64, (300, 8), np.uint64)
+    values[100:200] = values[:100]  # equal ones
+    values[200:250] ^= np.uint64(7)
+    values[250] = values[200] ^ np.uint64(8)
+    node, small = draw.permutation(300), np.zeros(300, bool)
+    made, init = [], simhash.WideTree.__init__
+    monkeypatch.setattr(simhash.WideTree, "__init__", lambda self, v: (made.append(len(v)), init(self, v))[1])
+    monkeypatch.setattr(simhash, "PAIRS", 10)
+    u, v = simhash.wide_links(node, values, small, np.arange(300), np.arange(300))
+    assert made == [200]
+    want = {frozenset((int(node[i]), int(node[i + 100]))) for i in range(100)} | {frozenset((int(node[200]), int(node[250])))}
+    assert {frozenset(p) for p in zip(u.tolist(), v.tolist(), strict=True)} == want

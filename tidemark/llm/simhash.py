@@ -9,8 +9,8 @@ pairs. The trees are built where their shard lies, instead of being sent to ever
 
 ``proposals`` links sets by wide fingerprints, for a similarity at which 64 bits tell too little and an exact check follows.
 A fingerprint has 64 bits for each of several hashes of a shingle. Its bits are cut into bands, a shard is what agrees on one
-band, and in a shard fingerprints are compared by their first ``COMPARED`` words. At that radius a BK-tree excludes
-next to nothing, so that blocks are compared pair by pair.
+band, and for every two blocks of a shard a BK-tree over the first ``COMPARED`` words of one is searched for the other. At that
+radius few edges are left out, so that nodes are compared with all queries that reach them at once.
 """
 
 from __future__ import annotations
@@ -43,7 +43,8 @@ COMPARED, RADIUS, FIRST_RADIUS = 8, 117, 25  # words compared, bits of them that
 SMALL, SMALL_RADIUS = 5, 131  # two sets of at most so many hashes may differ in more bits
 WAVE = 48  # bands that are dealt into shards at once
 WIDE_BLOCK = 2048  # wide fingerprints in a block on average
-QUERIES = 256  # of a block compared with the other at once
+PAIRS = 1 << 18  # pairs found that are kept before they become stars
+MET = 1 << 15  # pairs of node and query that are compared at once
 
 
 def fingerprint(text: bytes | None, shingle: int) -> int:
@@ -246,14 +247,107 @@ def wide_fingerprints(sets: list[np.ndarray], words: int) -> np.ndarray:
     return out
 
 
-def wide_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Index pairs of fingerprints (rows of ``COMPARED`` words) at most ``SMALL_RADIUS`` apart, and by how many bits."""
-    first = np.bitwise_count(left[:, 0, None] ^ right[:, 0])
-    a, b = np.nonzero(first <= FIRST_RADIUS)
-    rest = np.bitwise_count(left[a, 1:] ^ right[b, 1:]).sum(axis=1, dtype=np.int64)
-    distance = rest + first[a, b]
-    near = distance <= SMALL_RADIUS
-    return a[near], b[near], distance[near]
+def _apart(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Bits in which the columns of two arrays of words differ."""
+    total = np.bitwise_count(left[0] ^ right[0]).astype(np.int16)
+    for a, b in zip(left[1:], right[1:], strict=True):
+        total += np.bitwise_count(a ^ b)
+    return total
+
+
+class WideTree:
+    """A BK-tree of fingerprints (rows of words): the children of a node are keyed by how many bits they are apart from it."""
+
+    def __init__(self, values: np.ndarray) -> None:
+        n = len(values)
+        self.words = np.ascontiguousarray(values.T)
+        parent, edge = np.zeros(n, np.int64), np.zeros(n, np.int16)
+        rest, at = np.arange(1, n), np.zeros(max(0, n - 1), np.int64)
+        while len(rest):  # what shares a node goes on to the first of its distance, which becomes the child
+            distance = _apart(self.words[:, rest], self.words[:, at])
+            _, first, which = np.unique(at * (64 * len(self.words) + 1) + distance, return_index=True, return_inverse=True)
+            child = rest[first]
+            parent[child], edge[child] = at[first], distance[first]
+            at = child[which]
+            going = at != rest
+            rest, at = rest[going], at[going]
+        self.edge, self.children = edge, 1 + np.argsort(parent[1:], kind="stable")
+        self.ends = np.searchsorted(parent[self.children], np.arange(n + 1))  # where the children of a node begin
+        self.inner = np.diff(self.ends) > 0
+
+    def below(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The children of nodes, and for each the number of its node in the list."""
+        counts = self.ends[nodes + 1] - self.ends[nodes]
+        row = np.repeat(np.arange(len(nodes)), counts)
+        return self.children[np.arange(len(row)) + (self.ends[nodes] - np.cumsum(counts) + counts)[row]], row
+
+    def _leaves(self, leaves: np.ndarray, own: np.ndarray, asked: np.ndarray, radius: int, first: int, may: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        step = max(1, MET // len(asked))
+        for at in range(0, len(leaves), step):
+            some = leaves[at : at + step]
+            near = np.bitwise_count(own[0] ^ self.words[0, some, None]) <= first
+            y, x = np.nonzero(near if may is None else near & may[at : at + step])
+            distance = _apart(own[:, x], self.words[:, some[y]])
+            near = distance <= radius
+            if near.any():
+                yield asked[x[near]], some[y[near]], distance[near]
+
+    def within(self, queries: np.ndarray, radius: int, first: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Parts (query index, node index, distance) of the pairs at most ``radius`` apart, over edges within the radius of the distance
+        only. A node without children is only looked at if at most ``first`` bits of the first word differ."""
+        words = np.ascontiguousarray(queries.T)
+        going = [(np.zeros(1, np.int64), np.arange(len(queries)))] if len(queries) and len(self.inner) else []
+        while going:
+            nodes, asked = going.pop()
+            own, step = words if len(asked) == len(queries) else words[:, asked], max(1, MET // len(asked))
+            if len(nodes) > step:
+                going.append((nodes[step:], asked))
+                nodes = nodes[:step]
+            distance = _apart(own[:, None], self.words[:, nodes, None])
+            y, x = np.nonzero(distance <= radius)
+            if len(x):
+                yield asked[x], nodes[y], distance[y, x]
+            child, row = self.below(nodes)
+            edge, leaf = self.edge[child], ~self.inner[child]
+            whole = (edge - distance.min(axis=1)[row] <= radius) & (distance.max(axis=1)[row] - edge <= radius)  # every query goes on
+            if (some := whole & ~leaf).any():
+                going.append((child[some], asked))
+            if (some := whole & leaf).any():
+                yield from self._leaves(child[some], own, asked, radius, first, None)
+            if (some := ~whole & leaf).any():
+                yield from self._leaves(child[some], own, asked, radius, first, np.abs(distance[row[some]] - edge[some, None]) <= radius)
+            for k in np.flatnonzero(~whole & ~leaf).tolist():
+                reached = asked[np.abs(distance[row[k]] - edge[k]) <= radius]
+                if len(reached):
+                    going.append((child[k : k + 1], reached))
+
+
+def _alike(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of every set of equal rows, and for every row the number of its set."""
+    if len(np.unique(values[:, 0])) == len(values):
+        return np.arange(len(values)), np.arange(len(values))
+    _, first, which = np.unique(values, axis=0, return_index=True, return_inverse=True)
+    return first, which.reshape(-1)
+
+
+def wide_links(node: np.ndarray, values: np.ndarray, small: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the nodes of rows ``a`` with those of rows ``b`` whose fingerprints are within the radius, and equal ones."""
+    (first_a, which_a), (first_b, which_b) = _alike(values[a]), _alike(values[b])
+    few_a, few_b = np.zeros(len(first_a), bool), np.zeros(len(first_b), bool)
+    few_a[which_a[small[a]]] = few_b[which_b[small[b]]] = True
+    rows_a, rows_b = a[first_a], b[first_b]
+    ends, pairs, held = [], [(a, rows_a[which_a]), (b, rows_b[which_b])], 0
+    for x, y, distance in WideTree(values[rows_b]).within(values[rows_a], SMALL_RADIUS, FIRST_RADIUS):
+        near = (distance <= RADIUS) | (few_a[x] & few_b[y])
+        pairs.append((rows_a[x[near]], rows_b[y[near]]))
+        held += len(x)
+        if held > PAIRS:  # only a star of every part is kept, not its pairs
+            ends.append(np.stack(_stars(node, *map(np.concatenate, zip(*pairs, strict=True)))))
+            pairs, held = [], 0
+    if pairs:
+        ends.append(np.stack(_stars(node, *map(np.concatenate, zip(*pairs, strict=True)))))
+    u, v = np.concatenate(ends, axis=1)
+    return _stars(np.r_[u, v], np.arange(len(u)), len(u) + np.arange(len(u)))
 
 
 def proposals(texts: DataFrame, members: Callable[[bytes | None], np.ndarray]) -> DataFrame:
@@ -283,15 +377,7 @@ def proposals(texts: DataFrame, members: Callable[[bytes | None], np.ndarray]) -
     def search(held: pa.Table) -> pa.Table:
         node, side, small = (held[c].to_numpy() for c in ("node", "side", "small"))
         values = np.stack([held[c].to_numpy().view(np.uint64) for c in names[:COMPARED]], axis=1)
-        a, b = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-        ends = [np.zeros((2, 0), np.int64)]
-        for at in range(0, len(a), QUERIES):  # only a star of every part is kept, not its pairs
-            x, y, distance = wide_pairs(values[a[at : at + QUERIES]], values[b])
-            x, y = a[at + x], b[y]
-            near = (x != y) & ((distance <= RADIUS) | (small[x] & small[y]))
-            ends.append(np.stack(_stars(node, x[near], y[near])))
-        u, v = np.concatenate(ends, axis=1)
-        u, v = _stars(np.r_[u, v], np.arange(len(u)), len(u) + np.arange(len(u)))
+        u, v = wide_links(node, values, small, np.flatnonzero(side != 1), np.flatnonzero(side != 0))
         return pa.table({"u": u, "v": v})
 
     found = []
